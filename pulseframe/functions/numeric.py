@@ -3,6 +3,8 @@ whole-stage code generation."""
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, functions as F
 
 # whole or decimal text without an exponent: the text forms an integer column accepts
@@ -42,24 +44,22 @@ def log_loss(label: Column, probability: Column, eps: float = 1e-15) -> Column:
 def to_fixed(value: Column, digits: int) -> Column:
     """Decimal text with ``digits`` places of the exact binary value, ties away from
     zero - what a browser prints. ``format_string`` rounds the shortest decimal form
-    instead and differs on such ties (1.005 -> 1.01 rather than 1.00).
+    instead and differs there (1.005 -> 1.01 rather than 1.00).
 
-    With q = 2 * 10**digits and n the truncated scaled value, n rounds up exactly when
-    value * q >= 2n + 1. The product is split in a high and a low half whose products
-    are both exact in doubles, so the comparison has no rounding error.
+    y counts half steps of the last place, so rounding is (floor(y) + 1) / 2. The double
+    y can only mislead where it is an odd integer, a tie, while the exact product lies
+    just below; the product's error shows that, and splitting x in two halves whose
+    products are exact gives the error exactly.
     """
-    scale = 10**digits
+    q = 2.0 * 10**digits
     x = F.abs(value.cast("double"))
-    n = F.floor(x * float(scale))
-    q = float(2 * scale)
+    y = x * q
     spread = x * 134217729.0  # 2**27 + 1
     high = spread - (spread - x)
-    low = x - high
-    exact = (high * q - (n * 2 + 1).cast("double")) + low * q
-    n = n + F.when(exact >= 0, 1).otherwise(0)
-    whole = (n - n % scale) / scale
-    parts = [F.when(value < 0, "-").otherwise(""), whole.cast("bigint").cast("string")]
-    if digits:
-        parts += [F.lit("."), F.lpad((n % scale).cast("string"), digits, "0")]
-    # beyond 2**45 the scaled value has no spare bits left; such doubles print as they are
-    return F.when(x < float(2**45), F.concat(*parts)).otherwise(value.cast("string"))
+    error = (high * q - y) + (x - high) * q
+    false_tie = (y % 2.0 == 1.0) & (error < 0)
+    steps = F.shiftright(F.floor(y) + 1, 1) - F.when(false_tie, 1).otherwise(0)
+    text = (steps.cast("decimal(18,0)") * F.lit(Decimal(1).scaleb(-digits))).cast("string")
+    rounded = F.concat(F.when(value < 0, "-").otherwise(""), text)
+    # from 2**40 on, doubles have no digits to spare for the test; they print as they are
+    return F.when(x < float(2**40), rounded).otherwise(value.cast("string"))

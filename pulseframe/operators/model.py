@@ -71,7 +71,7 @@ def train(
         labelCol=label,
         lossType="logistic",
         maxIter=p["rounds"],
-        maxDepth=max(1, (p["leaves"]).bit_length()),
+        maxDepth=max(1, (p["leaves"] - 1).bit_length()),
         stepSize=p["learning_rate"],
         featureSubsetStrategy=str(p["feature_fraction"]),
         subsamplingRate=p["bagging_fraction"],

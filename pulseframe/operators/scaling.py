@@ -46,12 +46,12 @@ def scale(df: DataFrame, stats: DataFrame | Stats) -> DataFrame:
     """
     if isinstance(stats, DataFrame):
         names = stats.schema["stats"].dataType.fieldNames()
-        fitted = stats.scalar()
-        pick = lambda c, part: fitted[c][part]
-    else:
-        names = list(stats)
-        pick = lambda c, part: F.lit(stats[c][part])
-    return df.withColumns({f"{c}_scaled": (F.col(c) - pick(c, "mean")) / pick(c, "std") for c in names})
+        fitted = df.withColumn("_fitted", stats.scalar())
+        scaled = {
+            f"{c}_scaled": (F.col(c) - F.col(f"_fitted.{c}.mean")) / F.col(f"_fitted.{c}.std") for c in names
+        }
+        return fitted.withColumns(scaled).drop("_fitted")
+    return df.withColumns({f"{c}_scaled": (F.col(c) - s["mean"]) / s["std"] for c, s in stats.items()})
 
 
 def training_frame(df: DataFrame, features: list[str] = fixed.SCALED_FEATURES, label: str = fixed.LABEL) -> DataFrame:

@@ -8,6 +8,12 @@ from pyspark.sql import DataFrame, functions as F
 from pulseframe import fixed
 
 KEPT, ANOMALY, ERROR = "kept", "anomaly", "error"
+OUT_OF_RANGE = "heart rate out of range"
+# all fields are read from the payload in one step
+_RECORD = (
+    f"struct<{fixed.CITIZEN}: string, {fixed.TIMESTAMP}: bigint, {fixed.HEART_RATE}: double, "
+    f"{fixed.O2}: double, {fixed.SLEEP}: double, {fixed.CALORIES}: int>"
+)
 
 
 def select_topic(df: DataFrame, topic: str = fixed.TOPIC, topic_col: str = "topic") -> DataFrame:
@@ -38,37 +44,24 @@ def route(df: DataFrame, payload: str = "payload") -> DataFrame:
     absent value from a null and a number from a quoted number.
     """
     v = F.col(payload)
-    get = lambda name, t: F.try_variant_get(v, f"$.{name}", t)
     kind = F.schema_of_variant(F.try_variant_get(v, f"$.{fixed.HEART_RATE}", "variant"))
-    low, high = fixed.HEART_RATE_RANGE
-    fields = df.withColumns(
-        {
-            "_kind": kind,
-            fixed.CITIZEN: get(fixed.CITIZEN, "string"),
-            fixed.TIMESTAMP: get(fixed.TIMESTAMP, "bigint"),
-            fixed.HEART_RATE: get(fixed.HEART_RATE, "double"),
-            fixed.O2: get(fixed.O2, "double"),
-            fixed.SLEEP: get(fixed.SLEEP, "double"),
-            fixed.CALORIES: get(fixed.CALORIES, "int"),
-        }
-    )
+    read = df.withColumns({"_kind": kind, "_record": F.try_variant_get(v, "$", _RECORD)})
+    fields = read.withColumns({c: F.col("_record")[c] for c in fixed.RAW_COLUMNS})
+
     kind, rate = F.col("_kind"), F.col(fixed.HEART_RATE)
     numeric = kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
     reason = (
-        F.when(v.isNull(), "payload is not a JSON object")
-        .when(kind.isNull() | (kind == "BOOLEAN"), "heart rate out of range")
-        .when(~numeric, "heart rate is not a number")
-        .when(~rate.between(low, high), "heart rate out of range")
-        .when(F.col(fixed.CITIZEN).isNull(), "no citizen")
-        .when(F.col(fixed.TIMESTAMP).isNull(), "no timestamp")
-    )
-    routed = fields.withColumn("reason", reason).drop("_kind")
-    where = (
-        F.when(F.col("reason").isNull(), KEPT)
-        .when(F.col("reason") == "heart rate out of range", ANOMALY)
-        .otherwise(ERROR)
+        F.when(numeric & ~rate.between(*fixed.HEART_RATE_RANGE), OUT_OF_RANGE)
+        .when(numeric & F.col(fixed.CITIZEN).isNull(), "no citizen")
+        .when(numeric & F.col(fixed.TIMESTAMP).isNull(), "no timestamp")
+        .when(numeric, None)
+        .when(v.isNull(), "payload is not a JSON object")
+        .when(kind.isNull() | (kind == "BOOLEAN"), OUT_OF_RANGE)
+        .otherwise("heart rate is not a number")
     )
-    return routed.withColumn("route", where)
+    judged = fields.withColumn("reason", reason).drop("_kind", "_record")
+    side = F.when(F.col("reason").isNull(), KEPT).when(F.col("reason") == OUT_OF_RANGE, ANOMALY).otherwise(ERROR)
+    return judged.withColumn("route", side)
 
 
 def route_counts(df: DataFrame) -> DataFrame:
