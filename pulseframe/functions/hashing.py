@@ -8,6 +8,7 @@ import math
 from pyspark.sql import Column, functions as F
 
 _SEPARATOR, _MISSING = "\u0001", "\u0002"
+HASH_BITS = 60
 
 
 def hash_hex(keys: list[Column], seed: int | str | None = None) -> Column:
@@ -23,9 +24,14 @@ def _hex_to_long(hex_text: Column, start: int, length: int) -> Column:
     return F.conv(F.substring(hex_text, start, length), 16, 10).cast("bigint")
 
 
-def hash_fraction(keys: list[Column], seed: int | str | None = None) -> Column:
-    """Uniform value in [0, 1) from the first 32 hash bits."""
-    return _hex_to_long(hash_hex(keys, seed), 1, 8) / F.lit(float(2**32))
+def hash_long(keys: list[Column], seed: int | str | None = None) -> Column:
+    """The first HASH_BITS bits of the hash, as a number that is never negative."""
+    return _hex_to_long(hash_hex(keys, seed), 1, HASH_BITS // 4)
+
+
+def as_fraction(hashed: Column) -> Column:
+    """Uniform value in [0, 1) from the leading 32 bits of ``hash_long``."""
+    return F.shiftright(hashed, HASH_BITS - 32) / F.lit(float(2**32))
 
 
 def hash_normals(key: Column, seed: int | str) -> tuple[Column, Column]:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -150,8 +151,8 @@ def load_model(spark: SparkSession, directory: str, version: int) -> tuple[Pipel
     model = PipelineModel.load(f"{path}/model")
     try:
         stats = json.loads(spark.read.text(f"{path}/stats").first()["value"])
-    except Exception as missing:  # saved without statistics
-        if "PATH_NOT_FOUND" not in str(missing):
+    except AnalysisException as missing:  # saved without statistics
+        if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         stats = None
     return model, stats

@@ -6,23 +6,29 @@ attempt of a task computed it. Rows that share a key stay together.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from pulseframe import fixed
-from pulseframe.functions import hash_fraction, hash_hex
+from pulseframe.functions import as_fraction, hash_long
+from pulseframe.functions.hashing import HASH_BITS
 
 TRAIN, VALIDATION = "train", "validation"
 # up to this many labels the per-label bounds are broadcast; beyond it they are joined
 # through a shuffle whose label groups are cut into SALTS parts
 BROADCAST_LABELS = 1024
 SALTS = 64
-# hash prefixes per label in the first pass: 2**20
-PREFIX_DIGITS = 5
+# the histogram has up to 2**PREFIX_BITS prefixes per label, and the pass after it orders
+# about (rows of the label) / 2**PREFIX_BITS hashes; both are small up to 10**12 rows
+PREFIX_BITS = 16
 
 
-def _keys(df: DataFrame, key: str | list[str] | None) -> list[Column]:
+def with_hash(
+    df: DataFrame, key: str | list[str] | None = None, seed: int | None = fixed.SEED, out: str = "_hash"
+) -> DataFrame:
+    """Add the split hash of the key (of the whole row without one). A frame that is read
+    several times can store it instead of hashing again."""
     names = [key] if isinstance(key, str) else key or df.columns
-    return [F.col(c) for c in names]
+    return df.withColumn(out, hash_long([F.col(c) for c in names], seed))
 
 
 def random_split(
@@ -32,9 +38,10 @@ def random_split(
     seed: int | None = fixed.SEED,
 ) -> DataFrame:
     """Add ``split``; a row trains when its hash falls below the share. No shuffle.
-    Without a key the whole row is the key."""
-    train = hash_fraction(_keys(df, key), seed) < share
-    return df.withColumn("split", F.when(train, TRAIN).otherwise(VALIDATION))
+    A ``_hash`` column from ``with_hash`` is used (and dropped) if there is one."""
+    hashed = df if "_hash" in df.columns else with_hash(df, key, seed)
+    train = as_fraction(F.col("_hash")) < share
+    return hashed.withColumn("split", F.when(train, TRAIN).otherwise(VALIDATION)).drop("_hash")
 
 
 def _few(bounds: DataFrame) -> DataFrame | None:
@@ -53,7 +60,7 @@ def stratified_bounds(df: DataFrame, label: str, share: float) -> DataFrame:
     over hash prefixes finds the one prefix that holds the bound, and only the distinct
     hashes below that prefix are ordered.
     """
-    df = df.select(label, "_hash", F.substring("_hash", 1, PREFIX_DIGITS).alias("_prefix"))
+    df = df.select(label, "_hash", F.shiftright("_hash", HASH_BITS - PREFIX_BITS).alias("_prefix"))
     rows = F.count(F.lit(1)).alias("_n")
     per_label = Window.partitionBy(label)
 
@@ -98,8 +105,10 @@ def stratified_split(
 ) -> DataFrame:
     """Add ``split`` with exactly floor(share * n) training rows per label when keys are
     unique (rows sharing a key are never separated). Two small jobs find the bounds;
-    the rows themselves are not shuffled."""
-    hashed = df.withColumn("_hash", hash_hex(_keys(df, key), seed))
+    the rows themselves are not shuffled. A ``_hash`` column from ``with_hash`` is used
+    (and dropped) if there is one."""
+    hashed = df if "_hash" in df.columns else with_hash(df, key, seed)
+    columns = [c for c in df.columns if c != "_hash"]
     bounds = stratified_bounds(hashed, label, share)
     same = F.col(label).eqNullSafe(F.col("_label"))
     few = _few(bounds)
@@ -107,11 +116,11 @@ def stratified_split(
         placed = hashed.join(F.broadcast(few), same, "left")
     else:
         parts = F.sequence(F.lit(0), F.lit(SALTS - 1))
-        salted = hashed.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int"))
+        salted = hashed.withColumn("_salt", F.pmod(F.xxhash64(*columns), F.lit(SALTS)).cast("int"))
         spread = bounds.withColumn("_part", F.explode(parts))
         placed = salted.join(spread, same & (F.col("_salt") == F.col("_part")), "left")
     side = F.when(F.col("_hash") <= F.col("_bound"), TRAIN).otherwise(VALIDATION)
-    return placed.select(*df.columns, side.alias("split"))
+    return placed.select(*columns, side.alias("split"))
 
 
 def train_validation(df: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -11,7 +11,7 @@ from pulseframe.operators.clean import clean, coerce
 from pulseframe.operators.features import engineer
 from pulseframe.operators.profile import profile, split_counts, value_counts
 from pulseframe.operators.scaling import fit_scaler, scale, stats_values, training_frame
-from pulseframe.operators.split import TRAIN, random_split, stratified_split, train_validation
+from pulseframe.operators.split import TRAIN, random_split, stratified_split, train_validation, with_hash
 from pulseframe.session import materialize
 from pulseframe.sinks.files import (
     register_table,
@@ -49,15 +49,15 @@ def run_etl(
     if split not in ("stratified", "random") or fit_on not in ("all", "train"):
         raise ValueError(f"split={split!r}, fit_on={fit_on!r}")
     dest = dest.rstrip("/")
-    landed = materialize(coerce(read_training_csv(spark, source)), f"{dest}/_staging/landed")
+    typed = coerce(read_training_csv(spark, source)).drop(fixed.CITIZEN)  # never parsed
+    landed = materialize(typed, f"{dest}/_staging/landed")
     seen = profile(landed).first()
     value_counts(landed).write.mode("overwrite").json(f"{dest}/reports/label_distribution")
 
-    features = materialize(engineer(clean(landed)), f"{dest}/_staging/features")
-    if split == "stratified":
-        placed = stratified_split(features, ROW_KEY, share=share, seed=seed)
-    else:
-        placed = random_split(features, ROW_KEY, share, seed)
+    engineered = with_hash(engineer(clean(landed)), ROW_KEY, seed)
+    features = materialize(engineered, f"{dest}/_staging/features")
+    divide = stratified_split if split == "stratified" else random_split
+    placed = divide(features, share=share)
 
     fitted_rows = placed if fit_on == "all" else placed.where(F.col("split") == TRAIN)
     stats = stats_values(fit_scaler(fitted_rows))

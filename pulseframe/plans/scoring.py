@@ -13,7 +13,6 @@ from datetime import datetime, timezone
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.utils import AnalysisException
 
 from pulseframe import fixed
 from pulseframe.operators.keyed import latest_by_key, pending
@@ -21,6 +20,7 @@ from pulseframe.operators.model import SCORED, score_all
 from pulseframe.operators.profile import summary
 from pulseframe.operators.report import json_records, report_rows
 from pulseframe.operators.scaling import Stats
+from pulseframe.session import read_partitioned
 from pulseframe.sinks.files import export_csv
 from pulseframe.sources.payload import KEPT
 from pulseframe.sources.record_log import LOG_SCHEMA, ORDER, current
@@ -43,12 +43,7 @@ def run_name(as_of: datetime) -> str:
 
 def read_analytics(spark: SparkSession, path: str, outcome: str = SCORED) -> DataFrame:
     """All analytics rows, with ``run``; an analytics table not yet written is empty."""
-    try:
-        rows = spark.read.schema(ANALYTICS_SCHEMA).option("basePath", path).parquet(path)
-    except AnalysisException as missing:
-        if "PATH_NOT_FOUND" not in str(missing):
-            raise
-        rows = spark.createDataFrame([], ANALYTICS_SCHEMA)
+    rows = read_partitioned(spark, path, ANALYTICS_SCHEMA)
     return rows.where(F.col("outcome") == outcome).drop("outcome")
 
 
@@ -71,7 +66,12 @@ def run_scoring(
     **log_options,
 ) -> str:
     """Score the raw table (or only records no other run has scored), store the rows and
-    optionally export them as CSV. Returns the run's name."""
+    optionally export them as CSV. Returns the run's name.
+
+    ``log_options`` go to ``record_log.current``: a snapshot to start from, or with
+    ``only_new`` the last batch known to be scored (``after``), which keeps the older
+    part of the log from being read at all.
+    """
     run = run_name(as_of)
     raw = current(spark, raw_log, **log_options).select(*fixed.RAW_COLUMNS)
     if only_new:

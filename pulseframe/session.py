@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def get_session(app: str = "pulseframe", master: str | None = None, **conf: str) -> SparkSession:
@@ -55,3 +57,13 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
     files that outlive any executor rather than recomputed lineage."""
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def read_partitioned(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A folder of Parquet partitions; empty while nothing has been written there."""
+    try:
+        return spark.read.schema(schema).option("basePath", path).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)

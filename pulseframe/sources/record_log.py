@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from pulseframe import fixed
 from pulseframe.operators.keyed import latest_by_key
+from pulseframe.session import read_partitioned
 from pulseframe.sources.payload import KEPT
 
 ORDER = ["batch_id", "seq"]
@@ -43,8 +44,9 @@ def append_batch(routed: DataFrame, path: str, batch_id: int) -> None:
 
 
 def read_log(spark: SparkSession, path: str, route: str | None = KEPT) -> DataFrame:
-    """The appended records; batch and route are partition columns, so both prune files."""
-    log = spark.read.schema(LOG_SCHEMA).option("basePath", path).parquet(path)
+    """The appended records; batch and route are partition columns, so both prune files.
+    A log nothing was written to yet is empty."""
+    log = read_partitioned(spark, path, LOG_SCHEMA)
     if route is None:
         return log
     return log.where(F.col("route") == route).select("batch_id", "seq", *fixed.RAW_COLUMNS)
@@ -61,10 +63,14 @@ def current(
     keys: list[str] = fixed.RAW_KEY,
     snapshot: str | None = None,
     upto: int | None = None,
+    after: int | None = None,
 ) -> DataFrame:
-    """The table's content, read from the log or from a snapshot plus later batches."""
+    """The table's content, read from the log or from a snapshot plus later batches.
+    ``after`` gives only what the batches after that one wrote."""
     rows = read_log(spark, path)
-    if snapshot is not None:
+    if after is not None:
+        rows = rows.where(F.col("batch_id") > after)
+    elif snapshot is not None:
         stored = spark.read.schema(rows.schema).parquet(snapshot)
         rows = stored.unionByName(rows.where(F.col("batch_id") > upto))
     return latest_by_key(rows, keys, ORDER)

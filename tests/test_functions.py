@@ -7,7 +7,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from pulseframe.functions import (
-    bucket, classify, clip, display_number, display_percent, hash_fraction, iso_millis, log_loss,
+    bucket, classify, clip, display_number, display_percent, as_fraction, hash_long, iso_millis, log_loss,
     parse_double, parse_int, safe_ratio, to_fixed,
 )
 
@@ -110,10 +110,10 @@ def test_iso_millis(spark):
 
 
 def test_hash_fraction_is_uniform_and_stable(spark):
-    df = spark.range(20000).select("id", hash_fraction([F.col("id")], 42).alias("u"))
+    df = spark.range(20000).select("id", as_fraction(hash_long([F.col("id")], 42)).alias("u"))
     low, high, mean = df.agg(F.min("u"), F.max("u"), F.avg("u")).first()
     assert 0 <= low < 0.01 and 0.99 < high < 1 and abs(mean - 0.5) < 0.01
-    again = spark.range(0, 20000, 1, 3).select("id", hash_fraction([F.col("id")], 42).alias("u"))
+    again = spark.range(0, 20000, 1, 3).select("id", as_fraction(hash_long([F.col("id")], 42)).alias("u"))
     assert df.exceptAll(again).isEmpty()
 
 

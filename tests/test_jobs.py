@@ -108,11 +108,11 @@ def test_unknown_training_parameter(spark):
 
 def test_early_stop_refits_the_prefix(spark):
     """Labels are noise: validation loss soon rises and the model keeps the best rounds."""
-    from pulseframe.functions import hash_fraction
+    from pulseframe.functions import as_fraction, hash_long
 
     df = spark.range(0, 600, 1, 2).select(
-        hash_fraction([F.col("id")], "x").alias("x"),
-        (hash_fraction([F.col("id")], "y") < 0.5).cast("int").alias("label"),
+        as_fraction(hash_long([F.col("id")], "x")).alias("x"),
+        (as_fraction(hash_long([F.col("id")], "y")) < 0.5).cast("int").alias("label"),
         "id",
     )
     fit = model.train(

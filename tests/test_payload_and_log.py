@@ -239,3 +239,11 @@ def test_hot_citizen_is_reduced_before_the_shuffle(spark, tmp_path):
     assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
     assert latest.where("citizen_id = 'hot'").first()["timestamp"] == 8997
     assert latest.count() == 6001
+
+
+def test_empty_log_and_later_batches(spark, tmp_path):
+    log = str(tmp_path / "log")
+    assert record_log.current(spark, log).isEmpty() and record_log.ingest_counts(spark, log).isEmpty()
+    record_log.append_batch(route_all(spark, feed_rows((1, "a", 1, 1), (2, "b", 1, 2))), log, 0)
+    record_log.append_batch(route_all(spark, feed_rows((3, "b", 1, 3))), log, 1)
+    assert content(record_log.current(spark, log, after=0)) == [("b", 1, 3)]

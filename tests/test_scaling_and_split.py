@@ -59,9 +59,10 @@ def test_random_split_is_stable_and_near_share(spark):
 def expected_sides(rows, share, seed=42):
     """Brute force: per label order keys by hash; keys train while fewer rows than
     floor(share * n) come before them."""
+    digest = lambda key: hashlib.md5(f"{seed}:{key}".encode()).hexdigest()
     by_label = defaultdict(Counter)
     for key, label in rows:
-        by_label[label][hashlib.md5(f"{seed}:{key}".encode()).hexdigest()] += 1
+        by_label[label][digest(key)] += 1
     train = set()
     for label, hashes in by_label.items():
         wanted, before = math.floor(sum(hashes.values()) * share), 0
@@ -69,7 +70,6 @@ def expected_sides(rows, share, seed=42):
             if before < wanted:
                 train.add((label, h))
             before += hashes[h]
-    digest = lambda key: hashlib.md5(f"{seed}:{key}".encode()).hexdigest()
     return Counter((k, lab, "train" if (lab, digest(k)) in train else "validation") for k, lab in rows)
 
 
@@ -91,7 +91,7 @@ def test_stratified_split_matches_brute_force(spark, monkeypatch, wide):
 
 def test_stratified_split_with_coarse_prefix(spark, monkeypatch):
     """Many keys per prefix, so the bound lies inside a crowded prefix."""
-    monkeypatch.setattr(split, "PREFIX_DIGITS", 1)
+    monkeypatch.setattr(split, "PREFIX_BITS", 4)
     rows = [(i, i % 3) for i in range(2000)]
     assert split_rows(spark, rows, 0.73) == expected_sides(rows, 0.73)
 
