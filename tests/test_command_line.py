@@ -1,0 +1,35 @@
+import base64
+import json
+
+from pyspark.sql import functions as F
+
+from pulseframe.__main__ import main
+
+
+def test_all_jobs_in_order(spark, tmp_path):
+    """Generate, prepare, train, ingest, score and show, through the command line."""
+    at = lambda name: str(tmp_path / name)
+    assert main(["generate", "--out", at("csv"), "--rows", "1500"])["rows"] == 1500
+    prepared = main(["etl", "--source", at("csv"), "--dest", at("data"), "--as-of", "2024-02-01T00:00:00"])
+    assert prepared["raw"] == 1500 and prepared["train"] + prepared["validation"] == prepared["after_clean"]
+    trained = main(["train", "--data", at("data"), "--models", at("models"), "--version", "1", "--rounds", "5"])
+    assert trained["log_loss"] < 0.5
+
+    rows = spark.read.csv(at("csv"), header=True, inferSchema=True).withColumn("timestamp", F.lit(1).cast("bigint"))
+    body = F.to_json(F.struct(*[c for c in rows.columns if c != "label"]))
+    messages = rows.select(F.monotonically_increasing_id().alias("seq"), F.base64(body.cast("binary")).alias("data"))
+    broken = spark.createDataFrame([(10**12, base64.b64encode(b"[]").decode())], "seq bigint, data string")
+    messages.unionByName(broken).write.json(at("feed"))
+    main(["ingest", "--feed", at("feed"), "--log", at("log"), "--checkpoint", at("state")])
+    score = ["score", "--log", at("log"), "--models", at("models"), "--version", "1", "--analytics", at("analytics")]
+    run = main([*score, "--as-of", "2024-02-01T00:15:00", "--results", at("results")])["run"]
+    assert run == "20240201T001500"
+    shown = main(["dashboard", "--analytics", at("analytics"), "--out", at("json")])
+    assert shown["total"] == 1500 and shown["healthy"] + shown["unhealthy"] == 1500
+    records = [json.loads(r[0]) for r in spark.read.text(at("json")).collect()]
+    assert len(records) == 1500 and records[0]["inference_timestamp"] == "2024-02-01T00:15:00.000Z"
+    # most generated labels are met
+    labels = spark.read.csv(at("csv"), header=True, inferSchema=True).select("citizen_id", "label")
+    classes = spark.createDataFrame([(r["citizen_id"], r["classification"]) for r in records], "citizen_id string, c string")
+    agree = labels.join(classes, "citizen_id").where("(label = 1) = (c = 'unhealthy')").count()
+    assert agree / 1500 > 0.93
