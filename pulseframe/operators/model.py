@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
@@ -17,6 +16,7 @@ from pulseframe.functions import clip, log_loss
 from pulseframe.operators.features import engineer
 from pulseframe.operators.report import add_classification, stamp, with_defaults
 from pulseframe.operators.scaling import Stats, scale
+from pulseframe.sinks.files import read_document, write_document
 
 PROBABILITY = "probability_unhealthy"
 SCORED, FAILED = "scored", "failed"
@@ -140,9 +140,7 @@ def save_model(model: PipelineModel, directory: str, version: int, stats: Stats
     path = model_path(directory, version)
     model.write().overwrite().save(f"{path}/model")
     if stats is not None:
-        spark = SparkSession.active()
-        text = spark.createDataFrame([(json.dumps(stats),)], "value string")
-        text.coalesce(1).write.mode("overwrite").text(f"{path}/stats")
+        write_document(SparkSession.active(), stats, f"{path}/stats")
     return path
 
 
@@ -150,7 +148,7 @@ def load_model(spark: SparkSession, directory: str, version: int) -> tuple[Pipel
     path = model_path(directory, version)
     model = PipelineModel.load(f"{path}/model")
     try:
-        stats = json.loads(spark.read.text(f"{path}/stats").first()["value"])
+        stats = read_document(spark, f"{path}/stats")
     except AnalysisException as missing:  # saved without statistics
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise

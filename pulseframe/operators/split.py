@@ -49,7 +49,11 @@ def _few(bounds: DataFrame) -> DataFrame | None:
     known = bounds.limit(BROADCAST_LABELS + 1).collect()
     if len(known) > BROADCAST_LABELS:
         return None
-    return bounds.sparkSession.createDataFrame(known, bounds.schema)
+    if not known:
+        return bounds.limit(0)
+    types = dict(bounds.dtypes)
+    rows = [F.struct(*[F.lit(row[c]).cast(types[c]).alias(c) for c in bounds.columns]) for row in known]
+    return bounds.sparkSession.range(1).select(F.inline(F.array(*rows)))
 
 
 def stratified_bounds(df: DataFrame, label: str, share: float) -> DataFrame:

@@ -18,7 +18,7 @@ from pulseframe.sinks.files import (
     stats_document,
     table_properties,
     write_processed,
-    write_stats,
+    write_document,
     write_training_csv,
 )
 from pulseframe.sources.labelled_csv import read_training_csv
@@ -80,7 +80,7 @@ def run_etl(
 
     for name, digits in (("normalization_stats.json", 6), ("normalization_stats_exact.json", None)):
         document = stats_document(stats, n_train, n_val, total, as_of, digits)
-        write_stats(spark, document, f"{dest}/config/{name}")
+        write_document(spark, document, f"{dest}/config/{name}")
     if table:
         properties = table_properties(total, n_train, n_val, len(stats), as_of, source)
         register_table(spark, table, f"{dest}/processed", properties)

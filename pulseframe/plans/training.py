@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from pulseframe.operators.model import boosted_rounds, confusion, evaluate, predict, save_model, train
-from pulseframe.sinks.files import read_stats
+from pulseframe.sinks.files import read_document
 from pulseframe.sources.labelled_csv import read_split_csv
 
 
@@ -15,7 +15,7 @@ def run_training(spark: SparkSession, data: str, models: str, version: int, **ov
     training = read_split_csv(spark, f"{data}/train/train.csv")
     validation = read_split_csv(spark, f"{data}/validation/validation.csv")
     model = train(training, validation, **overrides)
-    stats = read_stats(spark, f"{data}/config/normalization_stats_exact.json")["stats"]
+    stats = read_document(spark, f"{data}/config/normalization_stats_exact.json")["stats"]
     path = save_model(model, models, version, stats)
     predicted = predict(validation, model)
     loss = evaluate(predicted).first()

@@ -7,7 +7,7 @@ import json
 import logging
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pulseframe import fixed
 from pulseframe.operators.report import json_records
@@ -44,13 +44,13 @@ def stats_document(
     }
 
 
-def write_stats(spark: SparkSession, document: dict, path: str) -> None:
-    """The statistics document, one JSON object."""
-    text = spark.createDataFrame([(json.dumps(document),)], "value string")
-    text.coalesce(1).write.mode("overwrite").text(path)
+def write_document(spark: SparkSession, document: dict, path: str) -> None:
+    """One JSON object, such as the statistics."""
+    text = spark.range(1).coalesce(1).select(F.lit(json.dumps(document)).alias("value"))
+    text.write.mode("overwrite").text(path)
 
 
-def read_stats(spark: SparkSession, path: str) -> dict:
+def read_document(spark: SparkSession, path: str) -> dict:
     return json.loads(spark.read.text(path).first()["value"])
 
 

@@ -52,7 +52,7 @@ def test_etl_outputs(spark, prepared):
     assert both.exceptAll(want).isEmpty() and want.exceptAll(both).isEmpty()
     for label, n in Counter(x["label"] for x in processed.select("label").collect()).items():
         assert train.where(F.col("label") == label).count() == math.floor(n * 0.8)
-    document = files.read_stats(spark, f"{root}/out/config/normalization_stats.json")
+    document = files.read_document(spark, f"{root}/out/config/normalization_stats.json")
     assert document["total_processed"] == r["after_clean"] and document["features"] == fixed.NUMERIC_FEATURES
     shown = {x["key"]: x["value"] for x in spark.sql("SHOW TBLPROPERTIES processed_vitals").collect()}
     assert shown["recordCount"] == str(r["after_clean"]) and shown["featureCount"] == "7"

@@ -117,8 +117,8 @@ def test_labelled_csv_with_bad_cells(spark, tmp_path):
 def test_statistics_document(spark, tmp_path):
     stats = {"x": {"mean": 1 / 3, "std": 2 / 3}}
     document = files.stats_document(stats, 8, 2, 10, AS_OF)
-    files.write_stats(spark, document, str(tmp_path / "s"))
-    back = files.read_stats(spark, str(tmp_path / "s"))
+    files.write_document(spark, document, str(tmp_path / "s"))
+    back = files.read_document(spark, str(tmp_path / "s"))
     assert back["stats"]["x"] == {"mean": 0.333333, "std": 0.666667} and back["features"] == ["x"]
     assert (back["train_count"], back["val_count"], back["total_processed"]) == (8, 2, 10)
     assert files.stats_document(stats, 8, 2, 10, AS_OF, None)["stats"]["x"]["mean"] == 1 / 3
