@@ -62,4 +62,4 @@ def to_fixed(value: Column, digits: int) -> Column:
     text = (steps.cast("decimal(18,0)") * F.lit(Decimal(1).scaleb(-digits))).cast("string")
     rounded = F.concat(F.when(value < 0, "-").otherwise(""), text)
     # from 2**40 on, doubles have no digits to spare for the test; they print as they are
-    return F.when(x < float(2**40), rounded).otherwise(value.cast("string"))
+    return F.when(value.between(-float(2**40), float(2**40)), rounded).otherwise(value.cast("string"))

@@ -35,15 +35,22 @@ def stamp(df: DataFrame, as_of: datetime | Column, out: str = fixed.INFERENCE_TS
 
 def report_rows(df: DataFrame) -> DataFrame:
     """Dashboard rows as text: units attached, '-' for missing values."""
-    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    types = dict(df.dtypes)
+
+    def number(name, unit):
+        col = F.col(name)
+        whole = types[name] in ("tinyint", "smallint", "int", "bigint")
+        text = F.coalesce(col.cast("string"), F.lit("-")) if whole else display_number(col)
+        return F.concat(text, F.lit(unit))
+
     cls = F.coalesce(F.nullif(F.col(fixed.CLASSIFICATION), F.lit("")), F.lit(fixed.UNKNOWN))
     stamped = F.coalesce(F.nullif(F.col(fixed.INFERENCE_TS), F.lit("")), F.lit("-"))
     return df.select(
-        text(fixed.CITIZEN).alias(fixed.CITIZEN),
-        F.concat(display_number(F.col(fixed.HEART_RATE)), F.lit(" bpm")).alias("heart_rate"),
+        F.coalesce(F.col(fixed.CITIZEN).cast("string"), F.lit("")).alias(fixed.CITIZEN),
+        number(fixed.HEART_RATE, " bpm").alias("heart_rate"),
         display_percent(F.col(fixed.O2)).alias("o2"),
-        F.concat(display_number(F.col(fixed.SLEEP)), F.lit("h")).alias("sleep"),
-        F.concat(display_number(F.col(fixed.CALORIES)), F.lit(" kcal")).alias("calories"),
+        number(fixed.SLEEP, "h").alias("sleep"),
+        number(fixed.CALORIES, " kcal").alias("calories"),
         cls.alias(fixed.CLASSIFICATION),
         stamped.alias(fixed.INFERENCE_TS),
     )
