@@ -118,8 +118,8 @@ def csv_round_trip(spark, sf):
 
 
 def decode_payload(spark, sf):
-    routed = payload.route(payload.decode_payload(_messages(_feed(spark, sf))))
-    return routed.select("seq", *fixed.RAW_COLUMNS)
+    decoded = payload.decode_payload(_messages(_feed(spark, sf)))
+    return payload.read_fields(decoded).select("seq", *fixed.RAW_COLUMNS)
 
 
 def topic_route(spark, sf):
@@ -130,7 +130,7 @@ def topic_route(spark, sf):
 
 def raw_current(spark, sf):
     path = scratch_path(spark, "raw")
-    accepted = payload.route(payload.decode_payload(_messages(_feed(spark, sf))))
+    accepted = payload.route(_messages(_feed(spark, sf)))
     record_log.append_batch(accepted, path, 0)
     return record_log.current(spark, path).drop("batch_id")
 
@@ -142,7 +142,7 @@ def snapshot_current(spark, sf):
     for number, part in enumerate(
         [_vitals(spark, sf).withColumn("seq", F.col("event_id")), _redelivered(spark, sf)]
     ):
-        record_log.append_batch(payload.route(payload.decode_payload(_messages(part))), path, number)
+        record_log.append_batch(payload.route(_messages(part)), path, number)
     record_log.write_snapshot(spark, path, snapshot, 0)
     return record_log.current(spark, path, snapshot=snapshot, upto=0).drop("batch_id")
 
@@ -266,7 +266,7 @@ def clean_funnel(spark, sf):
 
 
 def ingest_counts(spark, sf):
-    return payload.route_counts(payload.route(payload.decode_payload(_messages(_feed(spark, sf)))))
+    return payload.route_counts(payload.route(_messages(_feed(spark, sf))))
 
 
 def summary_cards(spark, sf):
@@ -369,7 +369,7 @@ def route_feed(spark, sf):
         F.when(kind == "error", quoted).when(kind == "signup", absent).when(kind == "purchase", null).otherwise(number)
     )
     messages = _feed(spark, sf).select("seq", F.base64(body.cast("binary")).alias("data"))
-    routed = payload.route(payload.decode_payload(messages))
+    routed = payload.route(messages)
     return routed.select("seq", "route", "reason")
 
 
@@ -517,7 +517,7 @@ def scheduled_scoring(spark, sf):
     rows = _vitals(spark, sf).withColumn("seq", F.col("event_id"))
     early = F.col(fixed.TIMESTAMP) < CUTOFF_MS
     for number, (part, as_of) in enumerate([(rows.where(early), AS_OF), (rows.where(~early), LATER)]):
-        record_log.append_batch(payload.route(payload.decode_payload(_messages(part))), log, number)
+        record_log.append_batch(payload.route(_messages(part)), log, number)
         run_scoring(spark, log, trees, stats, analytics, as_of, only_new=True)
     return read_analytics(spark, analytics).select(*fixed.RAW_COLUMNS, fixed.INFERENCE_TS)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from pulseframe.sources.payload import decode_payload, route
+from pulseframe.sources.payload import route
 from pulseframe.sources.record_log import append_batch
 
 FEED_SCHEMA = "seq BIGINT, data STRING"
@@ -28,7 +28,7 @@ def start_ingest(
     batch repeated after a failure leaves the same content. Without an ``interval`` the
     query handles what is available and ends.
     """
-    routed = route(decode_payload(feed)).drop("payload")
+    routed = route(feed)
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
     return (
         routed.writeStream.foreachBatch(lambda batch, number: append_batch(batch, log_path, number))

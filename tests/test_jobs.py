@@ -168,7 +168,7 @@ def append(spark, log, number, rows):
     df = spark.createDataFrame(rows, "seq bigint, citizen_id string, timestamp bigint, average_heart_beat_rate int")
     body = F.to_json(F.struct("citizen_id", "timestamp", "average_heart_beat_rate", F.lit(0.98).alias("o2_content"), F.lit(7.5).alias("sleep_time"), F.lit(500).alias("calories_burned")))
     messages = df.select("seq", F.base64(body.cast("binary")).alias("data"))
-    record_log.append_batch(payload.route(payload.decode_payload(messages)), log, number)
+    record_log.append_batch(payload.route(messages), log, number)
 
 
 def keys(df):

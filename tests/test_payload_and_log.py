@@ -49,6 +49,25 @@ CASES = [
     (b64(message(o2_content=None)), "kept"),
     (b64("  \n" + message()), "kept"),
     (b64('{"average_heart_beat_rate":10,"average_heart_beat_rate":80,"citizen_id":"a","timestamp":1}'), "kept"),
+    (b64(message(o2_content="x")), "kept"),
+    (b64(message(timestamp="12")), "kept"),
+    (b64(message(timestamp=1000.0)), "kept"),
+    (b64(message(calories_burned=500.7)), "kept"),
+    (b64(message(citizen_id=7)), "kept"),
+    (b64(message(note={"a": [{}]})), "kept"),
+    (b64(message(note="}{")), "kept"),
+    (b64(message(note={"a": 1}, average_heart_beat_rate=30)), "anomaly"),
+    (b64(message() + " xyz"), "error"),
+    (b64(message() + message()), "error"),
+    (b64(message() + "}"), "error"),
+    (b64(message() + "]"), "error"),
+    (b64(message() + "," + message()), "error"),
+    (b64(message() + '], [{"a": 1}'), "error"),
+    (b64(message(note={}) + ', "q": {}'), "error"),
+    (b64("{'average_heart_beat_rate': 80}"), "error"),
+    (b64(message(average_heart_beat_rate="NaN")), "error"),
+    (b64(message().replace("80", "080")), "error"),
+    (b64(message().replace("average_heart", "Average_heart")), "anomaly"),
     (b64("[1, 2]"), "error"),
     (b64("80"), "error"),
     (b64("null"), "error"),
@@ -68,7 +87,7 @@ CASES = [
 @pytest.fixture(scope="module")
 def routed(spark):
     df = spark.createDataFrame([(i, d) for i, (d, _) in enumerate(CASES)], "seq bigint, data string")
-    rows = payload.route(payload.decode_payload(df)).drop("payload").collect()
+    rows = payload.route(df).collect()
     return {r["seq"]: r for r in rows}
 
 
@@ -84,9 +103,25 @@ def test_fields_of_kept_record(routed):
     assert (row["o2_content"], row["sleep_time"], row["calories_burned"]) == (0.97, 7.5, 400)
 
 
+def test_values_of_unusual_types(spark):
+    texts = [
+        message(timestamp="12"), message(timestamp=1000.0), message(calories_burned=500.7),
+        message(o2_content="x"), message(citizen_id=7), message(note={"a": [{}]}),
+    ]
+    df = spark.createDataFrame([(i, b64(t)) for i, t in enumerate(texts)], "seq bigint, data string")
+    rows = {r["seq"]: r for r in payload.route(df).collect()}
+    assert rows[0]["timestamp"] == 12 and rows[1]["timestamp"] == 1000
+    assert rows[2]["calories_burned"] == 500 and rows[3]["o2_content"] is None and rows[4]["citizen_id"] == "7"
+    assert rows[5]["o2_content"] == 0.97
+    # the direct reading agrees with the fields of the decoded payload
+    fields = ["seq", "citizen_id", "timestamp", "average_heart_beat_rate", "o2_content", "sleep_time", "calories_burned"]
+    decoded = payload.read_fields(payload.decode_payload(df)).select(fields)
+    assert sorted(decoded.collect()) == sorted(payload.route(df).select(fields).collect())
+
+
 def test_route_counts(spark):
     df = spark.createDataFrame([(i, d) for i, (d, _) in enumerate(CASES)], "seq bigint, data string")
-    counts = payload.route_counts(payload.route(payload.decode_payload(df))).first()
+    counts = payload.route_counts(payload.route(df)).first()
     want = [sum(r == side for _, r in CASES) for side in ("kept", "anomaly", "error")]
     assert list(counts) == want
 
@@ -114,12 +149,12 @@ def plain_route(text):
 @settings(max_examples=15, deadline=None)
 @given(st.lists(st.one_of(json_values, st.fixed_dictionaries({}, optional={
     "average_heart_beat_rate": json_values | st.integers(30, 210), "citizen_id": st.text("abc", min_size=1) | st.none(),
-    "timestamp": st.integers(0, 10**12) | st.none(), "o2_content": json_values,
+    "timestamp": st.integers(0, 10**12) | st.none(), "o2_content": json_values, "note": json_values,
 })), min_size=1, max_size=30))
 def test_every_message_has_the_expected_route(spark, values):
     texts = [json.dumps(v) for v in values]
     df = spark.createDataFrame([(i, b64(t)) for i, t in enumerate(texts)], "seq bigint, data string")
-    got = {r["seq"]: r["route"] for r in payload.route(payload.decode_payload(df)).select("seq", "route").collect()}
+    got = {r["seq"]: r["route"] for r in payload.route(df).select("seq", "route").collect()}
     assert got == {i: plain_route(t) for i, t in enumerate(texts)}
 
 
@@ -135,7 +170,7 @@ def feed_rows(*rows):
 
 def route_all(spark, rows):
     df = spark.createDataFrame(rows, "seq bigint, data string")
-    return payload.route(payload.decode_payload(df))
+    return payload.route(df)
 
 
 def content(df):
