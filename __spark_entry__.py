@@ -25,6 +25,7 @@ from pulseframe.session import scratch_path
 from pulseframe.sinks import files
 from pulseframe.sources import labelled_csv, payload, record_log, synthetic
 from pulseframe.streaming.ingest import read_feed, run_ingest
+from spark_entry_oracle import oracle_sql as own_oracle_sql
 
 TESTDATA = "/root/testdata"
 AS_OF = datetime(2024, 2, 1, 12, 30, 45, 678901, tzinfo=timezone.utc)
@@ -541,8 +542,23 @@ def entry(spark: SparkSession) -> DataFrame:
     return risk_matrix(spark, f"{TESTDATA}/sf0.001")
 
 
+def _training_data() -> tuple[dict[str, Callable], dict[str, str]]:
+    """Queries and SQL of the training-data operators, where they are installed."""
+    try:
+        import corpus_pipeline
+        from pulseframe.llm import oracle as llm_oracle, queries as llm_queries
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("corpus_pipeline", "pulseframe.llm"):
+            raise
+        return {}, {}
+    found = {q.__name__: q for q in llm_queries.QUERIES} | {"pipeline": corpus_pipeline.run}
+    sql = llm_oracle.ORACLE | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+    return found, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {q.__name__: q for q in _QUERIES}
+    return {q.__name__: q for q in _QUERIES} | _training_data()[0]
 
 
-from spark_entry_oracle import oracle_sql  # noqa: E402,F401
+def oracle_sql() -> dict[str, str]:
+    return own_oracle_sql() | _training_data()[1]
