@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pulseframe.llm import quality
+from pulseframe.llm import pii, quality
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -22,4 +22,15 @@ def op4_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-QUERIES = [op4_quality_rules]
+def op10_pii(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts and digests of the personal data of each document."""
+    rows = pii.find_spans(_table(spark, sf, "documents").select("doc_id", "text"))
+    return rows.select(
+        "doc_id",
+        *[pii.count_kind(kind).alias(f"n_{kind}") for kind in pii.BASE],
+        F.sha2(pii.listed(pii.BASE), 256).alias("base_sha256"),
+        pii.listed(tuple(pii.KINDS)).alias("spans"),
+    )
+
+
+QUERIES = [op4_quality_rules, op10_pii]
