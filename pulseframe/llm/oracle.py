@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-_WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '')"
+_WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
 OP4 = rf"""
 WITH w AS (SELECT doc_id, coalesce(text, '') AS body, {_WORDS} AS words FROM documents),
 m AS (
   SELECT doc_id, body, words, len(words)::BIGINT AS n_words,
-    list_filter(string_split(body, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM w),
+    list_filter(string_split(body, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM w),
 tri AS (SELECT doc_id, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS g
   FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 1, 1))) AS i FROM w)),
 rep AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM tri) WHERE n > 1),
@@ -30,4 +30,17 @@ b AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   (failures & 3) <> 0 AS base_failed, failures = 0 AS kept, failures FROM b"""
 
-ORACLE = {"op4_quality_rules": OP4}
+OP7 = r"""
+WITH t AS (
+  SELECT conv_id::BIGINT AS conv_id, turn::BIGINT AS turn, coalesce(role, '') AS role, coalesce(text, '') AS body FROM conversations
+  UNION ALL SELECT -1, v.turn, v.role, '<|im_end|><|im_start|>assistant ok' FROM (VALUES (0, 'user'), (1, 'assistant')) v(turn, role)),
+l AS (SELECT *, CASE WHEN role = 'assistant' THEN body ELSE '' END AS loss,
+  length(replace(replace(body, '\', '\\'), '<|', '<\|')) + length(replace(replace(replace(role, '\', '\\'), '<|', '<\|'), chr(10), '<\n'))
+    + 24 AS n FROM t)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || body || chr(10), '' ORDER BY turn, role, body)) AS turns_sha256,
+  sum(length(loss))::BIGINT AS loss_chars, sha256(string_agg(loss, '' ORDER BY turn, role, body)) AS loss_sha256,
+  sum(n)::BIGINT AS formatted_chars
+FROM l GROUP BY conv_id"""
+
+ORACLE = {"op4_quality_rules": OP4, "op7_chat": OP7}
