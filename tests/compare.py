@@ -42,7 +42,7 @@ def compare(spark, db, name: str, sf: str) -> list[str]:
     if sorted(relation.columns) != names:
         return [f"columns {names} != {sorted(relation.columns)}"]
     expected_types = dict(zip(relation.columns, [str(t) for t in relation.types]))
-    same = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string"}
+    same = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean"}
     problems = [
         f"type of {c}: {t} != {expected_types[c]}" for c, t in frame.dtypes if same.get(expected_types[c]) != t
     ]
