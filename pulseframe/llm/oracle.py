@@ -43,4 +43,14 @@ SELECT conv_id, count(*) AS n_turns,
   sum(n)::BIGINT AS formatted_chars
 FROM l GROUP BY conv_id"""
 
-ORACLE = {"op4_quality_rules": OP4, "op7_chat": OP7}
+OP8 = r"""
+WITH s AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, ls[i] AS line, i, translate(regexp_replace(ls[i], '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM s)),
+r AS (SELECT k, min(doc_id) AS first FROM l WHERE length(k) >= 10 GROUP BY k HAVING min(doc_id) < max(doc_id))
+SELECT doc_id, count(*) AS n_lines, (count(*) FILTER (r.first < doc_id))::BIGINT AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (r.first IS NULL OR r.first >= doc_id), '')) AS kept_sha256
+FROM l LEFT JOIN r USING (k) GROUP BY doc_id"""
+
+ORACLE = {"op4_quality_rules": OP4, "op7_chat": OP7, "op8_line_dedup": OP8}

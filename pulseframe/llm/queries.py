@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pulseframe.llm import chat, pii, quality
+from pulseframe.llm import chat, lines, pii, quality
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -22,6 +22,12 @@ def op4_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op8_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Digests of the texts without repeated lines."""
+    kept = lines.dedup_lines(_table(spark, sf, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op10_pii(spark: SparkSession, sf: str) -> DataFrame:
     """Counts and digests of the personal data of each document."""
     rows = pii.find_spans(_table(spark, sf, "documents").select("doc_id", "text"))
@@ -59,4 +65,4 @@ def op7_chat(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-QUERIES = [op4_quality_rules, op7_chat, op10_pii]
+QUERIES = [op4_quality_rules, op7_chat, op8_line_dedup, op10_pii]
