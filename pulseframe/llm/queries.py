@@ -4,13 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pulseframe.llm import chat, lines, pii, quality
+from pulseframe.llm import chat, lines, pii, quality, substrings
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Digests of the texts without passages of 50 words that an earlier document holds."""
+    kept = substrings.dedup_substrings(_table(spark, sf, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op4_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     """Ledger rows with the base measurements and the verdict of the current policy."""
     rows = quality.ledger(_table(spark, sf, "documents").select("doc_id", "text"))
@@ -65,4 +71,4 @@ def op7_chat(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-QUERIES = [op4_quality_rules, op7_chat, op8_line_dedup, op10_pii]
+QUERIES = [op1_substring_dedup, op4_quality_rules, op7_chat, op8_line_dedup, op10_pii]
