@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
+
+import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pulseframe.llm import chat, lines, near, pii, quality, substrings
+from pulseframe.llm import bpe, chat, lines, near, pii, quality, substrings
+
+
+VOCABULARY = "word_bpe_49k.json"
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -34,6 +41,33 @@ def op8_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def _digests(path: str):
+    """Digests of ids and of decoded texts, taken where the texts are encoded."""
+
+    def derive(rows: pa.RecordBatch, encoded: bpe.Encoded) -> pa.RecordBatch:
+        tokens = bpe.vocabulary(path).tokens
+        numbers = [str(i).encode() for i in range(len(tokens))]
+        sha = lambda texts: pa.array([hashlib.sha256(t).hexdigest() for t in texts])
+        _, offset = encoded.text_ids()
+        return pa.RecordBatch.from_arrays(
+            [
+                rows.column(0), pa.array(offset[1:] - offset[:-1], pa.int64()),
+                sha(encoded.joined(numbers)), sha(encoded.joined(tokens)),
+            ],
+            ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+        )
+
+    return derive
+
+
+def op9_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    """All texts encoded and decoded again."""
+    path = public_tokenizers.path(VOCABULARY)
+    docs = _table(spark, sf, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return bpe.encode_documents(docs, path, _digests(path), schema)
+
+
 def op10_pii(spark: SparkSession, sf: str) -> DataFrame:
     """Counts and digests of the personal data of each document."""
     rows = pii.find_spans(_table(spark, sf, "documents").select("doc_id", "text"))
@@ -79,4 +113,4 @@ def op7_chat(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-QUERIES = [op1_substring_dedup, op4_quality_rules, op5_near_dedup, op7_chat, op8_line_dedup, op10_pii]
+QUERIES = [op1_substring_dedup, op4_quality_rules, op5_near_dedup, op7_chat, op8_line_dedup, op9_bpe, op10_pii]
