@@ -8,7 +8,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pulseframe.llm import bpe, chat, lines, near, pii, quality, substrings
+from pulseframe.llm import bpe, chat, lines, near, pack, pii, quality, substrings
 
 
 VOCABULARY = "word_bpe_49k.json"
@@ -24,6 +24,12 @@ def op1_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op3_packing(spark: SparkSession, sf: str) -> DataFrame:
+    """The pieces of all documents in sequences of 4,096 tokens, mixed by source."""
+    pieces = pack.pack(_table(spark, sf, "documents"), public_tokenizers.path(VOCABULARY))
+    return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source")
+
+
 def op4_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     """Ledger rows with the base measurements and the verdict of the current policy."""
     rows = quality.ledger(_table(spark, sf, "documents").select("doc_id", "text"))
@@ -113,4 +119,4 @@ def op7_chat(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-QUERIES = [op1_substring_dedup, op4_quality_rules, op5_near_dedup, op7_chat, op8_line_dedup, op9_bpe, op10_pii]
+QUERIES = [op1_substring_dedup, op3_packing, op4_quality_rules, op5_near_dedup, op7_chat, op8_line_dedup, op9_bpe, op10_pii]
