@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from pulseframe.llm import wordhash
+from pulseframe.llm.batches import bound_batches
 from pulseframe.session import materialize, scratch_path
 
 MIN_CHARS = 10
@@ -134,35 +135,45 @@ def _hash(key: bytes) -> int:
 _PROBES = "h1 long, h2 long, first long, last long, n long, docs binary"
 
 
+#: lines that are grouped before they leave a task, about
+GROUP_LINES = 200_000
+
+
+def _grouped(found: bytearray, ids: list[int], counts: list[int]) -> pa.RecordBatch:
+    """The distinct keys of some documents with the ids that hold them."""
+    halves = np.frombuffer(bytes(found), ">u8").astype(np.uint64).reshape(-1, 2)
+    docs = np.repeat(np.array(ids, np.int64), counts)
+    order = np.lexsort((docs, halves[:, 1], halves[:, 0]))
+    h1, h2, docs = halves[order, 0], halves[order, 1], docs[order]
+    new = np.ones(len(docs), bool)
+    new[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
+    begin = np.flatnonzero(new)
+    ends = np.append(begin, len(docs))
+    return pa.RecordBatch.from_arrays(
+        [
+            wordhash.signed(h1[begin]), wordhash.signed(h2[begin]), pa.array(docs[begin]),
+            pa.array(docs[ends[1:] - 1]), pa.array(np.diff(ends)), wordhash.packed(docs.astype(_OFTEN), ends),
+        ],
+        ["h1", "h2", "first", "last", "n", "docs"],
+    )
+
+
 def _probes(min_chars: int):
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The distinct keys of each batch with the documents that hold them."""
+        found, ids, counts = bytearray(), [], []
         for batch in batches:
-            found = bytearray()
-            ids, counts = [], []
-            texts = batch.column(1)
-            for doc, text in zip(batch.column(0).to_pylist(), texts):
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 body = text.as_buffer().to_pybytes() if text.is_valid else b""
                 keys = {k for k in (line_key(x, min_chars) for x in body.split(b"\n")) if k is not None}
                 for key in keys:
                     found += xxhash.xxh3_128_digest(key)
                 ids.append(doc)
                 counts.append(len(keys))
-            halves = np.frombuffer(bytes(found), ">u8").astype(np.uint64).reshape(-1, 2)
-            docs = np.repeat(np.array(ids, np.int64), counts)
-            order = np.lexsort((docs, halves[:, 1], halves[:, 0]))
-            h1, h2, docs = halves[order, 0], halves[order, 1], docs[order]
-            new = np.ones(len(docs), bool)
-            new[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
-            begin = np.flatnonzero(new)
-            ends = np.append(begin, len(docs))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    wordhash.signed(h1[begin]), wordhash.signed(h2[begin]), pa.array(docs[begin]),
-                    pa.array(docs[ends[1:] - 1]), pa.array(np.diff(ends)), wordhash.packed(docs.astype(_OFTEN), ends),
-                ],
-                ["h1", "h2", "first", "last", "n", "docs"],
-            )
+            if len(found) >= 16 * GROUP_LINES:
+                yield _grouped(found, ids, counts)
+                found, ids, counts = bytearray(), [], []
+        if found:
+            yield _grouped(found, ids, counts)
 
     return of_batches
 
@@ -200,6 +211,7 @@ def _dropping(text: int, dropped: int, min_chars: int):
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the lines that a document with a smaller id holds; with ``n_lines`` and ``n_dropped``."""
     spark = docs.sparkSession
+    bound_batches(spark)
     docs = docs.drop("n_lines", "n_dropped")
     keyed = docs.select(F.col(doc_id).cast("long").alias("_doc"), text).where("_doc IS NOT NULL")
     probes = materialize(keyed.mapInArrow(_probes(min_chars), _PROBES), scratch_path(spark, "line_probes"))
