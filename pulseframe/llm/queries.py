@@ -8,7 +8,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pulseframe.llm import bpe, chat, lines, near, pack, pii, quality, substrings
+from pulseframe.llm import bpe, chat, language, lines, near, pack, pii, quality, substrings
 
 
 VOCABULARY = "word_bpe_49k.json"
@@ -24,6 +24,14 @@ def op1_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op2_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    """Languages of all texts, learned from the documents that are not held out."""
+    docs = _table(spark, sf, "documents").select("doc_id", "text", "lang")
+    model = language.fit(docs.where(~language.held_out(F.col("doc_id"))))
+    rows = language.label(docs.select("doc_id", "text"), model)
+    return rows.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "spans")
+
+
 def op3_packing(spark: SparkSession, sf: str) -> DataFrame:
     """The pieces of all documents in sequences of 4,096 tokens, mixed by source."""
     pieces = pack.pack(_table(spark, sf, "documents"), public_tokenizers.path(VOCABULARY))
@@ -119,4 +127,4 @@ def op7_chat(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-QUERIES = [op1_substring_dedup, op3_packing, op4_quality_rules, op5_near_dedup, op7_chat, op8_line_dedup, op9_bpe, op10_pii]
+QUERIES = [op1_substring_dedup, op2_language_id, op3_packing, op4_quality_rules, op5_near_dedup, op7_chat, op8_line_dedup, op9_bpe, op10_pii]
