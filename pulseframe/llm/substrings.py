@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from pulseframe.llm import wordhash
+from pulseframe.llm.batches import bound_batches
 from pulseframe.llm.wordhash import mix, packed, ranges, run_hashes, signed, strings, unpacked, word_slices
 from pulseframe.session import materialize, scratch_path
 
@@ -94,6 +95,12 @@ def _grouped(a: np.ndarray, b: np.ndarray, spots: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, ["a", "b", "first", "last", "spots"])
 
 
+def _joined(found: list) -> pa.RecordBatch:
+    return _grouped(*[np.concatenate(x) for x in zip(*found)])
+
+
+#: blocks or windows that are grouped before they leave a task, about
+GROUP = 300_000
 _GROUPED = "a long, b long, first long, last long, spots binary"
 
 
@@ -104,9 +111,10 @@ def _crcs(texts: pa.Array) -> np.ndarray:
 
 def _index_blocks(window: int):
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = []
         for batch in batches:
             texts, docs = strings(batch.column(1)), batch.column(0).to_numpy()
-            crcs, found = _crcs(texts), []
+            crcs = _crcs(texts)
             for low, _, words in word_slices(texts, lanes=2):
                 part = _blocks(words, window)
                 if part is None:
@@ -116,8 +124,11 @@ def _index_blocks(window: int):
                 spots["doc"], spots["crc"] = docs[low + owner], crcs[low + owner]
                 spots["start"], spots["n"] = at - words.offset[owner], size
                 found.append((seed, block, spots))
-            if found:
-                yield _grouped(*[np.concatenate(x) for x in zip(*found)])
+            if sum(len(x[0]) for x in found) >= GROUP:
+                yield _joined(found)
+                found = []
+        if found:
+            yield _joined(found)
 
     return of_batches
 
@@ -156,9 +167,10 @@ def _look_into(window: int):
     """The windows of the ranges to be looked into, grouped like blocks."""
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = []
         for batch in batches:
             texts, docs, column = strings(batch.column("text")), batch.column("_doc").to_numpy(), batch.column("_ranges")
-            crcs, found = _crcs(texts), []
+            crcs = _crcs(texts)
             for low, high, words in word_slices(texts, lanes=2):
                 hashes = [run_hashes(lane, window, i) for i, lane in enumerate(words.lanes)]
                 for text in range(low, high):
@@ -170,8 +182,11 @@ def _look_into(window: int):
                     spots = np.empty(len(at), _SPOT)
                     spots["doc"], spots["crc"], spots["start"], spots["n"] = docs[text], crcs[text], inside, 1
                     found.append((hashes[0][at], hashes[1][at], spots))
-            if found:
-                yield _grouped(*[np.concatenate(x) for x in zip(*found)])
+            if sum(len(x[0]) for x in found) >= GROUP:
+                yield _joined(found)
+                found = []
+        if found:
+            yield _joined(found)
 
     return of_batches
 
@@ -255,6 +270,7 @@ def _listed():
 
 def dedup_substrings(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: its id, ``n_words``, ``n_removed``, ``kept_text`` and the removed ``spans`` of words (end exclusive)."""
+    bound_batches(docs.sparkSession)
     own = docs.select(F.col(doc_id).cast("long").alias("_doc"), F.col(text).alias("text"))
     spans = duplicate_spans(own.where("_doc IS NOT NULL"), window)
     joined = own.join(spans.groupBy("_doc").agg(_listed()), "_doc", "left")
