@@ -53,4 +53,13 @@ SELECT doc_id, count(*) AS n_lines, (count(*) FILTER (r.first < doc_id))::BIGINT
   sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (r.first IS NULL OR r.first >= doc_id), '')) AS kept_sha256
 FROM l LEFT JOIN r USING (k) GROUP BY doc_id"""
 
-ORACLE = {"op4_quality_rules": OP4, "op7_chat": OP7, "op8_line_dedup": OP8}
+OP6 = """
+WITH v AS (SELECT vec_id::BIGINT AS vec_id, row_number() OVER () AS r,
+    list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS f FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x::DOUBLE))) = len(embedding)),
+s AS (SELECT q.r, q.vec_id AS query_id, c.vec_id, list_inner_product(q.f, c.f)::BIGINT AS score
+  FROM v q JOIN v c ON q.r <> c.r AND len(q.f) = len(c.f) WHERE q.vec_id % 20 = 0)
+SELECT query_id, rank::INT AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20"""
+
+ORACLE = {"op6_top_k": OP6, "op4_quality_rules": OP4, "op7_chat": OP7, "op8_line_dedup": OP8}

@@ -8,7 +8,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pulseframe.llm import bpe, chat, language, lines, near, pack, pii, quality, substrings
+from pulseframe.llm import bpe, chat, language, lines, near, nearest, pack, pii, quality, substrings
 
 
 VOCABULARY = "word_bpe_49k.json"
@@ -104,6 +104,11 @@ def op5_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op6_top_k(spark: SparkSession, sf: str) -> DataFrame:
+    """The 20 best other vectors for every vector whose id is divisible by 20."""
+    return nearest.top_k(_table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op7_chat(spark: SparkSession, sf: str) -> DataFrame:
     """All conversations, and one made of control strings, formatted and read back."""
     rows = _table(spark, sf, "conversations").select(
@@ -127,4 +132,4 @@ def op7_chat(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-QUERIES = [op1_substring_dedup, op2_language_id, op3_packing, op4_quality_rules, op5_near_dedup, op7_chat, op8_line_dedup, op9_bpe, op10_pii]
+QUERIES = [op1_substring_dedup, op2_language_id, op3_packing, op4_quality_rules, op5_near_dedup, op6_top_k, op7_chat, op8_line_dedup, op9_bpe, op10_pii]
