@@ -1,23 +1,65 @@
 """Raw documents to packed training sequences.
 
 ``STAGES`` lists (name, function); each function takes ``(spark, docs, sf_dir)`` and returns a
-DataFrame that is written as Parquet and read again as the next stage's ``docs``.
+DataFrame that is written as Parquet and read again as the next stage's ``docs``. All stages but the last
+return the columns of ``docs``; ``n_chars``, where there is one, follows the text.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pulseframe.llm import quality
+from pulseframe.llm import lines, near, pack, pii, quality
 from pulseframe.session import materialize, scratch_path
 
+VOCABULARY = "word_bpe_49k.json"
+
+
+def _counted(docs: DataFrame, like: DataFrame) -> DataFrame:
+    """The columns of ``like``, with n_chars as the length of the text."""
+    if "n_chars" in like.columns:
+        docs = docs.withColumn("n_chars", F.char_length("text").cast(like.schema["n_chars"].dataType))
+    return docs.select(*[F.col(f"`{c}`") for c in like.columns])
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the current policy accepts."""
     return quality.keep_good(docs)
 
 
-STAGES = [("quality_rules", quality_rules)]
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the lines that a document with a smaller id holds."""
+    return _counted(lines.dedup_lines(docs), docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: five words a shingle, similarity 0.8.
+
+    Documents without id or without words are in no group and stay.
+    """
+    groups = near.near_duplicates(docs.select("doc_id", "text"))
+    away = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_away")).distinct()
+    return docs.join(away, F.col("doc_id") == F.col("_away"), "left_anti")
+
+
+def pii_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts with personal data replaced by its kind."""
+    return _counted(pii.redact(docs), docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each piece of each document lies in sequences of 4,096 tokens mixed by source."""
+    return pack.pack(docs, public_tokenizers.path(VOCABULARY))
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("pii_redaction", pii_redaction),
+    ("packing", packing),
+]
 
 #: cutting documents into sequences of tokens has no SQL; tests/llm compares with brute force
 ORACLE_SQL = None

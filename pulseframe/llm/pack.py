@@ -115,7 +115,7 @@ def _before(rows: DataFrame, by: list[str], value: str) -> DataFrame:
     )
 
 
-def carried(pieces: DataFrame, mixture: dict[str, float] | None = None) -> DataFrame:
+def carried(pieces: DataFrame, total: int, mixture: dict[str, float] | None = None) -> DataFrame:
     """(part, source, share, deficit): what each source is owed when a part begins.
 
     Shares are the sources' proportions of all tokens, or those of ``mixture`` (source to weight).
@@ -124,9 +124,7 @@ def carried(pieces: DataFrame, mixture: dict[str, float] | None = None) -> DataF
     parts = _before(counts.groupBy("part").agg(F.sum("n").alias("n")), [], "n").select("part", F.col("before").alias("all_before"))
     own = _before(counts, ["source"], "n")
     if mixture is None:
-        total = counts.agg(F.sum("n").alias("_all"))
-        shares = counts.groupBy("source").agg(F.sum("n").alias("_n")).crossJoin(F.broadcast(total))
-        shares = shares.select("source", (F.col("_n") / F.col("_all")).alias("share"))
+        shares = counts.groupBy("source").agg((F.sum("n") / F.lit(max(total, 1))).alias("share"))
     else:
         whole = sum(mixture.values())
         weights = F.create_map(*[x for s, w in mixture.items() for x in (F.lit(s), F.lit(w / whole))])
@@ -241,6 +239,6 @@ def pack(
     parts = max(1, math.ceil(total / (capacity * part_windows)))
     width = 2 if len(bpe.vocabulary(path).tokens) <= 1 << 16 else 4
     pieces = _dealt(tokens, parts, width)
-    owed = materialize(carried(pieces, mixture), scratch_path(spark, "deficits"))
+    owed = materialize(carried(pieces, total, mixture), scratch_path(spark, "deficits"))
     queues = pieces.select("part", "place", "doc_id", "source", "start", "doc_tokens", "ids").groupBy("part")
     return queues.cogroup(owed.groupBy("part")).applyInArrow(_packing(capacity, width), _PIECES)
