@@ -11,9 +11,12 @@ number of agreeing bins is concentrated around it.
    at the threshold misses all buckets with a probability of 1e-7.
 3. In each bucket every member is compared with one pivot, on the full sets. Linked members become one
    component and need no further comparison. Buckets that still hold several components get another
-   pivot, as long as that joins components, and at last all pairs of members of different components.
-   So every candidate link is either tested or lies within a component already; no pair is capped, and
-   copies are never paired with each other.
+   pivot, as long as that joins components.
+4. What then shares a bucket but not a component is compared pair by pair, on the full sets, unless the
+   sets cannot reach the threshold: similar sets must share one of their rarest shingles (the prefix of a
+   common order by frequency), and shingles that no other set has bound the similarity.
+   So every candidate link is tested, ruled out by an exact bound, or lies within a component already. No
+   pair is capped, and copies are never paired with each other.
 
 Defined cases: null, empty and blank texts have an empty set and are linked with nothing; a text with
 fewer words than a shingle is one shingle; documents without id are left out; rows that share a
@@ -31,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pulseframe.llm import wordhash
+from pulseframe.llm.batches import bound_batches
 from pulseframe.llm.components import components
 from pulseframe.llm.wordhash import mix, ranges, run_hashes, signed, strings, word_slices
 from pulseframe.session import materialize, scratch_path
@@ -158,8 +162,69 @@ def _linked(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
 
 
 def _pivot(turn: int) -> Column:
-    """The member of a bucket that the others are compared with; another one each turn."""
-    return F.min("rep") if turn == 0 else F.min_by("rep", F.xxhash64("rep", F.lit(turn)))
+    """The member of a bucket that the others are compared with: the most central one, then others by chance.
+
+    What many copies were made from shares buckets with most of them, and is close to more of them than
+    they are to each other.
+    """
+    chance = F.xxhash64("rep", F.lit(turn)).bitwiseAND(F.lit(1023)) if turn else F.lit(1)
+    return F.max_by("rep", F.struct(F.col("central") * chance, -F.col("rep")))
+
+
+#: differences from a common reference that are kept, as a share of the set
+_CLOSE = 0.5
+
+
+def _references(members: DataFrame) -> DataFrame:
+    """(rep, ref): the most central representative that shares a bucket with each one."""
+    first = F.max_by("rep", F.struct("central", -F.col("rep")))
+    top = members.groupBy("key").agg(first.alias("ref"), F.max("central").alias("c"))
+    return members.select("key", "rep").join(top, "key").groupBy("rep").agg(F.max_by("ref", F.struct("c", -F.col("ref"))).alias("ref"))
+
+
+def _prefixes(open_: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """(rep, label, n, common, prefix, ref, n_ref, missing, extra): of n shingles, how many another open set
+    has, the rarest of those of which a similar set must share one, and the differences from the
+    reference set (null if there are too many to carry along)."""
+    one = sets.join(open_, "rep").select("rep", F.explode("members").alias("shingle"))
+    known = one.groupBy("shingle").agg(F.count(F.lit(1)).alias("df"))
+    ordered = one.join(known, "shingle").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("s"))
+    least = F.expr(f"cast(ceil({similarity} * size(s) / 100) AS INT)")
+    prefix = F.filter(F.slice("s", F.lit(1), F.size("s") - least + 1), lambda x: x["df"] > 1)
+    rows = ordered.select(
+        "rep", F.size("s").alias("n"), F.size(F.filter("s", lambda x: x["df"] > 1)).alias("common"), prefix["shingle"].alias("prefix"), least.alias("least")
+    )
+    rows = rows.where((F.col("common") >= F.col("least")) & (F.size("prefix") > 0)).drop("least").join(open_, "rep")
+    rows = rows.join(sets, "rep").join(sets.select(F.col("rep").alias("ref"), F.col("members").alias("_ref")), "ref")
+    missing, extra = F.array_except("_ref", "members"), F.array_except("members", "_ref")
+    rows = rows.withColumns({"missing": missing, "extra": extra, "n_ref": F.size("_ref")})
+    close = F.size("missing") + F.size("extra") <= F.lit(_CLOSE) * F.col("n")
+    shown = [F.when(close, F.col(c)).alias(c) for c in ("ref", "n_ref", "missing", "extra")]
+    return rows.select("rep", "label", "n", "common", "prefix", *shown)
+
+
+def _remaining(prefixes: DataFrame, similarity: int) -> DataFrame:
+    """Pairs (a, b) of different components that may be similar enough.
+
+    The members of the commonest component of a shingle are only compared with the others, not with each
+    other. Two sets with one reference are compared by their differences from it, which is exact.
+    """
+    rows = prefixes.withColumn("shingle", F.explode("prefix"))
+    sizes = rows.groupBy("shingle", "label").agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.groupBy("shingle").agg(F.max_by("label", F.struct("n", "label")).alias("major"), F.count(F.lit(1)).alias("labels"))
+    rows = rows.join(sizes.where("labels > 1").select("shingle", "major"), "shingle")
+    named = lambda end: rows.select("shingle", "major", *[F.col(c).alias(f"{c}_{end}") for c in prefixes.columns])
+    few, all_ = named("a").where("label_a <> major"), named("b").drop("major")
+    return few.alias("few").join(
+        all_.alias("every"),
+        F.expr(f"""
+            few.shingle = every.shingle AND label_a <> label_b AND (label_b = major OR label_a < label_b)
+            AND 100 * least(common_a, common_b) >= {similarity} * (n_a + n_b - least(common_a, common_b))
+            AND array_min(array_intersect(prefix_a, prefix_b)) = few.shingle
+            AND (coalesce(ref_a <> ref_b, true) OR
+              (100 + {similarity}) * (n_ref_a - size(array_union(missing_a, missing_b)) + size(array_intersect(extra_a, extra_b)))
+                >= {similarity} * (n_a + n_b))"""),
+    ).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
 
 
 def near_duplicates(
@@ -167,6 +232,7 @@ def near_duplicates(
 ) -> DataFrame:
     """Per document: ``doc_id``, ``n_shingles``, ``class_id`` (smallest id with the same set) and ``component_id``."""
     spark = docs.sparkSession
+    bound_batches(spark)
 
     def keep(df: DataFrame, name: str) -> DataFrame:
         return materialize(df, scratch_path(spark, name))
@@ -180,8 +246,10 @@ def near_duplicates(
     reps = some.join(classes.withColumnRenamed("rep", "_doc").select("_doc", "f1", "f2"), ["_doc", "f1", "f2"])
     # one row per representative even if an id is repeated
     buckets = reps.select(F.col("_doc").alias("rep"), F.explode("keys").alias("key"))
-    shared = buckets.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high")
-    members = keep(buckets.join(keep(shared.select("key"), "shared"), "key").distinct(), "members")
+    shared = buckets.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high"), F.count(F.lit(1)).alias("size"))
+    members = keep(buckets.join(keep(shared.where("low < high").select("key", "size"), "shared"), "key").distinct(), "members")
+    central = keep(members.groupBy("rep").agg(F.sum("size").alias("central")), "central")
+    members = keep(members.select("key", "rep").join(central, "rep"), "members")
 
     wanted = keep(members.select("rep").distinct(), "wanted")
     texts = own.select(F.col("_doc").alias("rep"), "text").join(wanted, "rep").mapInArrow(_set_arrays(shingle), "rep long, members array<long>")
@@ -193,7 +261,7 @@ def near_duplicates(
         at = members.withColumn("label", F.col("rep"))
         if labels is not None:
             at = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-            at = at.select("key", "rep", F.coalesce("label", "rep").alias("label"))
+            at = at.select("key", "rep", "central", F.coalesce("label", "rep").alias("label"))
         spread = at.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), _pivot(turn).alias("pivot"))
         spread = keep(spread.where("low < high").select("key", "pivot"), "spread")
         at = keep(at.join(spread, "key"), "open")
@@ -202,8 +270,9 @@ def near_duplicates(
             break
         last = before is not None and left > 0.7 * before
         if last:
-            other = at.select("key", F.col("rep").alias("b"), F.col("label").alias("_label"))
-            pairs = at.select("key", F.col("rep").alias("a"), "label").join(other, "key").where("label < _label")
+            open_ = at.select("rep", "label").distinct().join(_references(members), "rep")
+            prefixes = keep(_prefixes(keep(open_, "open"), sets, similarity), "prefixes")
+            pairs = _remaining(prefixes, similarity)
         else:
             pairs = at.select(F.col("pivot").alias("a"), F.col("rep").alias("b")).where("a <> b")
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
