@@ -8,13 +8,16 @@ from decimal import Decimal
 from pyspark.sql import Column, functions as F
 
 # whole or decimal text without an exponent: the text forms an integer column accepts
-_INTEGER_TEXT = r"^\s*[+-]?\d+(\.\d*)?\s*$"
+_INTEGER_TEXT = r"^\s*[+-]?(\d+(\.\d*)?|\.\d*)\s*$"
+# from here on a browser prints numbers with an exponent
+EXPONENT_FROM = 1e21
 
 
 def parse_int(col: Column) -> Column:
-    """Text -> INT; a fraction is cut off ('72.5' -> 72), anything else is NULL."""
+    """Text -> INT; a fraction is cut off ('72.5' -> 72, '.5' -> 0), anything else is NULL."""
     whole = F.substring_index(F.trim(col), ".", 1)
-    return F.when(col.rlike(_INTEGER_TEXT), whole.try_cast("int"))
+    digits = F.when(whole.isin("", "+", "-"), "0").otherwise(whole)
+    return F.when(col.rlike(_INTEGER_TEXT), digits.try_cast("int"))
 
 
 def parse_double(col: Column) -> Column:
@@ -41,25 +44,58 @@ def log_loss(label: Column, probability: Column, eps: float = 1e-15) -> Column:
     return F.avg(-F.when(label == 1, F.log(p)).when(label == 0, F.log(1.0 - p)))
 
 
+def exponential(x: Column) -> Column:
+    """The text of very large, infinite and undefined numbers: 1.5e+21, Infinity, NaN."""
+    return F.replace(F.replace(x.cast("string"), F.lit(".0E"), F.lit("E")), F.lit("E"), F.lit("e+"))
+
+
+def _halves(size: Column) -> tuple[Column, Column]:
+    """The whole part of a double from 0 to EXPONENT_FROM as high * 2**32 + low."""
+    high = F.floor(size / 2.0**32)
+    return high, F.floor(size - high.cast("double") * 2.0**32)
+
+
+def _joined(high: Column, low: Column) -> Column:
+    return high.cast("decimal(12,0)") * F.lit(Decimal(2**32)) + low.cast("decimal(11,0)")
+
+
+def whole_text(x: Column) -> Column:
+    """Text of a whole number below EXPONENT_FROM: the fewest digits that name the double, then zeros."""
+    size = F.abs(x)
+    exact = _joined(*_halves(size))
+    n = F.length(exact.cast("string"))
+    text = exact
+    for digits in (17, 16, 15):  # beyond 2**53 the last digits say nothing
+        step = F.rpad(F.lit("1"), F.greatest(n - digits + 1, F.lit(1)), "0").cast("decimal(22,0)")
+        rounded = F.floor((exact + F.floor(step / 2)) / step) * step
+        text = F.when((size >= 2.0**53) & (rounded.cast("double") == size), rounded).otherwise(text)
+    return F.concat(F.when(x < 0, "-").otherwise(""), text.cast("decimal(22,0)").cast("string"))
+
+
 def to_fixed(value: Column, digits: int) -> Column:
     """Decimal text with ``digits`` places of the exact binary value, ties away from
     zero - what a browser prints. ``format_string`` rounds the shortest decimal form
     instead and differs there (1.005 -> 1.01 rather than 1.00).
 
-    y counts half steps of the last place, so rounding is (floor(y) + 1) / 2. The double
-    y can only mislead where it is an odd integer, a tie, while the exact product lies
-    just below; the product's error shows that, and splitting x in two halves whose
-    products are exact gives the error exactly.
+    The whole part is exact as two halves of 32 bits and more. y counts half steps of the
+    fraction's last place, so rounding is (floor(y) + 1) / 2. The double y can only
+    mislead where it is an odd integer, a tie, while the exact product lies just below;
+    the product's error shows that, and splitting x in two halves whose products are
+    exact gives the error exactly.
     """
     q = 2.0 * 10**digits
-    x = F.abs(value.cast("double"))
+    size = F.abs(value.cast("double"))
+    small = F.when(size < EXPONENT_FROM, size)
+    high_part, low_part = _halves(small)
+    x = (small - high_part.cast("double") * 2.0**32) - low_part.cast("double")
     y = x * q
     spread = x * 134217729.0  # 2**27 + 1
     high = spread - (spread - x)
     error = (high * q - y) + (x - high) * q
     false_tie = (y % 2.0 == 1.0) & (error < 0)
     steps = F.shiftright(F.floor(y) + 1, 1) - F.when(false_tie, 1).otherwise(0)
-    text = (steps.cast("decimal(18,0)") * F.lit(Decimal(1).scaleb(-digits))).cast("string")
-    rounded = F.concat(F.when(value < 0, "-").otherwise(""), text)
-    # from 2**40 on, doubles have no digits to spare for the test; they print as they are
-    return F.when(value.between(-float(2**40), float(2**40)), rounded).otherwise(value.cast("string"))
+    carry = F.when(steps == 10**digits, 1).otherwise(0)
+    whole = _joined(high_part, low_part + carry)
+    places = F.lpad((steps - carry * 10**digits).cast("string"), digits, "0")
+    text = F.concat(F.when(value < 0, "-").otherwise(""), whole.cast("string"), F.lit("."), places)
+    return F.coalesce(text, exponential(value.cast("double")))

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pulseframe import fixed
-from pulseframe.functions import classify, display_number, display_percent, iso_millis
+from pulseframe.functions import classify, display_number, display_percent, escape_html, iso_millis
 
 
 def with_defaults(df: DataFrame, defaults: dict[str, object]) -> DataFrame:
@@ -34,7 +34,7 @@ def stamp(df: DataFrame, as_of: datetime | Column, out: str = fixed.INFERENCE_TS
 
 
 def report_rows(df: DataFrame) -> DataFrame:
-    """Dashboard rows as text: units attached, '-' for missing values."""
+    """Dashboard rows as text: units attached, '-' for missing values, the citizen id safe to show in a page."""
     types = dict(df.dtypes)
 
     def number(name, unit):
@@ -46,7 +46,7 @@ def report_rows(df: DataFrame) -> DataFrame:
     cls = F.coalesce(F.nullif(F.col(fixed.CLASSIFICATION), F.lit("")), F.lit(fixed.UNKNOWN))
     stamped = F.coalesce(F.nullif(F.col(fixed.INFERENCE_TS), F.lit("")), F.lit("-"))
     return df.select(
-        F.coalesce(F.col(fixed.CITIZEN).cast("string"), F.lit("")).alias(fixed.CITIZEN),
+        escape_html(F.coalesce(F.col(fixed.CITIZEN).cast("string"), F.lit(""))).alias(fixed.CITIZEN),
         number(fixed.HEART_RATE, " bpm").alias("heart_rate"),
         display_percent(F.col(fixed.O2)).alias("o2"),
         number(fixed.SLEEP, "h").alias("sleep"),

@@ -7,7 +7,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from pulseframe.functions import (
-    bucket, classify, clip, display_number, display_percent, as_fraction, hash_long, iso_millis, log_loss,
+    bucket, classify, clip, display_number, display_percent, as_fraction, escape_html, hash_long, iso_millis, log_loss,
     parse_double, parse_int, safe_ratio, to_fixed,
 )
 
@@ -22,9 +22,9 @@ def column(spark, values, schema, col):
 
 
 def test_parse_int(spark):
-    texts = ["72", " 72 ", "72.5", "-3.9", "+4", "5.", "", " ", "abc", "7x", "1e3", "NaN", "99999999999", None, "-", "."]
+    texts = ["72", " 72 ", "72.5", "-3.9", "+4", "5.", "", " ", "abc", "7x", "1e3", "NaN", "99999999999", None, "-", ".", ".5", "-.7"]
     assert column(spark, texts, "x string", parse_int(F.col("x"))) == [
-        72, 72, 72, -3, 4, 5, None, None, None, None, None, None, None, None, None, None,
+        72, 72, 72, -3, 4, 5, None, None, None, None, None, None, None, None, None, 0, 0, 0,
     ]
 
 
@@ -72,7 +72,8 @@ def exact_text(x, digits):
 
 TRICKY = [
     1.005, 0.125, 0.375, 2.675, 1.255, 8.345, 0.005, 0.015, -0.001, -1.005, 95.25, 95.45, 0.0, 1e9 + 0.125,
-    1234567.885, 0.285, 4.35, 99.995, 1 / 3, 2**39 + 0.375, 5e-324,
+    1234567.885, 0.285, 4.35, 99.995, 1 / 3, 2**39 + 0.375, 5e-324, 1500000000000.5, 2.0**40 + 0.25, 2.0**53, -(2.0**52) - 0.5,
+    2.0**64, 123456789012345680000.0, 999999999999999868928.0, 0.9999, 1.9996,
 ]
 
 
@@ -101,6 +102,34 @@ def test_display(spark):
     assert shares == ["95.0%", "100.0%", "95.3%", "-"]
 
 
+def test_display_of_very_large_numbers(spark):
+    """As a browser prints them: digits up to 1e21, then an exponent."""
+    values = [1500000000000.5, 2.0**40 + 0.25, 2.0**53, 2.0**60, 123456789012345680000.0, 1e20, -1e20, 1e21, 1.5e300, float("inf"), float("-inf")]
+    assert column(spark, values, "x double", display_number(F.col("x"))) == [
+        "1500000000000.50", "1099511627776.25", "9007199254740992", "1152921504606847000",
+        "123456789012345680000", "100000000000000000000",
+        "-100000000000000000000", "1e+21", "1.5e+300", "Infinity", "-Infinity",
+    ]
+    assert column(spark, [1e21, -1.5e300, float("nan")], "x double", to_fixed(F.col("x"), 2)) == ["1e+21", "-1.5e+300", "NaN"]
+
+
+def test_escape_html(spark):
+    assert column(spark, ["<b>&\"x'", None], "x string", escape_html(F.col("x"))) == ["&lt;b&gt;&amp;\"x'", None]
+
+
+def test_iso_millis_is_utc_in_any_session_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        zoned = iso_millis(F.timestamp_micros(F.col("x")))
+        # the second one lies in the hour that is skipped in spring
+        got = column(spark, [0, 1710052200000000, -1, None], "x bigint", zoned)
+        assert got == ["1970-01-01T00:00:00.000Z", "2024-03-10T06:30:00.000Z", "1969-12-31T23:59:59.999Z", None]
+        plain = iso_millis(F.to_timestamp_ntz(F.col("x")))
+        assert column(spark, ["2024-03-10 02:30:00.1239"], "x string", plain) == ["2024-03-10T02:30:00.123Z"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_iso_millis(spark):
     plus_two = timezone(timedelta(hours=2))
     moment = datetime(2024, 1, 31, 23, 59, 59, 999999, tzinfo=plus_two)
