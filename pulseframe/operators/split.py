@@ -13,9 +13,7 @@ from pulseframe.functions import as_fraction, hash_long
 from pulseframe.functions.hashing import HASH_BITS
 
 TRAIN, VALIDATION = "train", "validation"
-# up to this many labels the per-label bounds are broadcast; beyond it they are joined
-# through a shuffle whose label groups are cut into SALTS parts
-BROADCAST_LABELS = 1024
+# a label's rows meet its bound in this many parts
 SALTS = 64
 # the histogram has up to 2**PREFIX_BITS prefixes per label, and the pass after it orders
 # about (rows of the label) / 2**PREFIX_BITS hashes; both are small up to 10**12 rows
@@ -44,18 +42,6 @@ def random_split(
     return hashed.withColumn("split", F.when(train, TRAIN).otherwise(VALIDATION)).drop("_hash")
 
 
-def _few(bounds: DataFrame) -> DataFrame | None:
-    """The per-label bounds as a local frame, or None when there are too many labels."""
-    known = bounds.limit(BROADCAST_LABELS + 1).collect()
-    if len(known) > BROADCAST_LABELS:
-        return None
-    if not known:
-        return bounds.limit(0)
-    types = dict(bounds.dtypes)
-    rows = [F.struct(*[F.lit(row[c]).cast(types[c]).alias(c) for c in bounds.columns]) for row in known]
-    return bounds.sparkSession.range(1).select(F.inline(F.array(*rows)))
-
-
 def stratified_bounds(df: DataFrame, label: str, share: float) -> DataFrame:
     """Per label the largest ``_hash`` that still trains: rows train while fewer than
     floor(share * rows of the label) rows come before them in hash order.
@@ -86,11 +72,8 @@ def stratified_bounds(df: DataFrame, label: str, share: float) -> DataFrame:
         .withColumnsRenamed({label: "_label", "_prefix": "_at"})
     )
     same = F.col(label).eqNullSafe(F.col("_label")) & (F.col("_prefix") == F.col("_at"))
-    few = _few(at_bound)
-    if few is not None:
-        inside = df.join(F.broadcast(few), same).groupBy(label, "_hash", "_wanted", "_before").agg(rows)
-    else:  # copies of a hot key are merged before the rows meet their label's bound
-        inside = df.groupBy(label, "_prefix", "_hash").agg(rows).join(at_bound, same)
+    # copies of a hot key are merged before the rows meet their label's bound
+    inside = df.groupBy(label, "_prefix", "_hash").agg(rows).join(at_bound, same)
     rank = F.col("_before") + F.sum("_n").over(running("_hash")) - F.col("_n")
     return (
         inside.withColumn("_rank", rank)
@@ -108,21 +91,18 @@ def stratified_split(
     seed: int | None = fixed.SEED,
 ) -> DataFrame:
     """Add ``split`` with exactly floor(share * n) training rows per label when keys are
-    unique (rows sharing a key are never separated). Two small jobs find the bounds;
-    the rows themselves are not shuffled. A ``_hash`` column from ``with_hash`` is used
-    (and dropped) if there is one."""
+    unique (rows sharing a key are never separated). Everything is lazy: the bounds are
+    part of the plan. They are one row per label, so adaptive execution broadcasts them
+    where their measured size allows it; else each label's rows meet them in SALTS parts,
+    dealt by the row's place so that copies of one row part as well. A ``_hash`` column
+    from ``with_hash`` is used (and dropped) if there is one."""
     hashed = df if "_hash" in df.columns else with_hash(df, key, seed)
     columns = [c for c in df.columns if c != "_hash"]
     bounds = stratified_bounds(hashed, label, share)
     same = F.col(label).eqNullSafe(F.col("_label"))
-    few = _few(bounds)
-    if few is not None:
-        placed = hashed.join(F.broadcast(few), same, "left")
-    else:
-        parts = F.sequence(F.lit(0), F.lit(SALTS - 1))
-        salted = hashed.withColumn("_salt", F.pmod(F.xxhash64(*columns), F.lit(SALTS)).cast("int"))
-        spread = bounds.withColumn("_part", F.explode(parts))
-        placed = salted.join(spread, same & (F.col("_salt") == F.col("_part")), "left")
+    salted = hashed.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+    spread = bounds.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    placed = salted.join(spread, same & (F.col("_salt") == F.col("_part")), "left")
     side = F.when(F.col("_hash") <= F.col("_bound"), TRAIN).otherwise(VALIDATION)
     return placed.select(*columns, side.alias("split"))
 

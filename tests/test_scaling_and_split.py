@@ -78,15 +78,20 @@ def split_rows(spark, rows, share, partitions=4):
     return Counter(tuple(r) for r in split.stratified_split(df, "id", share=share).collect())
 
 
-@pytest.mark.parametrize("wide", [False, True])
-def test_stratified_split_matches_brute_force(spark, monkeypatch, wide):
-    if wide:  # more labels than may be broadcast
-        monkeypatch.setattr(split, "BROADCAST_LABELS", 1)
+@pytest.mark.parametrize("threshold", ["10m", "-1"])  # with and without a broadcast of the bounds
+def test_stratified_split_matches_brute_force(spark, monkeypatch, threshold):
+    monkeypatch.setattr(split, "SALTS", 8)
+    for key in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+        spark.conf.set(key, threshold)
     rng = random.Random(3)
     rows = [(i, rng.choice([0, 0, 0, 1, None])) for i in range(3000)]
     rows += [(7_000_000, 0)] * 1500  # one key holds a third of the rows
-    for share in (0.8, 0.0, 1.0):
-        assert split_rows(spark, rows, share) == expected_sides(rows, share)
+    try:
+        for share in (0.8, 0.0, 1.0):
+            assert split_rows(spark, rows, share) == expected_sides(rows, share)
+    finally:
+        for key in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+            spark.conf.unset(key)
 
 
 def test_stratified_split_with_coarse_prefix(spark, monkeypatch):
@@ -115,10 +120,23 @@ def test_stratified_counts_are_exact(spark):
     assert train.count() + validation.count() == 10_001 and train.columns == ["id", "label"]
 
 
-def test_stratified_split_does_not_shuffle_rows(spark):
+def test_stratified_split_is_lazy_and_broadcasts_measured_bounds(spark):
     df = spark.range(1000).withColumn("label", (F.col("id") % 2).cast("int"))
-    plan = split.stratified_split(df, "id")._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    group = "lazy-split"
+    spark.sparkContext.setJobGroup(group, "")
+    placed = split.stratified_split(df, "id")
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    spark.sparkContext.setJobGroup("other", "")
+    placed.collect()
+    plan = placed._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan.split("Initial Plan")[0]
+
+
+def test_copies_of_a_row_meet_their_bound_in_many_parts(spark):
+    df = spark.createDataFrame([(7, 0)] * 10_000 + [(i, 0) for i in range(100, 20_100)], "id bigint, label int")
+    salts = df.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(split.SALTS)))
+    most = salts.where("id = 7").groupBy("_salt").count().agg(F.max("count")).first()[0]
+    assert most <= 2 * 10_000 / split.SALTS
 
 
 def test_split_without_key_uses_whole_row(spark):
