@@ -25,6 +25,14 @@ RAW_KEY = [CITIZEN, TIMESTAMP]
 ANALYTICS_COLUMNS = RAW_COLUMNS + [CLASSIFICATION, INFERENCE_TS]
 ANALYTICS_KEY = [CITIZEN, INFERENCE_TS]
 
+# -- documents, table properties and files of the batch job ----------------------
+STATISTICS_KEYS = ["features", "stats", "train_count", "val_count", "total_processed", "created_at"]
+TABLE_PROPERTIES = ["recordCount", "trainCount", "valCount", "featureCount", "last_etl_run", "sourceKey"]
+PROCESSED, CONFIG = "processed", "config"
+TRAIN_FILE, VALIDATION_FILE = "train/train.csv", "validation/validation.csv"
+STATISTICS_FILE = "normalization_stats.json"
+RESULTS_PREFIX = "results_"
+
 TRAINING_CSV = {
     CITIZEN: "string",
     HEART_RATE: "int",

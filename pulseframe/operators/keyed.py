@@ -30,5 +30,6 @@ def latest_per_citizen(df: DataFrame, order: list[str] | None = None) -> DataFra
 
 
 def pending(raw: DataFrame, analytics: DataFrame, keys: list[str] = fixed.RAW_KEY) -> DataFrame:
-    """Raw records without a row in the analytics table."""
-    return raw.join(analytics.select(*keys), keys, "left_anti")
+    """Raw records without a row in the analytics table. With a version among the keys, a corrected record
+    is pending again. Copies of a key are merged before they meet the raw records."""
+    return raw.join(analytics.select(*keys).distinct(), keys, "left_anti")

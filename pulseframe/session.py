@@ -59,11 +59,31 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def read_partitioned(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """A folder of Parquet partitions; empty while nothing has been written there."""
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate results."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below a folder that exists; those with a leading _ or . are not data."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    names = [status.getPath().getName() for status in found if status.isDirectory()]
+    return sorted(name for name in names if name[0] not in "_.")
+
+
+def read_partitioned(spark: SparkSession, path: str, schema: StructType, may_be_missing: bool = False) -> DataFrame:
+    """A folder of Parquet partitions. A folder that is not there is an error, unless the caller is the one
+    who will create it."""
     try:
         return spark.read.schema(schema).option("basePath", path).parquet(path)
     except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
+        if not may_be_missing or missing.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)

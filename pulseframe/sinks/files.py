@@ -34,14 +34,15 @@ def stats_document(
     def cut(value):
         return value if digits is None else round(value, digits)
 
-    return {
-        "features": list(stats),
-        "stats": {c: {part: cut(v) for part, v in s.items()} for c, s in stats.items()},
-        "train_count": train_count,
-        "val_count": val_count,
-        "total_processed": total,
-        "created_at": as_of.astimezone(timezone.utc).isoformat(),
-    }
+    values = [
+        list(stats),
+        {c: {part: cut(v) for part, v in s.items()} for c, s in stats.items()},
+        train_count,
+        val_count,
+        total,
+        as_of.astimezone(timezone.utc).isoformat(),
+    ]
+    return dict(zip(fixed.STATISTICS_KEYS, values, strict=True))
 
 
 def write_document(spark: SparkSession, document: dict, path: str) -> None:
@@ -57,23 +58,19 @@ def read_document(spark: SparkSession, path: str) -> dict:
 def table_properties(
     total: int, train_count: int, val_count: int, n_features: int, as_of: datetime, source: str
 ) -> dict[str, str]:
-    return {
-        "recordCount": str(total),
-        "trainCount": str(train_count),
-        "valCount": str(val_count),
-        "featureCount": str(n_features),
-        "last_etl_run": as_of.astimezone(timezone.utc).isoformat(),
-        "sourceKey": source,
-    }
+    values = [total, train_count, val_count, n_features, as_of.astimezone(timezone.utc).isoformat(), source]
+    return dict(zip(fixed.TABLE_PROPERTIES, map(str, values), strict=True))
 
 
 def register_table(spark: SparkSession, name: str, path: str, properties: dict[str, str]) -> bool:
-    """Put the Parquet folder in the catalog with its run properties. The data is already
-    written, so a catalog failure is only reported."""
+    """Put the Parquet folder in the catalog with its run properties; a table of the name is pointed to the
+    folder. The data is already written, so a catalog failure is only reported."""
     quote = lambda text: "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
     pairs = ", ".join(f"{quote(k)} = {quote(v)}" for k, v in properties.items())
     try:
-        if not spark.catalog.tableExists(name):
+        if spark.catalog.tableExists(name):
+            spark.sql(f"ALTER TABLE {name} SET LOCATION {quote(path)}")
+        else:
             spark.catalog.createTable(name, path=path, source="parquet")
         spark.catalog.refreshTable(name)
         spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({pairs})")
@@ -88,7 +85,7 @@ def export_csv(df: DataFrame, directory: str, as_of: datetime) -> str | None:
     Pass a written or cached frame: the emptiness test reads it once more."""
     if df.isEmpty():
         return None
-    path = f"{directory.rstrip('/')}/results_{as_of.astimezone(timezone.utc):%Y%m%d%H%M%S}"
+    path = f"{directory.rstrip('/')}/{fixed.RESULTS_PREFIX}{as_of.astimezone(timezone.utc):%Y%m%d%H%M%S}"
     df.write.mode("overwrite").csv(path, header=True)
     return path
 

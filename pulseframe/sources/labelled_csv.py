@@ -8,11 +8,16 @@ from pulseframe import fixed
 
 
 def read_training_csv(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    """CSV with a header, all columns as text (types come from ``coerce``). The columns
-    are declared, so no pass over the file is spent on inference."""
+    """CSV with a header, which names the columns in any order; further columns are not read. All are text
+    (types come from ``coerce``). Only the header is read ahead of the data. A file without one of the
+    columns is an error.
+    """
     names = columns or list(fixed.TRAINING_CSV)
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
-    return spark.read.schema(schema).csv(path, header=True, enforceSchema=False)
+    rows = spark.read.option("header", True).option("inferSchema", False).csv(path, enforceSchema=False)
+    lacking = [c for c in names if c not in rows.columns]
+    if lacking:
+        raise ValueError(f"no column {', '.join(lacking)} in {path}")
+    return rows.select(*names)
 
 
 def read_split_csv(spark: SparkSession, path: str, features: list[str] = fixed.SCALED_FEATURES) -> DataFrame:

@@ -14,6 +14,8 @@ _FIELDS = (
     f"{fixed.O2}: double, {fixed.SLEEP}: double, {fixed.CALORIES}: int"
 )
 _FLAT_OBJECT = r"^[ \t\r\n]*+\{[^{}]*+\}[ \t\r\n]*+$"
+# else an object with a repeated key is no object, and the session would decide about a message's route
+_DUPLICATES = "spark.sql.variant.allowDuplicateKeys"
 # strict JSON: no quoted or bare NaN as a number, no single quotes
 _STRICT = {"allowNonNumericNumbers": "false", "allowSingleQuotes": "false", "columnNameOfCorruptRecord": "_bad"}
 
@@ -68,6 +70,8 @@ def route(df: DataFrame, col: str = "data") -> DataFrame:
     parsed as VARIANT, whose types tell an absent value from a null and a number from a
     quoted number.
     """
+    if df.sparkSession.conf.get(_DUPLICATES, "false") != "true":
+        raise ValueError(f"set {_DUPLICATES} to true: repeated JSON keys keep their last value")
     text = F.col("_text")
     direct = F.when(text.rlike(_FLAT_OBJECT), F.from_json(text, f"struct<{_FIELDS}, _bad: string>", _STRICT))
     read = df.withColumn("_text", _text(F.col(col))).withColumn("_direct", direct)

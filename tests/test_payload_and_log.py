@@ -189,13 +189,11 @@ def test_log_replay_and_snapshot(spark, tmp_path):
     assert counts == {(0, "kept"): 3, (0, "error"): 1, (1, "kept"): 2}
 
     snap0, snap1 = str(tmp_path / "s0"), str(tmp_path / "s1")
-    record_log.write_snapshot(spark, log, snap0, 0)
-    assert content(record_log.current(spark, log, snapshot=snap0, upto=0)) == want
-    record_log.write_snapshot(spark, log, snap1, 1, previous=(snap0, 0))
-    assert content(record_log.current(spark, log, snapshot=snap1, upto=1)) == want
-    later = record_log.current(spark, log, snapshot=snap0, upto=0)
-    plan = later._jdf.queryExecution().executedPlan().toString()
-    assert "(batch_id#" in plan and "> 0)" in plan  # old batches are pruned by folder
+    assert record_log.write_snapshot(spark, log, snap0, upto=0) == {record_log.BY_HAND: 0}
+    assert content(record_log.current(spark, log)) == want
+    assert record_log.write_snapshot(spark, log, snap1) == {record_log.BY_HAND: 1}
+    assert record_log.published_snapshot(spark, log) == (snap1, {record_log.BY_HAND: 1})
+    assert content(record_log.current(spark, log)) == want == content(record_log.current(spark, log, snapshot=False))
     bad = record_log.read_log(spark, log, "error").count()
     assert bad == 1
 
@@ -236,8 +234,8 @@ def test_failed_micro_batch_is_replayed_once(spark, tmp_path, monkeypatch):
     write_feed(spark, feed, feed_rows((1, "a", 1, 1), (2, "b", 1, 2)))
     real = ingest.append_batch
 
-    def dies(batch, path, number):
-        real(batch, path, number)
+    def dies(batch, path, number, stream):
+        real(batch, path, number, stream)
         raise RuntimeError("lost")
 
     monkeypatch.setattr(ingest, "append_batch", dies)
@@ -276,9 +274,69 @@ def test_hot_citizen_is_reduced_before_the_shuffle(spark, tmp_path):
     assert latest.count() == 6001
 
 
-def test_empty_log_and_later_batches(spark, tmp_path):
+def test_missing_log_fails_and_later_batches(spark, tmp_path):
     log = str(tmp_path / "log")
-    assert record_log.current(spark, log).isEmpty() and record_log.ingest_counts(spark, log).isEmpty()
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        record_log.current(spark, log)
     record_log.append_batch(route_all(spark, feed_rows((1, "a", 1, 1), (2, "b", 1, 2))), log, 0)
     record_log.append_batch(route_all(spark, feed_rows((3, "b", 1, 3))), log, 1)
     assert content(record_log.current(spark, log, after=0)) == [("b", 1, 3)]
+
+
+def test_snapshot_limits_the_listing(spark, tmp_path, monkeypatch):
+    """After a snapshot only the groups that may hold newer batches are listed."""
+    monkeypatch.setattr(record_log, "GROUP", 2)
+    log = str(tmp_path / "log")
+    for number in range(5):
+        record_log.append_batch(route_all(spark, feed_rows((1, "a", 1, number), (2, f"c{number}", 1, 0))), log, number)
+    record_log.write_snapshot(spark, log, str(tmp_path / "snap"), upto=2)
+    folders = record_log.newer_folders(spark, log, {record_log.BY_HAND: 2})
+    assert [f.rsplit("=", 1)[1] for f in folders] == ["1", "2"]
+    current = record_log.current(spark, log)
+    assert content(current) == [("a", 1, 4)] + [(f"c{i}", 1, 0) for i in range(5)]
+    assert not any("group=0" in f for f in current.inputFiles())
+    # a stream that begins after the snapshot is read from its first batch
+    record_log.append_batch(route_all(spark, feed_rows((1, "z", 1, 7))), log, 0, stream="1")
+    assert ("z", 1, 7) in content(record_log.current(spark, log))
+
+
+def test_two_feeds_fill_one_log(spark, tmp_path):
+    log = str(tmp_path / "log")
+    for name, rows in (("x", feed_rows((1, "a", 1, 1))), ("y", feed_rows((1, "b", 1, 2)))):
+        write_feed(spark, str(tmp_path / name), rows)
+        run_ingest(read_feed(spark, str(tmp_path / name)), log, str(tmp_path / f"state-{name}"))
+    assert content(record_log.current(spark, log)) == [("a", 1, 1), ("b", 1, 2)]
+
+
+def test_lost_checkpoint_overwrites_nothing(spark, tmp_path):
+    feed, log = str(tmp_path / "feed"), str(tmp_path / "log")
+    for rows in (feed_rows((1, "a", 1, 1), (2, "b", 1, 1)), feed_rows((3, "a", 1, 2))):
+        write_feed(spark, feed, rows)
+        run_ingest(read_feed(spark, feed), log, str(tmp_path / "state"))
+    before = content(record_log.current(spark, log))
+    write_feed(spark, feed, feed_rows((4, "b", 1, 3)))
+    run_ingest(read_feed(spark, feed), log, str(tmp_path / "another state"))
+    assert before == [("a", 1, 2), ("b", 1, 1)]
+    assert content(record_log.current(spark, log)) == [("a", 1, 2), ("b", 1, 3)]
+    assert record_log.read_log(spark, log).count() == 3 + 4
+
+
+def test_routing_needs_the_duplicate_key_setting(spark):
+    key = "spark.sql.variant.allowDuplicateKeys"
+    spark.conf.set(key, "false")
+    try:
+        with pytest.raises(ValueError, match=key):
+            payload.route(spark.createDataFrame([(1, "")], "seq bigint, data string"))
+    finally:
+        spark.conf.set(key, "true")
+
+
+def test_pending_merges_copies_and_sees_corrections(spark):
+    from pulseframe.operators.keyed import pending
+
+    raw = spark.createDataFrame([("a", 1, 5), ("b", 1, 6), ("c", 1, 7)], "citizen_id string, timestamp bigint, seq bigint")
+    done = spark.createDataFrame([("a", 1, 5)] * 500 + [("b", 1, 2)] * 500, raw.schema)
+    left = pending(raw, done, ["citizen_id", "timestamp", "seq"])
+    assert sorted(r["citizen_id"] for r in left.collect()) == ["b", "c"]
+    plan = pending(raw, done)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" in plan
