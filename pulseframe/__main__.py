@@ -9,9 +9,10 @@ from datetime import datetime, timezone
 from pulseframe import fixed
 from pulseframe.operators.model import load_model
 from pulseframe.plans.etl import run_etl
-from pulseframe.plans.scoring import dashboard, run_scoring
+from pulseframe.plans.scoring import dashboard, run_scoring, start_scoring
 from pulseframe.plans.training import run_training
 from pulseframe.session import get_session
+from pulseframe.sources.record_log import write_snapshot
 from pulseframe.sources.synthetic import synthetic
 from pulseframe.streaming.ingest import read_feed, start_ingest
 
@@ -58,6 +59,19 @@ def _parser() -> argparse.ArgumentParser:
     score.add_argument("--analytics", required=True)
     score.add_argument("--results", help="folder for a CSV copy of the run")
     score.add_argument("--only-new", action="store_true")
+    score.add_argument("--after", type=json.loads, help="last scored batch per stream, as JSON")
+
+    schedule = jobs.add_parser("schedule", help="classify new records again and again")
+    schedule.add_argument("--log", required=True)
+    schedule.add_argument("--models", required=True)
+    schedule.add_argument("--version", type=int, required=True)
+    schedule.add_argument("--analytics", required=True)
+    schedule.add_argument("--checkpoint", required=True)
+    schedule.add_argument("--interval", default="15 minutes", help="empty: handle what is there and end")
+
+    snapshot = jobs.add_parser("snapshot", help="store the content of the log, so that readers skip older batches")
+    snapshot.add_argument("--log", required=True)
+    snapshot.add_argument("--out", required=True, help="a new folder")
 
     show = jobs.add_parser("dashboard", help="print the counters, write all rows as JSON")
     show.add_argument("--analytics", required=True)
@@ -86,9 +100,16 @@ def main(argv: list[str] | None = None) -> dict:
     elif args.job == "score":
         model, stats = load_model(spark, args.models, args.version)
         run = run_scoring(
-            spark, args.log, model, stats, args.analytics, args.as_of, args.only_new, args.results
+            spark, args.log, model, stats, args.analytics, args.as_of, args.only_new, args.results, args.after
         )
         result = {"run": run}
+    elif args.job == "schedule":
+        model, stats = load_model(spark, args.models, args.version)
+        interval = args.interval or None
+        start_scoring(spark, args.log, model, stats, args.analytics, args.checkpoint, interval).awaitTermination()
+        result = {"analytics": args.analytics}
+    elif args.job == "snapshot":
+        result = {"folder": args.out, "marks": write_snapshot(spark, args.log, args.out)}
     else:
         shown = dashboard(spark, args.analytics)
         if args.out:

@@ -16,6 +16,7 @@ from pulseframe.functions import clip, log_loss
 from pulseframe.operators.features import engineer
 from pulseframe.operators.report import add_classification, stamp, with_defaults
 from pulseframe.operators.scaling import Stats, scale
+from pulseframe.session import shared_dir
 from pulseframe.sinks.files import read_document, write_document
 
 PROBABILITY = "probability_unhealthy"
@@ -29,8 +30,9 @@ def feature_vector(df: DataFrame, cols: list[str] = fixed.VITALS, out: str = "fe
 
 
 def prepare(df: DataFrame, stats: Stats | DataFrame) -> DataFrame:
-    """Model inputs of raw records: defaults, clipping, engineering and scaling, exactly
-    as for training. The record's own columns stay untouched beside them."""
+    """Model inputs of raw records: clipping, engineering and scaling, exactly as for training. A missing
+    value counts as 0 (``score_all`` decides whether such a record is scored). The record's own columns
+    stay untouched beside the inputs."""
     own = F.struct(*df.columns).alias("_record")
     inputs = with_defaults(df.select(own, *fixed.VITALS), {c: 0 for c in fixed.VITALS})
     inputs = inputs.withColumns({c: clip(F.col(c), *bounds) for c, bounds in fixed.CLIP_RANGES.items()})
@@ -59,8 +61,9 @@ def train(
 
     MLlib grows level by level, so the leaf limit becomes the depth whose full tree has
     as many leaves. With a validation frame the loss after every round is read in one
-    pass and the model is fitted again with the best number of rounds if that is lower;
-    equal seeds make the shorter fit a prefix of the longer one.
+    pass and the trees of the best rounds are kept. There is one fit.
+
+    On a cluster the rounds' lineage is cut in the folder named by ``spark.checkpoint.dir``.
     """
     p = {**fixed.BOOSTING, **overrides}
     unknown = set(p) - set(fixed.BOOSTING)
@@ -79,6 +82,7 @@ def train(
         minInstancesPerNode=p["min_data_in_leaf"],
         seed=p["seed"],
     )
+    cluster_checkpoints(train_df.sparkSession)
     data = assembler.transform(train_df).select("features", F.col(label).cast("double")).persist()
     try:
         model = learner.fit(data)
@@ -86,13 +90,35 @@ def train(
             held_out = assembler.transform(validation_df).select("features", F.col(label).cast("double"))
             if not held_out.isEmpty():
                 rounds = best_round(model.evaluateEachIteration(held_out), p["early_stopping_rounds"])
-                if rounds < p["rounds"]:
-                    model = learner.copy({learner.maxIter: rounds}).fit(data)
+                model = first_trees(model, rounds)
     finally:
         data.unpersist()
     return PipelineModel([assembler, model])
 
 
+def cluster_checkpoints(spark: SparkSession) -> None:
+    """Long iterative fits on a cluster need a checkpoint folder that survives executors."""
+    sc = spark.sparkContext
+    if not sc.master.startswith("local") or spark.conf.get("spark.checkpoint.dir", None):
+        sc.setCheckpointDir(shared_dir(spark))
+
+
+def first_trees(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
+    """The model of the first ``rounds`` trees of a fitted one."""
+    if rounds >= model.getNumTrees:
+        return model
+    fitted, gateway = model._java_obj, SparkSession.active().sparkContext._gateway
+    kind = gateway.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel
+    trees, weights = gateway.new_array(kind, rounds), gateway.new_array(gateway.jvm.double, rounds)
+    for i in range(rounds):
+        trees[i], weights[i] = fitted.trees()[i], fitted.treeWeights()[i]
+    shorter = gateway.jvm.org.apache.spark.ml.classification.GBTClassificationModel(
+        fitted.uid(), trees, weights, fitted.numFeatures()
+    )
+    fitted.copyValues(shorter, fitted.extractParamMap())
+    return GBTClassificationModel(shorter)
+
+
 def predict(df: DataFrame, model: PipelineModel, out: str = PROBABILITY) -> DataFrame:
     """Add the probability of class 1."""
     scored = model.transform(df)
@@ -100,8 +126,13 @@ def predict(df: DataFrame, model: PipelineModel, out: str = PROBABILITY) -> Data
 
 
 def evaluate(df: DataFrame, probability: str = PROBABILITY, label: str = fixed.LABEL) -> DataFrame:
-    """Binary log loss and row count."""
-    return df.agg(log_loss(F.col(label), F.col(probability)).alias("log_loss"), F.count(F.lit(1)).alias("n"))
+    """Binary log loss over the scored rows, and how many rows are scored and not."""
+    p = F.col(probability)
+    return df.agg(
+        log_loss(F.col(label), p).alias("log_loss"),
+        F.count(p).alias("n"),
+        F.count_if(p.isNull()).alias("unscored"),
+    )
 
 
 def confusion(df: DataFrame, probability: str = PROBABILITY, label: str = fixed.LABEL) -> DataFrame:
@@ -109,26 +140,45 @@ def confusion(df: DataFrame, probability: str = PROBABILITY, label: str = fixed.
     return add_classification(df, probability).groupBy(label, fixed.CLASSIFICATION).count()
 
 
+NO_CITIZEN, NO_READING, NO_PROBABILITY = "no citizen", "missing reading", "no probability"
+
+
 def score_all(
-    df: DataFrame, model: PipelineModel, stats: Stats | DataFrame, as_of: datetime | Column
+    df: DataFrame,
+    model: PipelineModel,
+    stats: Stats | DataFrame,
+    as_of: datetime | Column,
+    carry: list[str] | None = None,
+    missing_as_zero: bool = False,
 ) -> DataFrame:
-    """Classify raw records and say per row whether that worked (``outcome``).
+    """Classify raw records and say per row whether that worked (``outcome``), and why not (``reason``).
 
-    A record fails when it has no citizen or no usable probability; failures are rows
-    too, without a class, so nothing is lost silently.
+    A record fails when it has no citizen, lacks a reading, or gets no usable probability; failures are
+    rows too, without a class, so nothing is lost silently. ``missing_as_zero`` scores records that lack
+    a reading with 0 in its place. ``carry`` names further columns to keep.
     """
     scored = predict(prepare(df, stats), model).select("_record.*", PROBABILITY)
     rows = stamp(add_classification(scored, PROBABILITY), as_of)
-    usable = F.col(fixed.CITIZEN).isNotNull() & F.col(fixed.CLASSIFICATION).isNotNull()
-    outcome = F.when(usable, SCORED).otherwise(FAILED)
-    return rows.withColumn("outcome", outcome).select(*fixed.ANALYTICS_COLUMNS, "outcome")
+    lacking = F.lit(False) if missing_as_zero else F.greatest(*[F.col(c).isNull() for c in fixed.VITALS])
+    reason = (
+        F.when(F.col(fixed.CITIZEN).isNull(), NO_CITIZEN)
+        .when(lacking, NO_READING)
+        .when(F.col(fixed.CLASSIFICATION).isNull(), NO_PROBABILITY)
+    )
+    rows = rows.withColumn("reason", reason)
+    outcome = F.when(F.col("reason").isNull(), SCORED).otherwise(FAILED)
+    rows = rows.withColumns(
+        {"outcome": outcome, fixed.CLASSIFICATION: F.when(F.col("reason").isNull(), F.col(fixed.CLASSIFICATION))}
+    )
+    return rows.select(*fixed.ANALYTICS_COLUMNS, *(carry or []), "outcome", "reason")
 
 
 def score(
-    df: DataFrame, model: PipelineModel, stats: Stats | DataFrame, as_of: datetime | Column
+    df: DataFrame, model: PipelineModel, stats: Stats | DataFrame, as_of: datetime | Column, **options
 ) -> DataFrame:
     """The enriched rows of all records that could be scored."""
-    return score_all(df, model, stats, as_of).where(F.col("outcome") == SCORED).drop("outcome")
+    rows = score_all(df, model, stats, as_of, **options)
+    return rows.where(F.col("outcome") == SCORED).drop("outcome", "reason")
 
 
 def model_path(directory: str, version: int) -> str:

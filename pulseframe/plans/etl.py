@@ -12,7 +12,7 @@ from pulseframe.operators.features import engineer
 from pulseframe.operators.profile import profile, split_counts, value_counts
 from pulseframe.operators.scaling import fit_scaler, scale, stats_values, training_frame
 from pulseframe.operators.split import TRAIN, random_split, stratified_split, train_validation, with_hash
-from pulseframe.session import materialize
+from pulseframe.session import materialize, remove_folder
 from pulseframe.sinks.files import (
     register_table,
     stats_document,
@@ -40,9 +40,10 @@ def run_etl(
 ) -> dict:
     """Run the whole preparation; returns the run's counts and statistics.
 
-    The text is parsed once into typed Parquet, the one shuffle (deduplication) runs
-    once into engineered Parquet; every later pass is a narrow, column-pruned scan of
-    those files. Both live below ``dest`` and are replaced by the next run.
+    The text is parsed once into typed Parquet, the one shuffle (deduplication) runs once
+    into engineered Parquet, and split and scaling once into a third; every later pass is
+    a narrow, column-pruned scan of those files. They live below ``dest`` until the run
+    has succeeded.
 
     ``fit_on='train'`` takes the scaling statistics from training rows only.
     """
@@ -59,16 +60,17 @@ def run_etl(
     divide = stratified_split if split == "stratified" else random_split
     placed = divide(features, share=share)
 
-    fitted_rows = placed if fit_on == "all" else placed.where(F.col("split") == TRAIN)
+    # the statistics of all rows do not depend on the split
+    fitted_rows = features if fit_on == "all" else placed.where(F.col("split") == TRAIN)
     stats = stats_values(fit_scaler(fitted_rows))
-    scaled = scale(placed, stats)
+    scaled = materialize(scale(placed, stats), f"{dest}/_staging/scaled")
 
-    write_processed(scaled.drop("split"), f"{dest}/processed")
+    write_processed(scaled.drop("split"), f"{dest}/{fixed.PROCESSED}")
     train, validation = train_validation(training_frame_with_split(scaled))
-    write_training_csv(train, f"{dest}/train/train.csv")
-    write_training_csv(validation, f"{dest}/validation/validation.csv")
+    write_training_csv(train, f"{dest}/{fixed.TRAIN_FILE}")
+    write_training_csv(validation, f"{dest}/{fixed.VALIDATION_FILE}")
 
-    per_split = split_counts(placed)
+    per_split = materialize(split_counts(scaled), f"{dest}/_staging/split_counts")
     per_split.write.mode("overwrite").json(f"{dest}/reports/split_counts")
     is_train = F.col("split") == TRAIN
     counted = per_split.agg(
@@ -78,12 +80,14 @@ def run_etl(
     total, n_train = counted["total"] or 0, counted["train"] or 0
     n_val = total - n_train
 
-    for name, digits in (("normalization_stats.json", 6), ("normalization_stats_exact.json", None)):
+    exact = fixed.STATISTICS_FILE.replace(".json", "_exact.json")
+    for name, digits in ((fixed.STATISTICS_FILE, 6), (exact, None)):
         document = stats_document(stats, n_train, n_val, total, as_of, digits)
-        write_document(spark, document, f"{dest}/config/{name}")
+        write_document(spark, document, f"{dest}/{fixed.CONFIG}/{name}")
     if table:
         properties = table_properties(total, n_train, n_val, len(stats), as_of, source)
-        register_table(spark, table, f"{dest}/processed", properties)
+        register_table(spark, table, f"{dest}/{fixed.PROCESSED}", properties)
+    remove_folder(spark, f"{dest}/_staging")
     return {
         "audit": [row.asDict() for row in seen["audit"]],
         "raw": seen["raw"],

@@ -1,8 +1,10 @@
 """Scoring runs over the raw record log, and the analytics table they fill.
 
-A run writes ``<analytics>/run=<name>/outcome=scored|failed`` in one pass; running the
-same name again replaces its folder. All rows of a run carry one time, so an analytics
-row is identified by citizen, record time and run time.
+Rows are kept by run: ``<analytics>/run=<name>``, replaced when a run of the name is repeated. A run over
+the table is named by its time to the microsecond, streamed scoring by the log batch it read, so that a
+replayed batch replaces its rows. Each row carries the version of the record it was made from (stream,
+batch, seq): a corrected record is scored again, and readers take one row per citizen, inference time
+and record time, the one of the newest version.
 """
 
 from __future__ import annotations
@@ -23,9 +25,14 @@ from pulseframe.operators.scaling import Stats
 from pulseframe.session import read_partitioned
 from pulseframe.sinks.files import export_csv
 from pulseframe.sources.payload import KEPT
-from pulseframe.sources.record_log import LOG_SCHEMA, ORDER, current
+from pulseframe.sources.record_log import LOG_SCHEMA, ORDER, Marks, batch_path, beyond, current
+
+#: version of a record, from the log; in the analytics table with a prefix
+VERSION = {c: f"source_{c}" for c in ORDER}
 
 _TYPES = {
+    "source_batch_id": T.LongType(),
+    "source_seq": T.LongType(),
     fixed.TIMESTAMP: T.LongType(),
     fixed.HEART_RATE: T.DoubleType(),
     fixed.O2: T.DoubleType(),
@@ -33,25 +40,30 @@ _TYPES = {
     fixed.CALORIES: T.IntegerType(),
 }
 ANALYTICS_SCHEMA = T.StructType(
-    [T.StructField(c, _TYPES.get(c, T.StringType())) for c in fixed.ANALYTICS_COLUMNS + ["run", "outcome"]]
+    [T.StructField(c, _TYPES.get(c, T.StringType())) for c in [*fixed.ANALYTICS_COLUMNS, *VERSION.values(), "outcome", "reason", "run"]]
 )
 
 
 def run_name(as_of: datetime) -> str:
-    return f"{as_of.astimezone(timezone.utc):%Y%m%dT%H%M%S}"
+    return f"{as_of.astimezone(timezone.utc):%Y%m%dT%H%M%S%f}"
+
 
+def read_runs(spark: SparkSession, path: str, may_be_missing: bool = False) -> DataFrame:
+    """All rows of all runs, with outcome, reason, run and version."""
+    return read_partitioned(spark, path, ANALYTICS_SCHEMA, may_be_missing)
 
-def read_analytics(spark: SparkSession, path: str, outcome: str = SCORED) -> DataFrame:
-    """All analytics rows, with ``run``; an analytics table not yet written is empty."""
-    rows = read_partitioned(spark, path, ANALYTICS_SCHEMA)
-    return rows.where(F.col("outcome") == outcome).drop("outcome")
 
+def read_analytics(spark: SparkSession, path: str, outcome: str = SCORED, may_be_missing: bool = False) -> DataFrame:
+    """The analytics table, with ``run`` and version: one row per citizen, inference time and record time."""
+    rows = read_runs(spark, path, may_be_missing).where(F.col("outcome") == outcome).drop("outcome")
+    keys = [*fixed.ANALYTICS_KEY, fixed.TIMESTAMP]
+    return latest_by_key(rows, keys, [*VERSION.values(), "run"])
 
-def write_run(
-    raw: DataFrame, model: PipelineModel, stats: Stats, analytics: str, as_of: datetime, run: str
-) -> None:
-    rows = score_all(raw, model, stats, as_of)
-    rows.write.mode("overwrite").partitionBy("outcome").parquet(f"{analytics}/run={run}")
+
+def _scored(raw: DataFrame, model: PipelineModel, stats: Stats, as_of: datetime) -> DataFrame:
+    """Analytics rows of log records, each with the record's version."""
+    named = raw.withColumnsRenamed(VERSION)
+    return score_all(named, model, stats, as_of, carry=list(VERSION.values()))
 
 
 def run_scoring(
@@ -63,23 +75,26 @@ def run_scoring(
     as_of: datetime,
     only_new: bool = False,
     results: str | None = None,
-    **log_options,
+    after: Marks | None = None,
 ) -> str:
-    """Score the raw table (or only records no other run has scored), store the rows and
+    """Score the raw table (or only record versions that no other run has handled), store the rows and
     optionally export them as CSV. Returns the run's name.
 
-    ``log_options`` go to ``record_log.current``: a snapshot to start from, or with
-    ``only_new`` the last batch known to be scored (``after``), which keeps the older
-    part of the log from being read at all.
+    ``after`` names the last batches known to be scored, which keeps the older part of the log and of the
+    analytics table from being read at all.
     """
     run = run_name(as_of)
-    raw = current(spark, raw_log, **log_options).select(*fixed.RAW_COLUMNS)
+    raw = current(spark, raw_log, after=after).select(*ORDER, *fixed.RAW_COLUMNS)
     if only_new:
-        others = read_analytics(spark, analytics).where(F.col("run") != run)
-        raw = pending(raw, others)
-    write_run(raw, model, stats, analytics, as_of, run)
+        others = read_runs(spark, analytics, may_be_missing=True).where(F.col("run") != run)
+        others = others.withColumnsRenamed({name: c for c, name in VERSION.items()})
+        if after is not None:
+            others = others.where(beyond(after))
+        raw = pending(raw, others, [*fixed.RAW_KEY, *ORDER])
+    rows = _scored(raw, model, stats, as_of)
+    rows.write.mode("overwrite").parquet(f"{analytics}/run={run}")
     if results:
-        export_csv(analytics_of(spark, analytics, run), results, as_of)
+        export_csv(analytics_of(spark, analytics, run).select(*fixed.ANALYTICS_COLUMNS), results, as_of)
     return run
 
 
@@ -99,13 +114,25 @@ def start_scoring(
     clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc),
 ) -> StreamingQuery:
     """Score new records on a schedule: each trigger reads only log files added since the
-    last one. Without an interval it handles what is there and ends."""
+    last one. Without an interval it handles what is there and ends.
+
+    The files tell which log batches are new; those are read whole and their rows replaced. So neither a
+    replayed batch nor a second checkpoint doubles rows, and a batch seen in parts loses none.
+    """
     added = spark.readStream.schema(LOG_SCHEMA).option("basePath", raw_log).parquet(raw_log)
     added = added.where(F.col("route") == KEPT)
 
     def score_batch(batch: DataFrame, number: int) -> None:
-        newest = latest_by_key(batch, fixed.RAW_KEY, ORDER).select(*fixed.RAW_COLUMNS)
-        write_run(newest, model, stats, analytics, clock(), f"batch{number}")
+        new = batch.select("stream", "batch_id").distinct().collect()
+        if not new:
+            return
+        folders = [batch_path(raw_log, r["batch_id"], r["stream"]) for r in new]
+        whole = spark.read.schema(LOG_SCHEMA).option("basePath", raw_log).parquet(*folders).where(F.col("route") == KEPT)
+        newest = latest_by_key(whole, [*fixed.RAW_KEY, "stream", "batch_id"], ORDER).select(*ORDER, *fixed.RAW_COLUMNS)
+        rows = _scored(newest, model, stats, clock())
+        rows = rows.withColumn("run", F.concat_ws(".", "source_stream", "source_batch_id"))
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("run").parquet(analytics)
 
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
     return (
@@ -116,9 +143,14 @@ def start_scoring(
     )
 
 
+def newest_classes(rows: DataFrame) -> DataFrame:
+    """One row per record (citizen and record time): that of its newest version, last scored."""
+    return latest_by_key(rows, fixed.RAW_KEY, [*VERSION.values(), fixed.INFERENCE_TS, "run"])
+
+
 def dashboard(spark: SparkSession, analytics: str) -> dict[str, DataFrame]:
     """What the dashboard shows: counters, display rows, latest row per citizen, JSON."""
-    rows = read_analytics(spark, analytics).drop("run")
+    rows = read_analytics(spark, analytics).select(*fixed.ANALYTICS_COLUMNS)
     latest = latest_by_key(rows, [fixed.CITIZEN], [fixed.INFERENCE_TS, fixed.TIMESTAMP])
     return {
         "summary": summary(rows),

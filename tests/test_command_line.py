@@ -23,7 +23,13 @@ def test_all_jobs_in_order(spark, tmp_path):
     main(["ingest", "--feed", at("feed"), "--log", at("log"), "--checkpoint", at("state")])
     score = ["score", "--log", at("log"), "--models", at("models"), "--version", "1", "--analytics", at("analytics")]
     run = main([*score, "--as-of", "2024-02-01T00:15:00", "--results", at("results")])["run"]
-    assert run == "20240201T001500"
+    assert run == "20240201T001500000000"
+    assert main(["snapshot", "--log", at("log"), "--out", at("snap")])["folder"] == at("snap")
+    again = main([*score, "--as-of", "2024-02-01T00:30:00", "--only-new"])["run"]
+    assert spark.read.parquet(f"{at('analytics')}/run={again}").isEmpty()
+    other = ["--analytics", at("scheduled"), "--checkpoint", at("scoring"), "--interval", ""]
+    main(["schedule", "--log", at("log"), "--models", at("models"), "--version", "1", *other])
+    assert main(["dashboard", "--analytics", at("scheduled")])["total"] == 1500
     shown = main(["dashboard", "--analytics", at("analytics"), "--out", at("json")])
     assert shown["total"] == 1500 and shown["healthy"] + shown["unhealthy"] == 1500
     records = [json.loads(r[0]) for r in spark.read.text(at("json")).collect()]

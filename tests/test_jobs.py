@@ -106,8 +106,11 @@ def test_unknown_training_parameter(spark):
         model.train(spark.range(1), rounds=1, depth=3)
 
 
-def test_early_stop_refits_the_prefix(spark):
+def test_early_stop_keeps_the_first_trees_of_one_fit(spark, monkeypatch):
     """Labels are noise: validation loss soon rises and the model keeps the best rounds."""
+    fits = []
+    real = model.GBTClassifier.fit
+    monkeypatch.setattr(model.GBTClassifier, "fit", lambda self, data: fits.append(1) or real(self, data))
     from pulseframe.functions import as_fraction, hash_long
 
     df = spark.range(0, 600, 1, 2).select(
@@ -118,8 +121,12 @@ def test_early_stop_refits_the_prefix(spark):
     fit = model.train(
         df.where("id < 300"), df.where("id >= 300"), ["x"], rounds=20, early_stopping_rounds=3, min_data_in_leaf=1
     )
-    full = model.train(df.where("id < 300"), None, ["x"], rounds=20, min_data_in_leaf=1)
+    assert len(fits) == 1
     kept = model.boosted_rounds(fit)
+    full = model.train(df.where("id < 300"), None, ["x"], rounds=20, min_data_in_leaf=1)
+    shorter = model.train(df.where("id < 300"), None, ["x"], rounds=kept, min_data_in_leaf=1)
+    both = model.predict(model.predict(df, fit, "p"), shorter, "q")
+    assert both.where("p <> q").isEmpty()
     assert kept < 20 and model.boosted_rounds(full) == 20
 
     def splits(fitted, rounds):
@@ -143,12 +150,15 @@ def test_score(spark, fitted):
     trees, stats = model.load_model(spark, f"{root}/models", 3)
     rows = {r["citizen_id"]: r for r in model.score(raw_rows(spark), trees, stats, AS_OF).collect()}
     classes = {c: r["classification"] for c, r in rows.items()}
-    # a missing value counts as 0: no oxygen reading or no sleep is unhealthy
-    assert classes == {"a": "healthy", "b": "unhealthy", "c": "unhealthy", "d": "unhealthy", "e": "unhealthy"}
-    assert rows["c"]["o2_content"] is None and rows["d"]["calories_burned"] is None  # stored as received
+    assert classes == {"a": "healthy", "b": "unhealthy", "e": "unhealthy"}
     assert {r["inference_timestamp"] for r in rows.values()} == {"2024-02-01T12:30:45.678Z"}
     everything = model.score_all(raw_rows(spark), trees, stats, AS_OF)
-    assert [r["citizen_id"] for r in everything.where("outcome = 'failed'").collect()] == [None]
+    failed = {r["citizen_id"]: r["reason"] for r in everything.where("outcome = 'failed'").collect()}
+    assert failed == {None: "no citizen", "c": "missing reading", "d": "missing reading"}
+    # on demand a missing value counts as 0: no oxygen reading or no sleep is unhealthy
+    rows = {r["citizen_id"]: r for r in model.score(raw_rows(spark), trees, stats, AS_OF, missing_as_zero=True).collect()}
+    assert rows["c"]["classification"] == rows["d"]["classification"] == "unhealthy"
+    assert rows["c"]["o2_content"] is None and rows["d"]["calories_burned"] is None  # stored as received
 
 
 def test_score_equals_training_path(spark, prepared, fitted):
@@ -181,7 +191,10 @@ def test_scoring_runs(spark, fitted, tmp_path):
     log, analytics, results = (str(tmp_path / n) for n in ("log", "analytics", "results"))
     later = AS_OF + timedelta(minutes=15)
     append(spark, log, 0, [(1, "a", 1, 80), (2, "b", 1, 150), (3, "x", 1, 20)])
-    assert scoring.read_analytics(spark, analytics).isEmpty()
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        scoring.dashboard(spark, analytics)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        scoring.run_scoring(spark, f"{log}-mistyped", trees, stats, analytics, AS_OF)
     first = scoring.run_scoring(spark, log, trees, stats, analytics, AS_OF, only_new=True, results=results)
     append(spark, log, 1, [(1, "c", 1, 80)])
     second = scoring.run_scoring(spark, log, trees, stats, analytics, later, only_new=True)
@@ -210,7 +223,50 @@ def test_streamed_scoring(spark, fitted, tmp_path):
         query.awaitTermination()
         assert query.exception() is None
     got = {(r["run"], r["citizen_id"], r["classification"]) for r in scoring.read_analytics(spark, analytics).collect()}
-    assert got == {("batch0", "a", "healthy"), ("batch1", "b", "unhealthy")}
+    assert got == {("0.0", "a", "healthy"), ("0.1", "b", "unhealthy")}
+    # a replayed batch, and another checkpoint that starts from the beginning, double nothing
+    append(spark, log, 0, [(1, "a", 1, 80), (2, "a", 1, 90), (3, "x", 1, 20)])
+    for checkpoint in (state, str(tmp_path / "second")):
+        scoring.start_scoring(spark, log, trees, stats, analytics, checkpoint, None, lambda: AS_OF).awaitTermination()
+    assert scoring.read_runs(spark, analytics).count() == 2
+    assert scoring.dashboard(spark, analytics)["summary"].first() == (2, 1, 1)
+    # a correction is scored again
+    append(spark, log, 2, [(9, "a", 1, 150)])
+    scoring.start_scoring(spark, log, trees, stats, analytics, state, None, lambda: AS_OF).awaitTermination()
+    newest = scoring.newest_classes(scoring.read_analytics(spark, analytics))
+    assert {r["citizen_id"]: r["classification"] for r in newest.collect()} == {"a": "unhealthy", "b": "unhealthy"}
+
+
+def test_a_corrected_record_is_pending_again(spark, fitted, tmp_path):
+    _, root = fitted
+    trees, stats = model.load_model(spark, f"{root}/models", 3)
+    log, analytics = str(tmp_path / "log"), str(tmp_path / "analytics")
+    append(spark, log, 0, [(1, "a", 1, 80), (2, "b", 1, 80)])
+    scoring.run_scoring(spark, log, trees, stats, analytics, AS_OF, only_new=True)
+    append(spark, log, 1, [(1, "a", 1, 150)])
+    second = scoring.run_scoring(spark, log, trees, stats, analytics, AS_OF + timedelta(milliseconds=300), only_new=True, after=0)
+    assert keys(scoring.analytics_of(spark, analytics, second)) == [("a", 1)]
+    newest = {r["citizen_id"]: r["classification"] for r in scoring.newest_classes(scoring.read_analytics(spark, analytics)).collect()}
+    assert newest == {"a": "unhealthy", "b": "healthy"}
+    # runs within one second keep apart
+    assert scoring.read_runs(spark, analytics).select("run").distinct().count() == 2
+
+
+def test_csv_columns_by_name(spark, tmp_path):
+    path = str(tmp_path / "csv")
+    rows = spark.createDataFrame([("1", "80", "0.9", "7", "500", "a", "x")], ["label", *fixed.VITALS, "citizen_id", "note"])
+    rows.write.csv(path, header=True)
+    assert labelled_csv.read_training_csv(spark, path).first() == ("a", "80", "0.9", "7", "500", "1")
+    rows.drop("label").write.csv(f"{path}2", header=True)
+    with pytest.raises(ValueError, match="label"):
+        labelled_csv.read_training_csv(spark, f"{path}2")
+
+
+def test_a_moved_table_reads_its_new_folder(spark, tmp_path):
+    for n in (3, 7):
+        spark.range(n).write.parquet(str(tmp_path / f"t{n}"))
+        assert files.register_table(spark, "moved_table", str(tmp_path / f"t{n}"), {"recordCount": str(n)})
+        assert spark.table("moved_table").count() == n
 
 
 def test_feature_vector_defaults(spark):
