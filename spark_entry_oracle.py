@@ -63,6 +63,15 @@ _AS_DOUBLE = (
     "citizen_id, timestamp, CAST(average_heart_beat_rate AS DOUBLE) AS average_heart_beat_rate, "
     "o2_content, sleep_time, calories_burned"
 )
+_OUTCOME = (
+    "CASE WHEN o2_content IS NULL THEN 'failed' ELSE 'scored' END AS outcome, "
+    "CASE WHEN o2_content IS NULL THEN 'missing reading' END AS reason, o2_content IS NOT NULL AS classified"
+)
+# what a browser shows for the far values of the query
+_FAR_TEXT = (
+    "['1500000000000.50', '1099511627776.25', '4503599627370495.50', '9007199254740992', '1152921504606847000', "
+    "'123456789012345680000', '1e+21']"
+)
 _VALID = "average_heart_beat_rate BETWEEN 40 AND 200"
 
 
@@ -211,9 +220,10 @@ def oracle_sql() -> dict[str, str]:
             "CASE WHEN event_type IN ('view', 'error') THEN 'unknown' ELSE 'healthy' END AS classification FROM vitals"
         ),
         "report_rows": _with(
-            f"""SELECT citizen_id, {_number('average_heart_beat_rate')} || ' bpm' AS heart_rate,
+            f"""SELECT '&lt;' || citizen_id AS citizen_id, {_number('average_heart_beat_rate')} || ' bpm' AS heart_rate,
  CASE WHEN o2_content IS NULL THEN '-' ELSE {_fixed('o2_content * 100.0e0', 1)} || '%' END AS o2,
- {_number('sleep_time')} || 'h' AS sleep, {_number('calories_burned')} || ' kcal' AS calories,
+ CASE WHEN event_id % 20 = 0 THEN {_FAR_TEXT}[event_id % 7 + 1] ELSE {_number('sleep_time')} END || 'h' AS sleep,
+ {_number('calories_burned')} || ' kcal' AS calories,
  coalesce(classification, 'unknown') AS classification, inference_timestamp FROM classified"""
         ),
         "json_records": _with(
@@ -280,8 +290,12 @@ FROM labelled"""
         + " FROM lineitem",
         "upsert_latest": _with(f"SELECT seq, {_RAW} FROM newest"),
         "pending_records": _with(
-            "SELECT event_id, citizen_id, timestamp FROM vitals v WHERE NOT EXISTS (SELECT 1 FROM classified c "
-            "WHERE c.timestamp < 1705363200000 AND c.citizen_id = v.citizen_id AND c.timestamp = v.timestamp)"
+            "SELECT event_id, seq, citizen_id, timestamp FROM newest "
+            "WHERE seq <> event_id OR timestamp >= 1705363200000"
+        ),
+        "analytics_upsert": _with(
+            "SELECT seq, citizen_id, strftime(make_timestamp(timestamp * 1000), '%Y-%m-%dT%H:%M:%S.%gZ') "
+            "AS inference_timestamp, calories_burned FROM newest"
         ),
         "latest_per_citizen": _with(
             f"SELECT event_id, {_RAW} FROM (SELECT *, row_number() OVER "
@@ -315,7 +329,8 @@ FROM labelled"""
         "etl_table_properties": _with(
             """SELECT unnest(['recordCount', 'trainCount', 'valCount', 'featureCount', 'last_etl_run', 'sourceKey'])
   AS key, unnest([total::VARCHAR, train::VARCHAR, (total - train)::VARCHAR, '7',
-  '2024-02-01T12:30:45.678901+00:00', 'source.csv']) AS value FROM totals""",
+  '2024-02-01T12:30:45.678901+00:00', 'source.csv']) AS value FROM totals
+ UNION ALL SELECT 'rows', total::VARCHAR FROM totals""",
             ",\n" + _CHANNELS,
         ),
         "results_export": _with(f"SELECT {_RAW}, classification, inference_timestamp FROM classified"),
@@ -324,13 +339,21 @@ FROM labelled"""
             "sleep_time AS f2, CAST(calories_burned AS DOUBLE) AS f3 FROM vitals"
         ),
         "log_loss": _with(
-            """SELECT round(avg(-CASE WHEN label = 1 THEN ln(q) ELSE ln(1e0 - q) END), 6) AS log_loss, count(*) AS n
+            """SELECT round(avg(-CASE WHEN label = 1 THEN ln(q) ELSE ln(1e0 - q) END), 6) AS log_loss, count(q) AS n,
+ count(*) - count(q) AS unscored
 FROM (SELECT label, CASE WHEN p < 1e-15 THEN 1e-15 WHEN p > 1e0 - 1e-15 THEN 1e0 - 1e-15 ELSE p END AS q
- FROM classified WHERE p IS NOT NULL)"""
+ FROM classified)"""
         ),
         "model_round_trip": "SELECT count(*) AS n, count(*) AS n_equal FROM events",
+        "gbt_confusion": _with(
+            "SELECT label, CAST(n - t AS BIGINT) AS n, true AS accurate FROM per_label", ",\n" + _CHANNELS
+        ),
+        "score_batch": _with(
+            f"SELECT {_RAW}, '2024-02-01T12:30:45.678Z' AS inference_timestamp, {_OUTCOME} FROM vitals"
+        ),
         "scheduled_scoring": _with(
-            f"""SELECT {_AS_DOUBLE}, CASE WHEN timestamp < 1705363200000 THEN '2024-02-01T12:30:45.678Z'
- ELSE '2024-02-01T12:45:45.678Z' END AS inference_timestamp FROM vitals WHERE {_VALID}"""
+            f"""SELECT {_AS_DOUBLE}, seq AS source_seq, {_OUTCOME},
+ CASE WHEN seq = event_id AND timestamp < 1705363200000 THEN '2024-02-01T12:30:45.678Z'
+ ELSE '2024-02-01T12:45:45.678Z' END AS inference_timestamp FROM newest WHERE {_VALID}"""
         ),
     }
