@@ -15,6 +15,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from pulseframe.llm.quality import settled
+
 _LOCAL = "A-Za-z0-9._%+-"
 
 #: characters before a match in which context words count
@@ -82,7 +84,7 @@ def find_spans(docs: DataFrame, text: str = "text", kinds: tuple[str, ...] = tup
     kept = [c for c in docs.columns if c != "pii"]
     df = docs.select(*kept, F.coalesce(F.col(text), F.lit("")).alias("_text"))
     df = df.select(*kept, *[F.expr(_found(kind)).alias(f"_{kind}") for kind in kinds])
-    return df.select(*kept, F.sort_array(F.concat(*[F.col(f"_{kind}") for kind in kinds])).alias("pii"))
+    return settled(df.select(*kept, F.sort_array(F.concat(*[F.col(f"_{kind}") for kind in kinds])).alias("pii")))
 
 
 def count_kind(kind: str, spans: str = "pii") -> Column:

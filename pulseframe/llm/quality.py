@@ -74,6 +74,12 @@ def count_matches(text: Column, pattern: str) -> Column:
     return F.regexp_count(text, F.lit(pattern)).cast("long")
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` with its columns computed before any filter above: a filter that is pushed into expressions
+    over arrays would repeat them for every element. A row number cannot be moved, nor what tests it."""
+    return df.withColumn("_row", F.monotonically_increasing_id()).where("_row >= 0").drop("_row")
+
+
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with the columns MEASURES (all long)."""
     kept = [c for c in docs.columns if c not in MEASURES]
@@ -86,7 +92,7 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     none = F.array().cast("array<bigint>")
     df = df.withColumn("_keys", F.when(F.size("_words") > 3, F.sort_array(F.expr(_KEYS))).otherwise(none))
     df = df.withColumn("_at", F.when(F.size("_keys") > 0, F.expr(_REPEATED)).otherwise(none))
-    return df.select(
+    return settled(df.select(
         *kept,
         F.size("_words").cast("long").alias("n_words"),
         F.char_length(F.array_join("_words", "")).cast("long").alias("word_chars"),
@@ -96,7 +102,7 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
         F.expr(_COVERED).alias("n_repeat_words"),
         count_matches(F.col("_body"), "[A-Za-z]").alias("n_letters"),
         count_matches(F.col("_body"), "[A-Z]").alias("n_capitals"),
-    )
+    ))
 
 
 def bit(rule: str) -> int:
@@ -140,6 +146,5 @@ def ablations(rows: DataFrame, policy: str = CURRENT) -> DataFrame:
 
 def keep_good(docs: DataFrame, policy: str = CURRENT, text: str = "text") -> DataFrame:
     """The documents that a policy version accepts, with their own columns."""
-    # the row number keeps the filter above the measurements; pushed into them, it would repeat them per word
-    rows = ledger(docs, text).withColumn("_row", F.monotonically_increasing_id())
-    return rows.where(~fails(policy) & (F.col("_row") >= 0)).select(*docs.columns)
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), F.col(text).alias("_text"))
+    return ledger(whole, "_text").where(~fails(policy)).select("_doc.*")
