@@ -111,7 +111,7 @@ def _json_fingerprint(text: Column) -> Column:
         keys,
         lambda k: F.transform(
             F.coalesce(
-                F.json_object_keys(F.get_json_object(text, F.concat(F.lit("$['"), k, F.lit("'][0]")))),
+                F.json_object_keys(F.call_function("get_json_object", text, F.concat(F.lit("$['"), k, F.lit("'][0]")))),
                 F.array().cast("array<string>"),
             ),
             lambda j: F.concat(k, F.lit("[]."), j),
