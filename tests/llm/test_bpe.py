@@ -1,0 +1,71 @@
+import random
+
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from tokenizers import Tokenizer
+
+from pulseframe.llm import bpe, queries
+from tests.llm.texts import frame, sha, table
+
+PATH = public_tokenizers.path(queries.VOCABULARY)
+EDGES = [
+    "", "don't I'LL we've x's 'S 're''s", "<|endoftext|>", "a<|endoftext|>b <|startoftext|><|endoftext|>", "ΑΣ ΣΑΣ ὈΔΥΣΣΕΎΣ",
+    "İstanbul IİI", "é é", "a b c\u0085d", "12345 ab12cd", "aaaa" * 200, "x" * 300, "abc" * 100, "\x1c\x1d a\x1fb", "​",
+    "日本語テキスト", "😀😀👨‍👩‍👧", "ﬁ ﬀ ²³ ½ Ⅷ", "\x00a\x01", "..!!??--", "ab" * 3000, "<|EndOfText|>", "a'b''c'll'", "×÷ ×a÷", "Å K",
+]
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(PATH)
+
+
+def fuzz():
+    rng = random.Random(2)
+    alphabet = "aAbB zZ'sStTlL09.,!<|>éÉßüçñÑΣσİıǅ×÷\n\t ́😀日"
+    return ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 60))) for _ in range(3000)]
+
+
+def test_ids_are_those_of_the_library(library):
+    texts = EDGES + fuzz()
+    tokens = bpe.vocabulary(PATH).tokens
+    for low, high, encoded in bpe.encode_slices(pa.array(texts), PATH):
+        ids, offset = encoded.text_ids()
+        joined = encoded.joined(tokens)
+        for i in range(low, high):
+            want = library.encode(texts[i], add_special_tokens=False).ids
+            assert ids[offset[i - low] : offset[i - low + 1]].tolist() == want, texts[i]
+            assert joined[i - low].decode() == library.decode(want, skip_special_tokens=False) == bpe.decode(want, PATH)
+
+
+def test_lexicon_starts_anew(library, monkeypatch):
+    monkeypatch.setattr(bpe.Lexicon, "SIZE", 50)
+    monkeypatch.setattr(bpe.wordhash, "SLICE_BYTES", 500)
+    bpe._lexicon.cache_clear()
+    texts = fuzz()[:300]
+    column = pa.array(texts)
+    data, ends = bpe.wordhash.text_bytes(column)
+    lexicon = bpe._lexicon(PATH)
+    for low, high in bpe.wordhash.slices(ends, 500):
+        words = bpe.wordhash.Words(data[ends[low] : ends[high]], ends[low : high + 1] - ends[low], False, 1)
+        ids, offset = bpe.Encoded(words, lexicon).text_ids()
+        for i in range(low, high):
+            assert ids[offset[i - low] : offset[i - low + 1]].tolist() == library.encode(texts[i], add_special_tokens=False).ids
+
+
+def test_query(spark, tmp_path, library):
+    texts = [None, *EDGES, "same", "same"]
+    rows = queries.op9_bpe(spark, table(spark, tmp_path, list(enumerate(texts)))).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        ids = library.encode(texts[r["doc_id"]] or "", add_special_tokens=False).ids
+        assert tuple(r[1:]) == (len(ids), sha(" ".join(map(str, ids))), sha(library.decode(ids, skip_special_tokens=False)))
+
+
+def test_ids_as_a_column(spark, library):
+    docs = frame(spark, [(1, "hello world"), (None, None)])
+    derive = lambda rows, encoded: pa.RecordBatch.from_arrays([rows.column(0), bpe.ids_column(encoded)], ["doc_id", "ids"])
+    out = {r["doc_id"]: r["ids"] for r in bpe.encode_documents(docs, PATH, derive, "doc_id long, ids array<int>").collect()}
+    assert out == {1: library.encode("hello world", add_special_tokens=False).ids, None: []}
+    assert bpe.encode_documents(docs.limit(0), PATH, derive, "doc_id long, ids array<int>").count() == 0

@@ -1,0 +1,76 @@
+import collections
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from pulseframe.llm import pack, queries
+from tests.llm.texts import frame
+
+PATH = public_tokenizers.path(queries.VOCABULARY)
+
+
+def checked(pieces, texts, capacity):
+    """Every id lies in one piece, sequences have no gaps; returns tokens per sequence and source."""
+    library = Tokenizer.from_file(PATH)
+    ids = [library.encode(t or "", add_special_tokens=False).ids + [2] for t in texts]
+    by_doc, by_sequence = collections.defaultdict(list), collections.defaultdict(list)
+    for r in pieces:
+        by_doc[r["doc_id"]].append(r)
+        by_sequence[r["sequence_id"]].append(r)
+    assert set(by_doc) == set(range(len(texts)))
+    for doc, rows in by_doc.items():
+        at = 0
+        for r in sorted(rows, key=lambda r: r["start"]):
+            part = ids[doc][at : at + r["length"]]
+            assert r["start"] == at and r["length"] > 0 and r["doc_tokens"] == len(ids[doc])
+            assert r["ids_crc32"] == zlib.crc32(np.array(part, "<u4").tobytes())
+            at += r["length"]
+        assert at == len(ids[doc])
+    for rows in by_sequence.values():
+        at = 0
+        for r in sorted(rows, key=lambda r: r["offset"]):
+            assert r["offset"] == at
+            at += r["length"]
+        assert at <= capacity and (at == capacity or at & (at - 1) == 0)
+    return {s: {x: sum(r["length"] for r in rows if r["source"] == x) for x in {r["source"] for r in rows}} for s, rows in by_sequence.items()}
+
+
+def test_windows_have_the_proportions(spark):
+    texts = [f"some words of document {i} " * (1 + i % 40) for i in range(400)]
+    rows = [(i, t, "hot" if i % 3 == 0 else f"s{i % 4}") for i, t in enumerate(texts)]
+    pieces = pack.pack(frame(spark, rows, "doc_id long, text string, source string"), PATH, capacity=256, part_windows=16).collect()
+    windows = checked(pieces, texts, 256)
+    total = collections.Counter()
+    for r in pieces:
+        total[r["source"]] += r["length"]
+    full = [w for w in windows.values() if sum(w.values()) == 256]
+    assert len({s >> 32 for s in windows}) > 3 and len(full) > 100
+    for w in full:
+        assert all(abs(w.get(s, 0) - 256 * n / sum(total.values())) < 3 for s, n in total.items())
+
+
+def test_a_given_mixture_is_kept_while_tokens_last(spark):
+    rows = [(i, "a few words here " * 20, "x" if i % 2 else "y") for i in range(100)]
+    texts = [t for _, t, _ in rows]
+    pieces = pack.pack(frame(spark, rows, "doc_id long, text string, source string"), PATH, 256, {"x": 3, "y": 1}, part_windows=1000).collect()
+    windows = checked(pieces, texts, 256)
+    first = [windows[s] for s in sorted(windows)[:10]]
+    assert all(abs(w["x"] - 192) <= 1 for w in first)
+
+
+def test_edges(spark):
+    texts = [None, "", "x " * 3000, "same", "same"]
+    rows = [(i, t, None if i == 1 else "s", 9) for i, t in enumerate(texts)]
+    docs = frame(spark, rows, "doc_id long, text string, source string, part int")
+    checked(pack.pack(docs, PATH, 64, part_windows=2).collect(), texts, 64)
+    assert pack.pack(docs.limit(0), PATH).count() == 0
+    lost = pack.pack(frame(spark, [(None, "a", "s"), (None, "a", "s")], "doc_id long, text string, source string"), PATH).collect()
+    assert sum(r["length"] for r in lost) == 4
+
+
+@pytest.mark.parametrize(("total", "want"), [(0, []), (8, [8]), (21, [8, 8, 4, 1]), (7, [4, 2, 1])])
+def test_sizes(total, want):
+    assert list(pack._sizes(total, 8)) == want
