@@ -62,4 +62,35 @@ s AS (SELECT q.r, q.vec_id AS query_id, c.vec_id, list_inner_product(q.f, c.f)::
 SELECT query_id, rank::INT AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20"""
 
-ORACLE = {"op6_top_k": OP6, "op4_quality_rules": OP4, "op7_chat": OP7, "op8_line_dedup": OP8}
+OP1 = rf"""
+WITH w AS (SELECT doc_id, {_WORDS} AS words FROM documents),
+p AS (SELECT doc_id, i, md5(array_to_string(words[i : i + 49], ' ')) AS h
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 48, 1))) AS i FROM w)),
+f AS (SELECT h, min(doc_id) AS first FROM p GROUP BY h),
+d AS (SELECT p.doc_id, p.i FROM p JOIN f USING (h) WHERE f.first < p.doc_id),
+g AS (SELECT DISTINCT doc_id, i + k AS j FROM (SELECT doc_id, i, unnest(range(0, 50)) AS k FROM d)),
+e AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS j FROM w),
+k AS (SELECT e.doc_id, count(g.j)::BIGINT AS n_removed, string_agg(e.word, ' ' ORDER BY e.j) FILTER (g.j IS NULL) AS kept
+  FROM e LEFT JOIN g ON e.doc_id = g.doc_id AND e.j = g.j GROUP BY e.doc_id)
+SELECT w.doc_id, len(words)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN k USING (doc_id)"""
+
+_LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text"
+
+OP5 = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, {_WORDS} AS words FROM (SELECT doc_id, {_LOW} FROM documents)),
+s AS (
+  SELECT DISTINCT doc_id, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS sh
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 1, 1))) AS i FROM w)
+  UNION ALL SELECT doc_id, array_to_string(words, ' ') FROM w WHERE len(words) IN (1, 2)),
+n AS (SELECT doc_id, count(*) AS n, md5(string_agg(sh, '|' ORDER BY sh)) AS h FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS m FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * m >= 85 * (x.n + y.n - m)),
+both_ways AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id, doc_id AS reach FROM documents UNION SELECT r.doc_id, t.b FROM r JOIN both_ways t ON t.a = r.reach),
+m AS (SELECT doc_id, min(reach) AS component_id FROM r GROUP BY doc_id)
+SELECT m.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, m.doc_id = component_id AS kept,
+  coalesce(min(n.doc_id) OVER (PARTITION BY n.h), m.doc_id) AS class_id
+FROM m LEFT JOIN n USING (doc_id)"""
+
+ORACLE = {"op1_substring_dedup": OP1, "op5_near_dedup": OP5, "op6_top_k": OP6, "op4_quality_rules": OP4, "op7_chat": OP7, "op8_line_dedup": OP8}
