@@ -514,7 +514,7 @@ def log_loss(spark, sf):
     return _round(model.evaluate(rows, "p"), ["log_loss"])
 
 
-#: least accuracy of the trees on the held-out side; most tables give over 0.99
+#: least accuracy of the trees on the held-out side
 ACCURACY = 0.95
 
 

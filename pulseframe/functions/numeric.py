@@ -59,17 +59,25 @@ def _joined(high: Column, low: Column) -> Column:
     return high.cast("decimal(12,0)") * F.lit(Decimal(2**32)) + low.cast("decimal(11,0)")
 
 
+def _bound(value: Column, then) -> Column:
+    """``then(value)`` with the value computed once, however often it is used; the code stays small."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
 def whole_text(x: Column) -> Column:
     """Text of a whole number below EXPONENT_FROM: the fewest digits that name the double, then zeros."""
-    size = F.abs(x)
-    exact = _joined(*_halves(size))
-    n = F.length(exact.cast("string"))
-    text = exact
-    for digits in (17, 16, 15):  # beyond 2**53 the last digits say nothing
-        step = F.rpad(F.lit("1"), F.greatest(n - digits + 1, F.lit(1)), "0").cast("decimal(22,0)")
-        rounded = F.floor((exact + F.floor(step / 2)) / step) * step
-        text = F.when((size >= 2.0**53) & (rounded.cast("double") == size), rounded).otherwise(text)
-    return F.concat(F.when(x < 0, "-").otherwise(""), text.cast("decimal(22,0)").cast("string"))
+
+    def shortest(exact: Column) -> Column:
+        n, text = F.length(exact.cast("string")), exact
+        for digits in (17, 16, 15):  # beyond 2**53 the last digits say nothing
+            step = F.rpad(F.lit("1"), F.greatest(n - digits + 1, F.lit(1)), "0").cast("decimal(22,0)")
+            rounded = F.floor((exact + F.floor(step / 2)) / step) * step
+            same = (exact >= 2**53) & (rounded.cast("double") == exact.cast("double"))
+            text = F.when(same, rounded).otherwise(text)
+        return text.cast("decimal(22,0)").cast("string")
+
+    exact = _bound(F.abs(x), lambda size: _joined(*_halves(size)))
+    return F.concat(F.when(x < 0, "-").otherwise(""), _bound(exact, shortest))
 
 
 def to_fixed(value: Column, digits: int) -> Column:
@@ -84,18 +92,29 @@ def to_fixed(value: Column, digits: int) -> Column:
     exact gives the error exactly.
     """
     q = 2.0 * 10**digits
+
+    def parts(size: Column) -> Column:
+        high, low = _halves(size)
+        x = (size - high.cast("double") * 2.0**32) - low.cast("double")
+        return F.struct(high.alias("high"), low.alias("low"), x.alias("x"))
+
+    def steps(p: Column) -> Column:
+        x = p["x"]
+        y = x * q
+        spread = x * 134217729.0  # 2**27 + 1
+        high = spread - (spread - x)
+        error = (high * q - y) + (x - high) * q
+        false_tie = (y % 2.0 == 1.0) & (error < 0)
+        rounded = F.shiftright(F.floor(y) + 1, 1) - F.when(false_tie, 1).otherwise(0)
+        return F.struct(p["high"].alias("high"), p["low"].alias("low"), rounded.alias("steps"))
+
+    def text(p: Column) -> Column:
+        carry = F.when(p["steps"] == 10**digits, 1).otherwise(0)
+        whole = _joined(p["high"], p["low"] + carry)
+        places = F.lpad((p["steps"] - carry * 10**digits).cast("string"), digits, "0")
+        return F.concat(whole.cast("string"), F.lit("."), places)
+
     size = F.abs(value.cast("double"))
     small = F.when(size < EXPONENT_FROM, size)
-    high_part, low_part = _halves(small)
-    x = (small - high_part.cast("double") * 2.0**32) - low_part.cast("double")
-    y = x * q
-    spread = x * 134217729.0  # 2**27 + 1
-    high = spread - (spread - x)
-    error = (high * q - y) + (x - high) * q
-    false_tie = (y % 2.0 == 1.0) & (error < 0)
-    steps = F.shiftright(F.floor(y) + 1, 1) - F.when(false_tie, 1).otherwise(0)
-    carry = F.when(steps == 10**digits, 1).otherwise(0)
-    whole = _joined(high_part, low_part + carry)
-    places = F.lpad((steps - carry * 10**digits).cast("string"), digits, "0")
-    text = F.concat(F.when(value < 0, "-").otherwise(""), whole.cast("string"), F.lit("."), places)
-    return F.coalesce(text, exponential(value.cast("double")))
+    sign = F.when(value < 0, "-").otherwise("")
+    return F.coalesce(F.concat(sign, _bound(_bound(_bound(small, parts), steps), text)), exponential(value.cast("double")))
