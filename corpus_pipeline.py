@@ -7,6 +7,8 @@ return the columns of ``docs``; ``n_chars``, where there is one, follows the tex
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -16,11 +18,15 @@ from pulseframe.session import materialize, scratch_path
 VOCABULARY = "word_bpe_49k.json"
 
 
-def _counted(docs: DataFrame, like: DataFrame) -> DataFrame:
-    """The columns of ``like``, with n_chars as the length of the text."""
-    if "n_chars" in like.columns:
-        docs = docs.withColumn("n_chars", F.char_length("text").cast(like.schema["n_chars"].dataType))
-    return docs.select(*[F.col(f"`{c}`") for c in like.columns])
+def _rewritten(docs: DataFrame, operator: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The texts as ``operator`` returns them, with n_chars as their length. The other columns pass under
+    names that no operator uses."""
+    aside = {c: c if c in ("doc_id", "text") else f"column {i}" for i, c in enumerate(docs.columns)}
+    out = operator(docs.select(*[F.col(f"`{c}`").alias(name) for c, name in aside.items()]))
+    columns = {c: F.col(f"`{name}`") for c, name in aside.items()}
+    if "n_chars" in columns:
+        columns["n_chars"] = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+    return out.select(*[column.alias(c) for c, column in columns.items()])
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,7 +36,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines that a document with a smaller id holds."""
-    return _counted(lines.dedup_lines(docs), docs)
+    return _rewritten(docs, lines.dedup_lines)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,7 +51,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pii_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with personal data replaced by its kind."""
-    return _counted(pii.redact(docs), docs)
+    return _rewritten(docs, pii.redact)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -99,13 +99,14 @@ def listed(kinds: tuple[str, ...], spans: str = "pii") -> Column:
 
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with every span replaced by its kind in angle brackets; overlapping spans become one. Null stays null."""
-    found = find_spans(docs, text)
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), F.col(text).alias("_body"))
+    found = find_spans(whole, "_body")
     cut = F.expr(f"""
 aggregate(pii, named_struct('out', cast(array() AS array<string>), 'pos', 0),
   (a, s) -> CASE
     WHEN s.start >= a.pos THEN named_struct(
-      'out', concat(a.out, array(substring(`{text}`, a.pos + 1, s.start - a.pos), concat('<', upper(s.kind), '>'))), 'pos', s.end)
+      'out', concat(a.out, array(substring(_body, a.pos + 1, s.start - a.pos), concat('<', upper(s.kind), '>'))), 'pos', s.end)
     ELSE named_struct('out', a.out, 'pos', greatest(a.pos, s.end)) END,
-  a -> concat(array_join(a.out, ''), substring(`{text}`, a.pos + 1)))""")
-    clean = F.when(F.size("pii") > 0, cut).otherwise(F.col(text))
-    return found.select(*[clean.alias(c) if c == text else F.col(c) for c in docs.columns])
+  a -> concat(array_join(a.out, ''), substring(_body, a.pos + 1)))""")
+    clean = F.when(F.size("pii") > 0, cut).otherwise(F.col("_body"))
+    return found.select(*[clean.alias(c) if c == text else F.col(f"_doc.`{c}`").alias(c) for c in docs.columns])

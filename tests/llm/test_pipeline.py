@@ -51,13 +51,14 @@ def test_stage_order():
 
 
 def test_stages_take_empty_tables_and_further_columns(spark):
-    schema = "doc_id long, text string, lang string, source string, n_chars int, spans string, failures int, part string"
-    some = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(60)), "en", "s", 1, "x", 2, "y"), (None, None, None, None, None, None, None, None)], schema)
+    schema = "doc_id long, text string, lang string, source string, n_chars int, spans string, failures int, part string, n_lines int, pii string, _text string"
+    some = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(60)), "en", "s", 1, "x", 2, "y", 3, "z", "t"), (None,) * 11], schema)
     for docs in (some, some.limit(0)):
         for name, stage in corpus_pipeline.STAGES:
             docs = materialize(stage(spark, docs, "unused"), scratch_path(spark, name))
             if name != "packing":
                 assert docs.columns == some.columns
+                assert all((r["n_lines"], r["pii"], r["_text"]) in ((3, "z", "t"), (None, None, None)) for r in docs.collect())
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test tables are not here")
