@@ -8,8 +8,9 @@ with the most letters in its spans is the text's.
 The model is fitted on a random sample of about SAMPLE labelled texts, however many there are; it is a
 of BUCKETS times languages and a few script shares.
 
-Defined cases: a null text, or one without a letter, is ``und`` with score 0; a text in a script that no
-learned language uses is ``und``; ties go to the first language in alphabetical order; documents without
+Defined cases: a null text, or one without a letter, is ``und`` with score 0; in a script that no learned
+language uses all of them stay candidates; where nothing speaks for any, and in ties, the first language
+in alphabetical order is taken, with score 0 if no letter is of a known script; documents without
 label teach nothing; without any labelled text everything is ``und``; repeated rows and null ids have no
 effect on each other; an empty table gives an empty result.
 """
@@ -177,10 +178,8 @@ def _word_scores(words: wordhash.Words, model: Model) -> tuple[np.ndarray, np.nd
     scores[letters == 0] = 0
     narrowed = bits[:, None] & model.scripts
     fits = narrowed != 0
-    some = fits.any(axis=1)
+    some = fits.any(axis=1)  # a script that no learned language uses narrows nothing
     scores[some] += np.where(fits[some], np.float32(0), _AGAINST)
-    letters = np.where(some, letters, 0)  # no learned language uses its script
-    scores[~some] = 0
     return scores, letters
 
 
@@ -270,7 +269,7 @@ def _label(words: wordhash.Words, model: Model, switch: float, texts: pa.Array)
     mass = np.bincount(text * n_langs + path, letters, n_texts * n_langs).reshape(n_texts, n_langs)
     best, total = mass.argmax(axis=1), mass.sum(axis=1)
     score = np.divide(mass[np.arange(n_texts), best], total, out=np.zeros(n_texts), where=total > 0)
-    names = [model.languages[b] if t > 0 and _LETTER.search(x.as_py()) else UNKNOWN for b, t, x in zip(best, total, texts)]
+    names = [model.languages[b] if _LETTER.search(x.as_py()) else UNKNOWN for b, x in zip(best, texts)]
     score[[n == UNKNOWN for n in names]] = 0.0
     new = np.ones(len(path), bool)
     new[1:] = (path[1:] != path[:-1]) | (text[1:] != text[:-1])

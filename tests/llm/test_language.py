@@ -30,12 +30,14 @@ def model(spark):
 
 def test_held_out_accuracy(spark, tmp_path):
     rows = corpus()
-    sf = table(spark, tmp_path, [*rows, (9000, None, "en"), (9001, "123 !?", None), (9002, "的 是", None)], "doc_id long, text string, lang string")
+    sf = table(spark, tmp_path, [*rows, (9000, None, "en"), (9001, "123 !?", None), (9002, "的 是", None), (9003, "ሰላም", None)], "doc_id long, text string, lang string")
     got = {r["doc_id"]: r for r in queries.op2_language_id(spark, sf).collect()}
     for i, _, lang in rows:
         assert got[i]["held_out"] == (zlib.crc32(str(i).encode()) % 4 == 2)
         assert got[i]["lang_pred"] == lang and 0 <= got[i]["score"] <= 1
-    assert [(got[i]["lang_pred"], got[i]["score"]) for i in (9000, 9001, 9002)] == [("und", 0.0)] * 3
+    assert [(got[i]["lang_pred"], got[i]["score"]) for i in (9000, 9001)] == [("und", 0.0)] * 2
+    # letters of a script that nobody taught still get a learned language
+    assert got[9002]["lang_pred"] in PARTS and got[9003]["lang_pred"] in PARTS and got[9003]["score"] == 0.0
 
 
 def test_spans_of_mixed_text(spark, model):
