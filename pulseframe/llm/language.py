@@ -10,13 +10,14 @@ of BUCKETS times languages and a few script shares.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; in a script that no learned
 language uses all of them stay candidates; where nothing speaks for any, and in ties, the first language
-in alphabetical order is taken, with score 0 if no letter is of a known script; documents without
-label teach nothing; without any labelled text everything is ``und``; repeated rows and null ids have no
+in alphabetical order is taken, with score 0 if no letter is of a script of the labelled texts; documents
+without label teach nothing; without any labelled text everything is ``und``; repeated rows and null ids have no
 effect on each other; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -39,31 +40,40 @@ UNKNOWN = "und"
 
 # ------------------------------------------------------------------------------- scripts
 
-#: script -> ranges of code points
+#: script -> the Unicode scripts of its letters; ``other`` has the letters of all that are not listed
 SCRIPTS = {
-    "latin": [(0x41, 0x5A), (0x61, 0x7A), (0xC0, 0x24F), (0x1E00, 0x1EFF)],
-    "greek": [(0x370, 0x3FF), (0x1F00, 0x1FFF)],
-    "cyrillic": [(0x400, 0x52F)],
-    "armenian": [(0x530, 0x58F)],
-    "hebrew": [(0x590, 0x5FF)],
-    "arabic": [(0x600, 0x6FF), (0x750, 0x77F)],
-    "devanagari": [(0x900, 0x97F)],
-    "bengali": [(0x980, 0x9FF)],
-    "tamil": [(0xB80, 0xBFF)],
-    "thai": [(0xE00, 0xE7F)],
-    "georgian": [(0x10A0, 0x10FF)],
-    "hangul": [(0x1100, 0x11FF), (0xAC00, 0xD7AF)],
-    "kana": [(0x3040, 0x30FF)],
-    "han": [(0x3400, 0x4DBF), (0x4E00, 0x9FFF)],
+    **{name: (name,) for name in ("latin", "greek", "cyrillic", "armenian", "hebrew", "arabic", "devanagari", "bengali", "tamil")},
+    **{name: (name,) for name in ("thai", "georgian", "hangul")},
+    "kana": ("hiragana", "katakana"),
+    "han": ("han",),
+    **{name: (name,) for name in ("telugu", "kannada", "malayalam", "gujarati", "gurmukhi", "oriya", "sinhala", "khmer", "lao")},
+    **{name: (name,) for name in ("myanmar", "ethiopic", "tibetan", "mongolian", "thaana", "syriac", "nko", "tifinagh")},
+    **{name: (name,) for name in ("cherokee", "canadian_aboriginal", "yi", "bopomofo", "javanese", "balinese", "ol_chiki")},
+    "common": ("common", "inherited"),  # letters of several scripts
+    "other": (),
 }
 #: a language uses a script that has at least this share of its letters
 SCRIPT_SHARE = 0.01
 
-_SCRIPT_OF = np.full(0x110000 >> 4, 255, np.uint8)  # per 16 code points: enough to tell scripts apart
-for _i, _ranges in enumerate(SCRIPTS.values()):
-    for _low, _high in _ranges:
-        _SCRIPT_OF[_low >> 4 : (_high >> 4) + 1] = _i
 _LETTER = regex.compile(r"\p{L}")
+#: letters that Unicode counts as common, but that only one script uses
+_OWN = {"kana": "\u30fc\uff70"}
+
+
+@functools.cache
+def _script_table() -> np.ndarray:
+    """Per code point its place in SCRIPTS, 255 for all but letters."""
+    table = np.full(0x110000, 255, np.uint8)
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    letters = "".join(regex.findall(r"\p{L}+", every))
+    points = lambda text: np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    table[points(letters)] = list(SCRIPTS).index("other")
+    for i, scripts in enumerate(SCRIPTS.values()):
+        for script in scripts:
+            table[points("".join(regex.findall(rf"\p{{Script={script}}}+", letters)))] = i
+    for name, own in _OWN.items():
+        table[points(own)] = list(SCRIPTS).index(name)
+    return table
 
 
 def _code_points(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -78,16 +88,13 @@ def _code_points(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _scripts(words: wordhash.Words) -> tuple[np.ndarray, np.ndarray]:
-    """Per word the bits of its scripts, and its number of letters in known scripts."""
+    """Per word the bits of its scripts, and its number of letters."""
     at, point = _code_points(words.data)
-    script = _SCRIPT_OF[point >> 4]
-    # the first 128 code points share blocks with signs and digits
-    ascii_letter = ((point | 32) >= 97) & ((point | 32) <= 122)
-    script[(point < 128) & ~ascii_letter] = 255
+    script = _script_table()[point]
     letter = np.flatnonzero(script != 255)
     owner = np.searchsorted(words.start, at[letter], "right") - 1
-    bits = np.zeros(len(words), np.uint32)
-    np.bitwise_or.at(bits, owner, np.uint32(1) << script[letter].astype(np.uint32))
+    bits = np.zeros(len(words), np.uint64)
+    np.bitwise_or.at(bits, owner, np.uint64(1) << script[letter].astype(np.uint64))
     return bits, np.bincount(owner, minlength=len(words))
 
 
@@ -99,6 +106,7 @@ class Model:
     languages: list[str]
     scores: np.ndarray  # BUCKETS x languages, float32
     scripts: np.ndarray  # bits of the scripts of each language
+    taught: np.uint64  # bits of the scripts of all letters it was fitted on
 
 
 def _grams(words: wordhash.Words) -> tuple[np.ndarray, np.ndarray]:
@@ -129,11 +137,12 @@ def _counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             bucket, owner = _grams(words)
             text = np.searchsorted(words.offset, np.arange(len(words)), "right") - 1
             bits, n = _scripts(words)
+            present = np.bitwise_or.reduce(bits)
             for lang in set(langs[low:high]):
                 mine = np.isin(text, np.flatnonzero(langs[low:high] == lang))
                 found = np.bincount(bucket[mine[owner]], minlength=BUCKETS)
                 grams[lang] = grams.get(lang, 0) + found
-                per = np.array([n[mine & (bits >> i & 1 == 1)].sum() for i in range(len(SCRIPTS))])
+                per = np.array([n[mine & (bits >> i & 1 == 1)].sum() if present >> i & 1 else 0 for i in range(len(SCRIPTS))])
                 letters[lang] = letters.get(lang, 0) + per
     for lang, found in grams.items():
         some = np.flatnonzero(found)
@@ -159,8 +168,9 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", sample: int
     letters[-1 - bucket[bucket < 0], where[bucket < 0]] = n[bucket < 0]
     logs = np.log((grams + 0.5) / (grams.sum(axis=0) + 0.5 * BUCKETS))
     used = letters >= SCRIPT_SHARE * np.maximum(letters.sum(axis=0), 1)
-    scripts = (used * (1 << np.arange(len(SCRIPTS)))[:, None]).sum(axis=0).astype(np.uint32)
-    return Model(languages, (logs - logs.max(axis=1, keepdims=True)).astype(np.float32) if languages else logs, scripts)
+    scripts = (used * (1 << np.arange(len(SCRIPTS)))[:, None]).sum(axis=0).astype(np.uint64)
+    taught = np.uint64((letters.any(axis=1) * (1 << np.arange(len(SCRIPTS)))).sum())
+    return Model(languages, (logs - logs.max(axis=1, keepdims=True)).astype(np.float32) if languages else logs, scripts, taught)
 
 
 # ------------------------------------------------------------------------------- labelling
@@ -168,19 +178,21 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", sample: int
 _AGAINST = np.float32(-1000.0)
 
 
-def _word_scores(words: wordhash.Words, model: Model) -> tuple[np.ndarray, np.ndarray]:
-    """Score per word and language, and letters per word. Words without letters say nothing."""
+def _word_scores(words: wordhash.Words, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Score per word and language, letters per word, and whether any of them is of a script that the model
+    was fitted on. Words without such a letter say nothing."""
     bits, letters = _scripts(words)
     bucket, _ = _grams(words)
     size = words.stop - words.start
     begin = np.cumsum(size) - size
     scores = np.add.reduceat(model.scores[bucket], begin, axis=0) if len(words) else np.empty((0, len(model.languages)), np.float32)
-    scores[letters == 0] = 0
+    speaks = bits & model.taught != 0
+    scores[~speaks] = 0
     narrowed = bits[:, None] & model.scripts
     fits = narrowed != 0
     some = fits.any(axis=1)  # a script that no learned language uses narrows nothing
     scores[some] += np.where(fits[some], np.float32(0), _AGAINST)
-    return scores, letters
+    return scores, letters, speaks
 
 
 #: words that are worked through one after the other; longer texts are cut into pieces of this size
@@ -263,14 +275,14 @@ def _label(words: wordhash.Words, model: Model, switch: float, texts: pa.Array)
     if not n_langs:
         none = pa.array([UNKNOWN] * n_texts), pa.array([0.0] * n_texts), pa.array([[] for _ in range(n_texts)], pa.list_(span))
         return list(none)
-    scores, letters = _word_scores(words, model)
+    scores, letters, speaks = _word_scores(words, model)
     path = viterbi(scores, words.offset, switch)
     text = np.repeat(np.arange(n_texts), np.diff(words.offset))
     mass = np.bincount(text * n_langs + path, letters, n_texts * n_langs).reshape(n_texts, n_langs)
     best, total = mass.argmax(axis=1), mass.sum(axis=1)
     score = np.divide(mass[np.arange(n_texts), best], total, out=np.zeros(n_texts), where=total > 0)
     names = [model.languages[b] if _LETTER.search(x.as_py()) else UNKNOWN for b, x in zip(best, texts)]
-    score[[n == UNKNOWN for n in names]] = 0.0
+    score[np.bincount(text, speaks, n_texts) == 0] = 0.0
     new = np.ones(len(path), bool)
     new[1:] = (path[1:] != path[:-1]) | (text[1:] != text[:-1])
     begin = np.flatnonzero(new)

@@ -84,3 +84,23 @@ def test_columns_pass_through(spark, model):
     out = language.label(docs, model)
     assert out.columns == ["doc_id", "text", "lang_pred", "score", "spans"] and out.count() == 3
     assert language.label(docs.limit(0), model).count() == 0
+
+
+def test_languages_of_any_script(spark):
+    words = {"te": "తెలుగు భాష మంచి రోజు", "kn": "ಕನ್ನಡ ಭಾಷೆ ಒಳ್ಳೆಯ ದಿನ", "am": "ሰላም ለዓለም ቋንቋ", "ti": "ሰላም ንዓለም ትግርኛ እዩ", "bo": "བོད་སྐད་ ཡིག་ བཀྲ་ཤིས་"}
+    words |= {"zh2": "𠀀𠀁𠀂 𠀃𠀄", "hw": "ｱｲｳ ｴｵｶ", "pf": "ﺍﺐ ﺕﺚ", "vai": "ꔀꔁꔂ ꔃꔄ", "en": "the thing and that"}
+    docs = [(i, " ".join([text] * 5), lang) for i, (lang, text) in enumerate(words.items())]
+    model = language.fit(frame(spark, docs, "doc_id long, text string, lang string"))
+    bits = dict(zip(model.languages, model.scripts.tolist()))
+    assert bits["te"] != bits["kn"] and bits["vai"] == 1 << list(language.SCRIPTS).index("other")
+    mixed = [(100 + i, f"{text} the", lang) for i, (lang, text) in enumerate(words.items())]
+    rows = language.label(frame(spark, docs + mixed, "doc_id long, text string, lang string"), model).collect()
+    assert [r["lang_pred"] for r in rows] == [r["lang"] for r in rows]
+    assert all(r["score"] == 1.0 for r in rows if r["doc_id"] < 100)
+
+
+def test_only_letters_count(spark, model):
+    texts = ["the ١٢٣٤٥٦٧٨९", "१२ ××", "ሰላም ሰላም", "the ሰላም"]
+    rows = language.label(frame(spark, list(enumerate(texts))), model).collect()
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in rows}
+    assert got[0] == ("en", 1.0) and got[1] == ("und", 0.0) and got[2] == ("de", 0.0) and got[3] == ("en", 1.0)
