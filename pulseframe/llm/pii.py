@@ -19,7 +19,7 @@ from pulseframe.llm.quality import settled
 
 _LOCAL = "A-Za-z0-9._%+-"
 
-#: characters before a match in which context words count
+#: characters before and after a match in which context words count, whatever other matches lie there
 CONTEXT = 48
 #: least score of a span
 THRESHOLD = 0.5
@@ -58,23 +58,29 @@ _SPAN = "array<struct<start:int,rank:int,kind:string,end:int,score:double>>"
 
 
 def _found(kind: str) -> str:
-    """SQL for the valid spans of one kind in `_text`. Positions are running sums over the pieces between matches."""
+    """SQL for the valid spans of one kind in `_text`. Positions are running sums over the pieces between
+    matches, the characters before a match are carried along, those after it are looked ahead to."""
     must, pattern, check, score, context, more = KINDS[kind]
     some = f"_text RLIKE r'{pattern}'" + (f" AND instr(_text, '{must}') > 0" if must else "")
+    after = rf"(?:{pattern})(?=([\s\S]{{0,{CONTEXT}}}))"
     return f"""
 CASE WHEN {some} THEN
   filter(transform(filter(
     aggregate(
-      filter(zip_with(regexp_extract_all(_text, r'{pattern}', 0), split(_text, r'{pattern}', -1),
-        (v, p) -> named_struct('v', v, 'p', p)), x -> x.v IS NOT NULL),
-      named_struct('pos', 0, 'out', cast(array() AS array<struct<start:int,end:int,v:string,before:string>>)),
-      (a, x) -> named_struct('pos', a.pos + char_length(x.p) + char_length(x.v), 'out', concat(a.out, array(named_struct(
-        'start', a.pos + char_length(x.p), 'end', a.pos + char_length(x.p) + char_length(x.v), 'v', x.v,
-        'before', right(x.p, {CONTEXT}))))),
+      filter(zip_with(
+        zip_with(regexp_extract_all(_text, r'{pattern}', 0), regexp_extract_all(_text, r'{after}', 1),
+          (v, n) -> named_struct('v', v, 'after', n)),
+        split(_text, r'{pattern}', -1),
+        (m, p) -> named_struct('v', m.v, 'after', m.after, 'p', p)), x -> x.v IS NOT NULL),
+      named_struct('pos', 0, 'near', '', 'out', cast(array() AS array<struct<start:int,end:int,v:string,before:string,after:string>>)),
+      (a, x) -> named_struct('pos', a.pos + char_length(x.p) + char_length(x.v),
+        'near', right(concat(a.near, x.p, x.v), {CONTEXT}), 'out', concat(a.out, array(named_struct(
+          'start', a.pos + char_length(x.p), 'end', a.pos + char_length(x.p) + char_length(x.v), 'v', x.v,
+          'before', right(concat(a.near, x.p), {CONTEXT}), 'after', x.after)))),
       a -> a.out),
     s -> exists(array(s.v), v -> {check})),
     s -> named_struct('start', s.start, 'rank', {list(KINDS).index(kind)}, 'kind', '{kind}', 'end', s.end,
-      'score', {score}D + CASE WHEN lower(s.before) RLIKE '{context}' THEN {more}D ELSE 0D END)),
+      'score', {score}D + CASE WHEN lower(s.before) RLIKE '{context}' OR lower(s.after) RLIKE '{context}' THEN {more}D ELSE 0D END)),
   s -> s.score >= {THRESHOLD}D)
 ELSE cast(array() AS {_SPAN}) END"""
 

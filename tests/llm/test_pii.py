@@ -85,3 +85,13 @@ def test_redaction(spark):
 def test_no_python_on_the_path(spark):
     plan = pii.find_spans(frame(spark, [(1, "x")]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_context_around_other_matches(spark):
+    numbers = ["123-45-6789", "234-56-7891", "345-67-8912"]
+    for text in ("SSN: " + ", ".join(numbers), " / ".join(numbers) + " (SSN)", "é😀 SSN " + " 😀 ".join(numbers)):
+        assert set(spans(spark, text)) == {("ssn", n) for n in numbers}
+    near, far = "x" * (pii.CONTEXT - 4), "x" * (pii.CONTEXT - 3)
+    for text, n in ((f"ssn {near} {numbers[0]}", 0), (f"ssn{near} {numbers[0]}", 1), (f"{numbers[0]} {near}ssn", 1), (f"{numbers[0]} {far}ssn", 0)):
+        assert len(spans(spark, text)) == n
+    assert pii.redact(frame(spark, [(1, "SSN: " + ", ".join(numbers))])).first()["text"] == "SSN: <SSN>, <SSN>, <SSN>"
