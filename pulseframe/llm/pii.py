@@ -2,7 +2,9 @@
 
 Only DataFrame functions are used, row by row; nothing is shuffled. Offsets are code points, the end
 is exclusive. Per kind the leftmost non-overlapping matches are taken; a match that fails its check is
-dropped and its characters are not searched again. Spans of different kinds may overlap.
+dropped and its characters are not searched again. An IBAN has the length of its country and is tried
+wherever one may start; for letters that are no listed country, all ends of words are tried, the last first.
+Spans of different kinds may overlap.
 
 The patterns use possessive groups and start where a run starts (or the last match ended), so that very
 long runs of digits or letters cost linear time and no deep recursion.
@@ -35,6 +37,19 @@ _MOD97 = """aggregate(split(concat(substring({x}, 5), left({x}, 4)), ''), 0,
   (a, c) -> CASE WHEN c <= '9' THEN (10 * a + cast(c AS INT)) % 97 ELSE (100 * a + ascii(c) - 55) % 97 END,
   a -> a = 1)""".format(x=_IBAN)
 
+#: characters of an IBAN -> its countries
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+_IBAN_SIZES = "CASE {} ELSE sequence(30, 11, -1) END".format(
+    " ".join(f"WHEN left(s.v, 2) IN ('{"', '".join(countries.split())}') THEN array({n - 4})" for n, countries in IBAN_LENGTHS.items())
+)
+#: characters after the first four of an IBAN: 30, a space before each
+_IBAN_REST = 60
+
 #: kind -> (must occur, pattern, check, score, context pattern, score with context)
 KINDS = {
     "email": ("@", rf"(?:(?<![{_LOCAL}])|\G)[{_LOCAL}]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "true", 0.9,
@@ -44,7 +59,7 @@ KINDS = {
              "card|visa|credit|payment|karte|carte|tarjeta", 0.2),
     "phone": ("+", r"\+[0-9][\x20().0-9-]+[0-9]", f"length({_DIGITS}) BETWEEN 10 AND 15", 0.6,
               "phone|call|tel|mobile|fax|handy", 0.3),
-    "iban": (None, r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])", _MOD97, 0.8,
+    "iban": (None, r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=(?:\x20?[A-Z0-9]){11})", _MOD97, 0.8,
              "iban|account|bank|konto|compte|cuenta", 0.2),
     "ssn": ("-", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
             "left(v, 1) <> '9' AND left(v, 3) NOT IN ('000', '666')", 0.3, "ssn|social|security", 0.4),
@@ -54,37 +69,55 @@ KINDS = {
 
 BASE = ("email", "ip", "card", "phone")
 
+_MATCHES = "array<struct<start:int,end:int,v:string,before:string,after:string>>"
 _SPAN = "array<struct<start:int,rank:int,kind:string,end:int,score:double>>"
 
 
 def _found(kind: str) -> str:
     """SQL for the valid spans of one kind in `_text`. Positions are running sums over the pieces between
-    matches, the characters before a match are carried along, those after it are looked ahead to."""
+    matches, the characters before a match are carried along, those after it are looked ahead to. The pattern
+    of an IBAN only matches its first four characters; the rest is taken from those after it."""
     must, pattern, check, score, context, more = KINDS[kind]
     some = f"_text RLIKE r'{pattern}'" + (f" AND instr(_text, '{must}') > 0" if must else "")
-    after = rf"(?:{pattern})(?=([\s\S]{{0,{CONTEXT}}}))"
-    return f"""
-CASE WHEN {some} THEN
-  filter(transform(filter(
+    after = rf"(?:{pattern})(?=([\s\S]{{0,{CONTEXT + (_IBAN_REST if kind == "iban" else 0)}}}))"
+    found = f"""
     aggregate(
       filter(zip_with(
         zip_with(regexp_extract_all(_text, r'{pattern}', 0), regexp_extract_all(_text, r'{after}', 1),
           (v, n) -> named_struct('v', v, 'after', n)),
         split(_text, r'{pattern}', -1),
         (m, p) -> named_struct('v', m.v, 'after', m.after, 'p', p)), x -> x.v IS NOT NULL),
-      named_struct('pos', 0, 'near', '', 'out', cast(array() AS array<struct<start:int,end:int,v:string,before:string,after:string>>)),
+      named_struct('pos', 0, 'near', '', 'out', cast(array() AS {_MATCHES})),
       (a, x) -> named_struct('pos', a.pos + char_length(x.p) + char_length(x.v),
         'near', right(concat(a.near, x.p, x.v), {CONTEXT}), 'out', concat(a.out, array(named_struct(
           'start', a.pos + char_length(x.p), 'end', a.pos + char_length(x.p) + char_length(x.v), 'v', x.v,
           'before', right(concat(a.near, x.p), {CONTEXT}), 'after', x.after)))),
-      a -> a.out),
-    s -> exists(array(s.v), v -> {check})),
+      a -> a.out)"""
+    valid = _whole_ibans(found) if kind == "iban" else f"filter({found},\n    s -> exists(array(s.v), v -> {check}))"
+    return f"""
+CASE WHEN {some} THEN
+  filter(transform({valid},
     s -> named_struct('start', s.start, 'rank', {list(KINDS).index(kind)}, 'kind', '{kind}', 'end', s.end,
       'score', {score}D + CASE WHEN lower(s.before) RLIKE '{context}' OR lower(s.after) RLIKE '{context}' THEN {more}D ELSE 0D END)),
   s -> s.score >= {THRESHOLD}D)
 ELSE cast(array() AS {_SPAN}) END"""
 
 
+def _whole_ibans(found: str) -> str:
+    """SQL for the IBANs that begin with the matches ``found``: of the length of their country, or of the greatest
+    valid one if it has none, and not inside the one before."""
+    return f"""
+    aggregate(transform({found},
+      s -> transform(array(get(filter(
+          transform({_IBAN_SIZES}, n -> regexp_extract(s.after, concat(r'^(?:\x20?[A-Z0-9]){{', n, r'}}(?![A-Za-z0-9])'), 0)),
+          r -> r <> '' AND exists(array(concat(s.v, r)), v -> {_MOD97})), 0)),
+        r -> named_struct('start', s.start, 'end', s.end + char_length(r), 'v', concat(s.v, r), 'before', s.before,
+          'after', substring(s.after, char_length(r) + 1, {CONTEXT})))[0]),
+      cast(array() AS {_MATCHES}),
+      (a, s) -> CASE WHEN s.v IS NULL THEN a WHEN size(a) = 0 THEN array(s)
+        WHEN element_at(a, -1).end <= s.start THEN concat(a, array(s)) ELSE a END)"""
+
+
 def find_spans(docs: DataFrame, text: str = "text", kinds: tuple[str, ...] = tuple(KINDS)) -> DataFrame:
     """``docs`` with ``pii``: its spans ordered by start, then kind."""
     kept = [c for c in docs.columns if c != "pii"]

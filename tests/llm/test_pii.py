@@ -95,3 +95,29 @@ def test_context_around_other_matches(spark):
     for text, n in ((f"ssn {near} {numbers[0]}", 0), (f"ssn{near} {numbers[0]}", 1), (f"{numbers[0]} {near}ssn", 1), (f"{numbers[0]} {far}ssn", 0)):
         assert len(spans(spark, text)) == n
     assert pii.redact(frame(spark, [(1, "SSN: " + ", ".join(numbers))])).first()["text"] == "SSN: <SSN>, <SSN>, <SSN>"
+
+
+def iban(country, rest):
+    """The IBAN with these characters after its check digits."""
+    value = int("".join(str(int(c, 36)) for c in f"{rest}{country}00"))
+    return f"{country}{98 - value % 97:02d}{rest}"
+
+
+def test_iban_before_other_words(spark):
+    solid, apart = "DE89370400440532013000", "DE89 3704 0044 0532 0130 00"
+    layouts = [
+        (f"IBAN {solid} BIC COBADEFFXXX", [solid]), (f"{apart} BIC: COBADEFFXXX", [apart]), (f"{solid} 2024-01-01", [solid]),
+        (f"{solid} GB82WEST12345698765432 X", [solid, "GB82WEST12345698765432"]), (f"AB12 {apart} 5", [apart]),
+        (f"REF NO12 3456 7890 {apart}", [apart]), (f"é😀 {apart} BIC", [apart]), (f"{solid}X", []), (f"{solid}9 BIC", []),
+    ]
+    for text, want in layouts:
+        assert [text[s["start"] : s["end"]] for s in pii.find_spans(frame(spark, [(1, text)])).first()["pii"] if s["kind"] == "iban"] == want
+    assert pii.redact(frame(spark, [(1, layouts[0][0])])).first()["text"] == "IBAN <IBAN> BIC COBADEFFXXX"
+
+
+def test_iban_of_every_length(spark):
+    listed = [(country, n) for n, countries in pii.IBAN_LENGTHS.items() for country in countries.split()]
+    texts = [f"{iban(country, ('12345678' * 4)[: n - 4])} BIC 12" for country, n in [*listed, ("ZZ", 34), ("QQ", 15)]]
+    rows = pii.find_spans(frame(spark, list(enumerate(texts)))).collect()
+    for r in rows:
+        assert [(s["start"], s["end"]) for s in r["pii"] if s["kind"] == "iban"] == [(0, len(texts[r["doc_id"]]) - 7)]
