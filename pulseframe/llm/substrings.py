@@ -1,4 +1,4 @@
-"""Substring deduplication by Relative Lempel-Ziv parsing.
+"""Substring deduplication by seed-cut blocks and window hashes, in place of greedy Relative Lempel-Ziv factors.
 
 The reference is the whole collection, cut into blocks: within a document every window of ``window``
 words belongs to the block of its smallest seed (a hashed run of SEED words), and consecutive windows
@@ -7,8 +7,8 @@ at their ends, whatever stands around them.
 
 1. Index. Every distinct block is indexed under (seed, hash of its words) with the first document that
    holds it.
-2. Parse. Each document is factored greedily from left to right: blocks that an earlier document holds
-   are copied, and the factor goes on as long as the next one is copied too.
+2. Parse. Blocks that an earlier document holds are copied whole. No reference position is kept and no
+   match is extended; copied ranges that adjoin form one factor, also if they come from different documents.
 3. Factor boundaries. Where a block is new but its seed is known from other blocks, a factor may end
    inside it. These blocks, once each, are looked up window by window.
 
