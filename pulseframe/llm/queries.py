@@ -8,7 +8,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pulseframe.llm import bpe, chat, language, lines, near, nearest, pack, pii, quality, substrings
+from pulseframe.llm import bpe, chat, language, lines, near, nearest, pack, periods, pii, quality, substrings
 
 
 VOCABULARY = "word_bpe_49k.json"
@@ -132,4 +132,40 @@ def op7_chat(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-QUERIES = [op1_substring_dedup, op2_language_id, op3_packing, op4_quality_rules, op5_near_dedup, op6_top_k, op7_chat, op8_line_dedup, op9_bpe, op10_pii]
+def _with_planted_runs(docs: DataFrame) -> DataFrame:
+    """The texts, a tenth of them (by the checksum h of their id) periodic from word a on with period p."""
+    docs = docs.withColumn("h", F.crc32(F.col("doc_id").cast("string").cast("binary")))
+    docs = docs.withColumn("w", F.when(F.col("h") % 10 == 0, quality.words(F.coalesce("text", F.lit("")))))
+    docs = docs.withColumns({"g": F.floor(F.col("h") / 10), "n": F.size("w").cast("long")})
+    docs = docs.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    docs = docs.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    tail = F.expr("flatten(array_repeat(slice(w, int(a + 1), int(p)), int((n - a + p - 1) div p)))")
+    planted = F.expr("concat(slice(w, 1, int(a)), slice(_tail, 1, int(n - a)))")
+    docs = docs.withColumn("_tail", F.when(F.col("a").isNotNull(), tail))
+    return docs.select("doc_id", F.when(F.col("a").isNotNull(), F.array_join(planted, " ")).otherwise(F.col("text")).alias("text"))
+
+
+_LONGEST = """
+aggregate(runs, cast(null AS struct<start:bigint,length:bigint,period:bigint>),
+  (best, r) -> if(best IS NULL OR r.length * best.period > best.length * r.period, r, best))"""
+
+
+def op11_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Runs of all texts after planting, the one repeated most often, and digests of all and of the rest."""
+    docs = _with_planted_runs(_table(spark, sf, "documents").select("doc_id", "text"))
+    rows = periods.find_runs(docs).withColumn("longest", F.expr(_LONGEST))
+    listed = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return rows.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "longest.start", "longest.length", "longest.period",
+        F.expr("1000 * longest.length div longest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(listed, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+QUERIES = [
+    op1_substring_dedup, op2_language_id, op3_packing, op4_quality_rules, op5_near_dedup, op6_top_k, op7_chat,
+    op8_line_dedup, op9_bpe, op10_pii, op11_periodic_runs,
+]
