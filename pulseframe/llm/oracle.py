@@ -93,4 +93,31 @@ SELECT m.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, m.doc_id = compon
   coalesce(min(n.doc_id) OVER (PARTITION BY n.h), m.doc_id) AS class_id
 FROM m LEFT JOIN n USING (doc_id)"""
 
-ORACLE = {"op1_substring_dedup": OP1, "op5_near_dedup": OP5, "op6_top_k": OP6, "op4_quality_rules": OP4, "op7_chat": OP7, "op8_line_dedup": OP8}
+OP13 = rf"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS body, {_WORDS} AS words FROM documents),
+e AS (SELECT *, coalesce(doc_id > min(doc_id) OVER (PARTITION BY body), false) AS copied FROM d),
+l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+m AS (
+  SELECT part, (len(words) < 100)::INT + 2 * (100 * len(list_distinct(words)) < 80 * len(words))::INT
+      + 4 * (100 * (length(body) - length(regexp_replace(body, '[A-Z]', '', 'g'))) > 10 * length(body))::INT
+      + 8 * regexp_matches(body, '[#$%&*|]')::INT + 16 * copied::INT AS mask,
+    count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+  FROM e LEFT JOIN l USING (doc_id) GROUP BY ALL),
+f(letter, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+o AS (SELECT a.letter || b.letter || c.letter || g.letter || h.letter AS filter_order FROM f a, f b, f c, f g, f h
+  WHERE a.bit + b.bit + c.bit + g.bit + h.bit = 31 AND a.bit | b.bit | c.bit | g.bit | h.bit = 31),
+s AS (SELECT filter_order, step::INT AS step, letter, bit,
+    coalesce(sum(bit) OVER (PARTITION BY filter_order ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::INT AS earlier
+  FROM o, range(1, 6) r(step) JOIN f ON letter = substr(filter_order, step::INT, 1)),
+r AS (
+  SELECT part, filter_order, step, letter,
+    coalesce(sum(n) FILTER (mask & (earlier | bit) = 0), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (mask & bit <> 0 AND mask & earlier = 0), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (mask & bit <> 0 AND mask & earlier <> 0), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (mask = bit), 0)::BIGINT AS unique_fails,
+    coalesce(sum(good) FILTER (mask & bit <> 0 AND mask & earlier = 0), 0)::BIGINT AS good_lost,
+    coalesce(sum(toxic) FILTER (mask & bit <> 0 AND mask & earlier = 0), 0)::BIGINT AS toxic_lost
+  FROM m, s GROUP BY ALL)
+SELECT * EXCLUDE (letter), (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley FROM r"""
+
+ORACLE = {"op13_filter_audit": OP13, "op1_substring_dedup": OP1, "op5_near_dedup": OP5, "op6_top_k": OP6, "op4_quality_rules": OP4, "op7_chat": OP7, "op8_line_dedup": OP8}

@@ -8,7 +8,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pulseframe.llm import bpe, chat, language, lines, near, nearest, pack, periods, pii, quality, substrings
+from pulseframe.llm import bpe, chat, filter_audit, language, lines, near, nearest, pack, periods, pii, quality, substrings
 
 
 VOCABULARY = "word_bpe_49k.json"
@@ -165,7 +165,12 @@ def op11_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op13_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """What five filters remove per language, order of the filters and step."""
+    return filter_audit.audit_filters(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
 QUERIES = [
     op1_substring_dedup, op2_language_id, op3_packing, op4_quality_rules, op5_near_dedup, op6_top_k, op7_chat,
-    op8_line_dedup, op9_bpe, op10_pii, op11_periodic_runs,
+    op8_line_dedup, op9_bpe, op10_pii, op11_periodic_runs, op13_filter_audit,
 ]
