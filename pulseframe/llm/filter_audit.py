@@ -41,20 +41,6 @@ FILTERS = "ABCDE"
 _LEDGER = "doc_id long, part string, mask int, key binary"
 
 
-def _per_text(marks: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """How many bytes of each text are marked."""
-    total = np.concatenate([[0], np.cumsum(marks)])
-    return total[ends[1:]] - total[ends[:-1]]
-
-
-def _distinct_words(words: wordhash.Words) -> np.ndarray:
-    sizes = np.diff(words.offset)
-    text = np.repeat(np.arange(len(sizes)), sizes)
-    own = words.lanes[0] ^ wordhash.mix(text.astype(np.uint64) + np.uint64(1))  # equal words of two texts differ
-    _, first = np.unique(own, return_index=True)
-    return np.bincount(text[first], minlength=len(sizes))
-
-
 def _measuring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     symbols = np.isin(np.arange(256), list(SYMBOLS.encode()))
     for batch in batches:
@@ -64,12 +50,13 @@ def _measuring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             body, own = data[ends[low] : ends[high]], ends[low : high + 1] - ends[low]
             words = wordhash.Words(body, own, False, 1)
             n_words = np.diff(words.offset)
-            points = _per_text((body & 0xC0) != 0x80, own)
+            distinct = wordhash.distinct_per_text(words.lanes[0], np.repeat(np.arange(high - low), n_words), high - low)
+            points = wordhash.per_text((body & 0xC0) != 0x80, own)
             fails = (
                 n_words < MIN_WORDS,
-                100 * _distinct_words(words) < MIN_DISTINCT * n_words,
-                100 * _per_text((body >= 65) & (body <= 90), own) > MAX_CAPITALS * points,
-                _per_text(symbols[body], own) > 0,
+                100 * distinct < MIN_DISTINCT * n_words,
+                100 * wordhash.per_text((body >= 65) & (body <= 90), own) > MAX_CAPITALS * points,
+                wordhash.per_text(symbols[body], own) > 0,
             )
             masks.append(sum(f.astype(np.int32) << i for i, f in enumerate(fails)))
             view = memoryview(body)

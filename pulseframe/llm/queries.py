@@ -8,7 +8,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pulseframe.llm import bpe, chat, filter_audit, language, lines, near, nearest, pack, periods, pii, quality, substrings
+from pulseframe.llm import bpe, chat, filter_audit, language, lines, near, nearest, pack, periods, pii, quality, rules, substrings
 
 
 VOCABULARY = "word_bpe_49k.json"
@@ -165,6 +165,19 @@ def op11_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+#: scores from here on are predicted to be of label 1
+GOOD = 0.3
+
+
+def op12_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    """Quality of all texts, learned from the labels of documents that are not held out."""
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    docs, labels = _table(spark, sf, "documents").select("doc_id", "text"), _table(spark, sf, "labels")
+    model = rules.fit(docs.where(~held_out), labels.where(~held_out))
+    rows = rules.score(docs, model)
+    return rows.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= GOOD).cast("int").alias("predicted"))
+
+
 def op13_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
     """What five filters remove per language, order of the filters and step."""
     return filter_audit.audit_filters(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
@@ -172,5 +185,5 @@ def op13_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = [
     op1_substring_dedup, op2_language_id, op3_packing, op4_quality_rules, op5_near_dedup, op6_top_k, op7_chat,
-    op8_line_dedup, op9_bpe, op10_pii, op11_periodic_runs, op13_filter_audit,
+    op8_line_dedup, op9_bpe, op10_pii, op11_periodic_runs, op12_quality_classifier, op13_filter_audit,
 ]

@@ -150,6 +150,19 @@ def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(starts - before, counts)
 
 
+def per_text(marks: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """How many bytes (or words) of each text are marked; ``ends`` as of ``text_bytes``."""
+    total = np.concatenate([[0], np.cumsum(marks)])
+    return total[ends[1:]] - total[ends[:-1]]
+
+
+def distinct_per_text(hashes: np.ndarray, text: np.ndarray, n_texts: int) -> np.ndarray:
+    """How many distinct hashes each text has; ``text`` is the text of each hash."""
+    own = hashes ^ mix(text.astype(np.uint64) + np.uint64(1))  # equal hashes of two texts differ
+    _, first = np.unique(own, return_index=True)
+    return np.bincount(text[first], minlength=n_texts)
+
+
 def signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
