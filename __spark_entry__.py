@@ -13,12 +13,13 @@ from datetime import datetime, timezone
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pulseframe import fixed
 from pulseframe.functions import clip
 from pulseframe.operators import clean as cleaning
-from pulseframe.operators import features, keyed, model, nested, profile, report, scaling, split
+from pulseframe.operators import boosting, features, keyed, model, nested, profile, report, scaling, split
 from pulseframe.plans.etl import run_etl
 from pulseframe.plans.scoring import newest_classes, read_runs, run_scoring
 from pulseframe.session import scratch_path
@@ -454,7 +455,7 @@ def _trained(spark, sf):
         root, result = _etl(spark, sf)
         training = labelled_csv.read_split_csv(spark, f"{root}/data/{fixed.TRAIN_FILE}")
         validation = labelled_csv.read_split_csv(spark, f"{root}/data/{fixed.VALIDATION_FILE}")
-        return model.train(training, validation), result["stats"]
+        return model.train(training, validation, growth="level"), result["stats"]
 
     return _once("model", spark, sf, build)
 
@@ -523,13 +524,56 @@ def gbt_confusion(spark, sf):
     root, _ = _etl(spark, sf)
     trees, _ = _trained(spark, sf)
     held_out = labelled_csv.read_split_csv(spark, f"{root}/data/{fixed.VALIDATION_FILE}")
-    counts = model.confusion(model.predict(held_out, trees))
+    return _accuracy(model.confusion(model.predict(held_out, trees)))
+
+
+def _accuracy(counts: DataFrame) -> DataFrame:
     right = F.col(fixed.CLASSIFICATION) == F.when(F.col(fixed.LABEL) == 1, fixed.UNHEALTHY).otherwise(fixed.HEALTHY)
     return counts.groupBy(fixed.LABEL).agg(
         F.sum("count").alias("n"), (F.sum(F.when(right, F.col("count")).otherwise(0)) >= ACCURACY * F.sum("count")).alias("accurate")
     )
 
 
+def _leafwise(spark, sf):
+    """A leaf-wise fit on the ETL's channels that ends by its validation loss."""
+
+    def build():
+        root, _ = _etl(spark, sf)
+        channels = [labelled_csv.read_split_csv(spark, f"{root}/data/{f}") for f in (fixed.TRAIN_FILE, fixed.VALIDATION_FILE)]
+        return boosting.fit(*channels, params={**fixed.BOOSTING, "learning_rate": 0.5, "early_stopping_rounds": 2})
+
+    return _once("leafwise", spark, sf, build)
+
+
+def leafwise_confusion(spark, sf):
+    """As ``gbt_confusion``, with trees grown leaf by leaf."""
+    root, _ = _etl(spark, sf)
+    trees = PipelineModel([model.assembler(fixed.SCALED_FEATURES), boosting.to_mllib(_leafwise(spark, sf))])
+    held_out = labelled_csv.read_split_csv(spark, f"{root}/data/{fixed.VALIDATION_FILE}")
+    return _accuracy(model.confusion(model.predict(held_out, trees)))
+
+
+def leafwise_trees(spark, sf):
+    """Per tree its limits: leaves, features, and whether it was built before the patience was used up."""
+    fit, p = _leafwise(spark, sf), fixed.BOOSTING
+    rows = [(len(fit.trees) - fit.best <= 2, boosting.n_leaves(t) <= p["leaves"], boosting.least_leaf(t) >= p["min_data_in_leaf"], len(u)) for t, u in zip(fit.trees, fit.used)]
+    df = spark.createDataFrame(rows, "in_time boolean, few_leaves boolean, full_leaves boolean, features int")
+    return df.groupBy("in_time", "few_leaves", "full_leaves", "features").agg((F.count(F.lit(1)) <= p["rounds"]).alias("few_rounds"))
+
+
+#: where bins begin in ``split_gains``
+GAIN_EDGES = {
+    fixed.HEART_RATE: [float(x) for x in range(45, 200, 5)], fixed.O2: [x / 200 for x in range(171, 200)],
+    fixed.SLEEP: [x / 4 for x in range(9, 56)], fixed.CALORIES: [float(x) for x in range(200, 900, 25)],
+}
+
+
+def split_gains(spark, sf):
+    """What every split of the first tree's root would gain, feature by feature and bin by bin."""
+    rows = _labelled(spark, sf)
+    return boosting.root_gains(rows, GAIN_EDGES, fixed.LABEL).withColumn("gain", F.round("gain", 6))
+
+
 def score_batch(spark, sf):
     """All records with their outcome; of the class, whether there is one."""
     trees, stats = _trained(spark, sf)
@@ -579,7 +623,7 @@ _QUERIES = [
     training_frame, random_split, stratified_split, stratified_orders, decimals_to_double, upsert_latest,
     pending_records, analytics_upsert, latest_per_citizen, route_feed, stream_ingest, stream_counts, etl_processed,
     etl_channels, etl_statistics, etl_table_properties, results_export, feature_vector, log_loss,
-    gbt_confusion, score_batch, model_round_trip, scheduled_scoring,
+    gbt_confusion, leafwise_confusion, leafwise_trees, split_gains, score_batch, model_round_trip, scheduled_scoring,
 ]
 
 

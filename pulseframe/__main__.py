@@ -44,6 +44,8 @@ def _parser() -> argparse.ArgumentParser:
     train.add_argument("--models", required=True)
     train.add_argument("--version", type=int, required=True)
     train.add_argument("--rounds", type=int, default=fixed.BOOSTING["rounds"])
+    train.add_argument("--growth", choices=["leaf", "level"], default="leaf")
+    train.add_argument("--state", help="folder from which an interrupted fit goes on (growth by leaf)")
 
     ingest = jobs.add_parser("ingest", help="route a feed of messages into the record log")
     ingest.add_argument("--feed", required=True)
@@ -91,7 +93,7 @@ def main(argv: list[str] | None = None) -> dict:
     elif args.job == "etl":
         result = run_etl(spark, args.source, args.dest, args.as_of, args.split, args.fit_on, table=args.table)
     elif args.job == "train":
-        result = run_training(spark, args.data, args.models, args.version, rounds=args.rounds)
+        result = run_training(spark, args.data, args.models, args.version, growth=args.growth, state=args.state, rounds=args.rounds)
         result["confusion"] = [[*key, n] for key, n in result["confusion"].items()]
     elif args.job == "ingest":
         feed = read_feed(spark, args.feed, args.format)

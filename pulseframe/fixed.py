@@ -97,6 +97,8 @@ BOOSTING = {
     "learning_rate": 0.1,
     "feature_fraction": 0.8,
     "bagging_fraction": 0.8,
+    "bagging_every": 5,
+    "max_bins": 255,
     "min_data_in_leaf": 20,
     "early_stopping_rounds": 10,
     "seed": SEED,

@@ -1,4 +1,4 @@
-"""Boosted-tree classification with MLlib."""
+"""Boosted-tree classification, as MLlib models."""
 
 from __future__ import annotations
 
@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pulseframe import fixed
 from pulseframe.functions import clip, log_loss
+from pulseframe.operators import boosting
 from pulseframe.operators.features import engineer
 from pulseframe.operators.report import add_classification, stamp, with_defaults
 from pulseframe.operators.scaling import Stats, scale
@@ -50,18 +51,26 @@ def best_round(losses: list[float], patience: int) -> int:
     return best + 1
 
 
+def assembler(features: list[str]) -> VectorAssembler:
+    """The model's input vector; missing values are NaN."""
+    return VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
+
+
 def train(
     train_df: DataFrame,
     validation_df: DataFrame | None = None,
     features: list[str] = fixed.SCALED_FEATURES,
     label: str = fixed.LABEL,
+    growth: str = "leaf",
+    state: str | None = None,
     **overrides,
 ) -> PipelineModel:
-    """Fit a boosted-tree classifier.
+    """Fit a boosted-tree classifier; with a validation frame, the trees of the best rounds are kept.
 
-    MLlib grows level by level, so the leaf limit becomes the depth whose full tree has
-    as many leaves. With a validation frame the loss after every round is read in one
-    pass and the trees of the best rounds are kept. There is one fit.
+    ``growth="leaf"`` splits the leaf of the largest gain next and ends the fit when the validation loss stops
+    improving; ``state`` is a folder from which an interrupted fit goes on (see ``boosting``).
+    ``growth="level"`` is MLlib's own fit, always of all rounds: the leaf limit becomes the depth whose full
+    tree has as many leaves, features are drawn per node, and rows in every round.
 
     On a cluster the rounds' lineage is cut in the folder named by ``spark.checkpoint.dir``.
     """
@@ -69,7 +78,11 @@ def train(
     unknown = set(p) - set(fixed.BOOSTING)
     if unknown:
         raise ValueError(f"unknown parameters: {sorted(unknown)}")
-    assembler = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
+    if growth not in ("leaf", "level"):
+        raise ValueError(f"unknown growth: {growth}")
+    inputs = assembler(features)
+    if growth == "leaf":
+        return PipelineModel([inputs, boosting.to_mllib(boosting.fit(train_df, validation_df, features, label, p, state))])
     learner = GBTClassifier(
         featuresCol="features",
         labelCol=label,
@@ -83,17 +96,17 @@ def train(
         seed=p["seed"],
     )
     cluster_checkpoints(train_df.sparkSession)
-    data = assembler.transform(train_df).select("features", F.col(label).cast("double")).persist()
+    data = inputs.transform(train_df).select("features", F.col(label).cast("double")).persist()
     try:
         model = learner.fit(data)
         if validation_df is not None and p["early_stopping_rounds"]:
-            held_out = assembler.transform(validation_df).select("features", F.col(label).cast("double"))
+            held_out = inputs.transform(validation_df).select("features", F.col(label).cast("double"))
             if not held_out.isEmpty():
                 rounds = best_round(model.evaluateEachIteration(held_out), p["early_stopping_rounds"])
                 model = first_trees(model, rounds)
     finally:
         data.unpersist()
-    return PipelineModel([assembler, model])
+    return PipelineModel([inputs, model])
 
 
 def cluster_checkpoints(spark: SparkSession) -> None:

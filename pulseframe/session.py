@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -59,6 +61,26 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's sources to the Python workers once per application, wherever they were started."""
+    home = os.path.dirname(os.path.abspath(__file__))
+    if spark.sparkContext.applicationId in _shipped or not os.path.isdir(home):
+        return
+    # the driver serves the file to executors as long as the application lives
+    path = os.path.join(tempfile.mkdtemp(prefix="pulseframe-"), "pulseframe_sources.zip")
+    with zipfile.ZipFile(path, "w") as archive:
+        for at, _, names in os.walk(home):
+            for name in names:
+                if name.endswith(".py"):
+                    file = os.path.join(at, name)
+                    archive.write(file, os.path.join("pulseframe", os.path.relpath(file, home)))
+    spark.sparkContext.addPyFile(path)
+    _shipped.add(spark.sparkContext.applicationId)
+
+
 def folder_exists(spark: SparkSession, path: str) -> bool:
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)

@@ -348,6 +348,29 @@ FROM (SELECT label, CASE WHEN p < 1e-15 THEN 1e-15 WHEN p > 1e0 - 1e-15 THEN 1e0
         "gbt_confusion": _with(
             "SELECT label, CAST(n - t AS BIGINT) AS n, true AS accurate FROM per_label", ",\n" + _CHANNELS
         ),
+        "leafwise_confusion": _with(
+            "SELECT label, CAST(n - t AS BIGINT) AS n, true AS accurate FROM per_label", ",\n" + _CHANNELS
+        ),
+        "leafwise_trees": "SELECT true AS in_time, true AS few_leaves, true AS full_leaves, 6 AS features, true AS few_rounds",
+        "split_gains": _with(
+            """SELECT feature, below, ln AS n_left, tn - ln AS n_right,
+ round(power(lg / 1048576e0, 2) / nullif(lh / 1048576e0, 0) + power((tg - lg) / 1048576e0, 2) / nullif((th - lh) / 1048576e0, 0)
+  - power(tg / 1048576e0, 2) / (th / 1048576e0), 6) AS gain
+FROM (SELECT feature, below, count(*) FILTER (v < below) AS ln, count(*) AS tn, coalesce(sum(g) FILTER (v < below), 0)::DOUBLE AS lg,
+  sum(g)::DOUBLE AS tg, coalesce(sum(h) FILTER (v < below), 0)::DOUBLE AS lh, sum(h)::DOUBLE AS th
+ FROM edges JOIN each USING (feature) GROUP BY feature, below)""",
+            """,
+gh AS (SELECT *, round((p - label) * 1048576e0)::BIGINT AS g, round(p * (1 - p) * 1048576e0)::BIGINT AS h
+ FROM labelled, (SELECT avg(label) AS p FROM labelled)),
+each AS (
+ SELECT 'average_heart_beat_rate' AS feature, average_heart_beat_rate::DOUBLE AS v, g, h FROM gh
+ UNION ALL SELECT 'o2_content', o2_content, g, h FROM gh UNION ALL SELECT 'sleep_time', sleep_time, g, h FROM gh
+ UNION ALL SELECT 'calories_burned', calories_burned::DOUBLE, g, h FROM gh),
+edges AS (
+ SELECT 'average_heart_beat_rate' AS feature, unnest(range(45, 200, 5))::DOUBLE AS below
+ UNION ALL SELECT 'o2_content', unnest(range(171, 200)) / 200e0 UNION ALL SELECT 'sleep_time', unnest(range(9, 56)) / 4e0
+ UNION ALL SELECT 'calories_burned', unnest(range(200, 900, 25))::DOUBLE)""",
+        ),
         "score_batch": _with(
             f"SELECT {_RAW}, '2024-02-01T12:30:45.678Z' AS inference_timestamp, {_OUTCOME} FROM vitals"
         ),

@@ -119,12 +119,13 @@ def test_early_stop_keeps_the_first_trees_of_one_fit(spark, monkeypatch):
         "id",
     )
     fit = model.train(
-        df.where("id < 300"), df.where("id >= 300"), ["x"], rounds=20, early_stopping_rounds=3, min_data_in_leaf=1
-    )
+        df.where("id < 300"), df.where("id >= 300"), ["x"], "label", "level",
+        rounds=20, early_stopping_rounds=3, min_data_in_leaf=1,
+    )
     assert len(fits) == 1
     kept = model.boosted_rounds(fit)
-    full = model.train(df.where("id < 300"), None, ["x"], rounds=20, min_data_in_leaf=1)
-    shorter = model.train(df.where("id < 300"), None, ["x"], rounds=kept, min_data_in_leaf=1)
+    full = model.train(df.where("id < 300"), None, ["x"], growth="level", rounds=20, min_data_in_leaf=1)
+    shorter = model.train(df.where("id < 300"), None, ["x"], growth="level", rounds=kept, min_data_in_leaf=1)
     both = model.predict(model.predict(df, fit, "p"), shorter, "q")
     assert both.where("p <> q").isEmpty()
     assert kept < 20 and model.boosted_rounds(full) == 20
