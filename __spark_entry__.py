@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pulseframe import fixed
 from pulseframe.functions import clip
 from pulseframe.operators import clean as cleaning
-from pulseframe.operators import boosting, features, keyed, model, nested, profile, report, scaling, split
+from pulseframe.operators import boosting, difference, features, incremental, keyed, levels, model, nested, profile, report, scaling, split, timejoin
 from pulseframe.plans.etl import run_etl
 from pulseframe.plans.scoring import newest_classes, read_runs, run_scoring
 from pulseframe.session import scratch_path
@@ -420,6 +420,122 @@ def stream_counts(spark, sf):
     return counts.groupBy("route").agg(F.sum("count").alias("n"))
 
 
+# ------------------------------------------------------ time, levels, differences, merged statistics
+
+HOUR_MS = 3_600_000
+
+
+def asof_readings(spark, sf):
+    """For every error event the last reading of its citizen, at most two days old."""
+    rows = _vitals(spark, sf)
+    errors = rows.where("event_type = 'error'").select("event_id", "citizen_id", "timestamp")
+    readings = rows.where("event_type <> 'error'").select(
+        "citizen_id", "timestamp", F.col("event_id").alias("reading_id"), fixed.HEART_RATE, fixed.O2
+    )
+    joined = timejoin.as_of_join(errors, readings, ["citizen_id"], "timestamp", 12 * HOUR_MS, ties=["reading_id"], tolerance=48 * HOUR_MS)
+    return joined.select("event_id", "citizen_id", "timestamp", "matched.reading_id", f"matched.{fixed.HEART_RATE}", f"matched.{fixed.O2}")
+
+
+def asof_orders(spark, sf):
+    """For every order the customer's order before it, whatever its age; orders of one day go by their key."""
+    orders = _table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.datediff("o_orderdate", F.lit("1970-01-01")).alias("day"))
+    moments = orders.withColumn("until", F.col("day") - 1)
+    earlier = orders.select("o_custkey", "day", F.col("o_orderkey").alias("previous"))
+    joined = timejoin.as_of_join(moments, earlier, ["o_custkey"], "until", 90, right_time="day", ties=["previous"])
+    return joined.select("o_orderkey", "o_custkey", "day", F.col("matched.previous").alias("previous"), (F.col("day") - F.col("matched.day")).alias("days"))
+
+
+def interval_readings(spark, sf):
+    """The readings of a citizen within the alarm that an error raises, which lasts an hour to a week."""
+    rows = _vitals(spark, sf)
+    lasts = (1 + F.col("event_id") * 37 % 168) * HOUR_MS
+    alarms = rows.where("event_type = 'error'").select("citizen_id", F.col("event_id").alias("alarm_id"), F.col("timestamp").alias("since"), (F.col("timestamp") + lasts).alias("until"))
+    readings = rows.select("event_id", "citizen_id", "timestamp", fixed.HEART_RATE)
+    joined = timejoin.interval_join(readings, alarms, ["citizen_id"], "timestamp", "since", "until")
+    return joined.select("event_id", "citizen_id", "timestamp", fixed.HEART_RATE, "interval.alarm_id")
+
+
+def _measured(spark, sf):
+    rows = _engineered(spark, sf)
+    return rows, {
+        "n": F.count(F.lit(1)), "unhealthy": F.sum(fixed.LABEL), "least": F.min(fixed.HEART_RATE), "most": F.max(fixed.HEART_RATE),
+        "calories": F.sum(fixed.CALORIES),
+    }
+
+
+def vitals_cube(spark, sf):
+    """Counts and sums for every choice of zone, oxygen class, sleep class and label."""
+    rows, aggregates = _measured(spark, sf)
+    dimensions = [*fixed.CATEGORIES, fixed.LABEL]
+    return levels.aggregate_levels(rows, dimensions, levels.cube_sets(dimensions), **aggregates)
+
+
+def orders_rollup(spark, sf):
+    """Orders by year, month and priority, by year and month, by year, and all."""
+    orders = _table(spark, sf, "orders").select(
+        F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"), F.col("o_orderpriority").alias("priority"), "o_custkey"
+    )
+    dimensions = ["year", "month", "priority"]
+    return levels.aggregate_levels(orders, dimensions, levels.rollup_sets(dimensions), n=F.count(F.lit(1)), customers=F.count_distinct("o_custkey"))
+
+
+def vitals_grouping_sets(spark, sf):
+    """Chosen levels only: zone with label, sleep class, all."""
+    rows, aggregates = _measured(spark, sf)
+    dimensions = ["heart_rate_zone", "sleep_quality", fixed.LABEL]
+    return levels.aggregate_levels(rows, dimensions, [("heart_rate_zone", fixed.LABEL), ("sleep_quality",), ()], **aggregates)
+
+
+def _states(spark, sf):
+    """The raw table as of the first delivery, and as of all but some records."""
+    rows = _vitals(spark, sf).select("event_id", *fixed.RAW_COLUMNS)
+    old = rows.where(F.col("event_id") % 7 != 0)
+    corrected = F.when(F.col("event_id") % 10 == 0, F.col(fixed.CALORIES) + 1).otherwise(F.col(fixed.CALORIES))
+    new = rows.where(F.col("event_id") % 11 != 0).withColumn(fixed.CALORIES, corrected)
+    return old, new.withColumn(fixed.O2, F.when(F.col("event_id") % 13 == 0, None).otherwise(F.col(fixed.O2)))
+
+
+def state_difference(spark, sf):
+    """Records added, removed and changed between two states of the table, and what changed."""
+    old, new = _states(spark, sf)
+    rows = difference.snapshot_difference(old, new, ["event_id"])
+    return rows.select("event_id", "change", F.array_join("columns", ",").alias("columns"), F.col(f"before.{fixed.CALORIES}").alias("old_calories"), F.col(f"after.{fixed.CALORIES}").alias("new_calories"))
+
+
+def state_common(spark, sf):
+    return difference.common_rows(*_states(spark, sf))
+
+
+def state_missing(spark, sf):
+    """Readings without their ids that the first state has more often than the second."""
+    old, new = [s.select(fixed.CITIZEN, fixed.HEART_RATE, fixed.SLEEP) for s in _states(spark, sf)]
+    return difference.missing_rows(old, new)
+
+
+def incremental_scaler(spark, sf):
+    """Scaling statistics from the stored moments of daily batches, one of them stored twice."""
+    rows, path = features.engineer(cleaning.drop_incomplete(_vitals(spark, sf))), scratch_path(spark, "moments")
+    day = F.floor(F.col(fixed.TIMESTAMP) / (24 * HOUR_MS))
+    for number in [0, 1, 2, 3, 2]:
+        part = incremental.moments(rows.where(day % 4 == number))
+        incremental.keep_batch(part, path, number)
+    merged = incremental.merge_moments(incremental.kept_batches(part, path))
+    return _round(incremental.scaler_of(merged).join(merged.select("feature", "n"), "feature"), ["mean", "std"])
+
+
+def distinct_citizens(spark, sf):
+    """Distinct citizens and timestamps per event type from daily sketches: whether the estimate is within three standard errors."""
+    rows, path = _vitals(spark, sf), scratch_path(spark, "sketches")
+    daily = rows.withColumn("day", F.floor(F.col(fixed.TIMESTAMP) / (24 * HOUR_MS)))
+    part = incremental.distinct_sketches(daily, ["day", "event_type"], [fixed.CITIZEN, fixed.TIMESTAMP])
+    incremental.keep_batch(part, path, 0)
+    merged = incremental.merge_sketches(incremental.kept_batches(part, path), ["event_type"])
+    exact = rows.groupBy("event_type").agg(F.count_distinct(fixed.CITIZEN).alias(fixed.CITIZEN), F.count_distinct(fixed.TIMESTAMP).alias(fixed.TIMESTAMP))
+    exact = exact.unpivot("event_type", [fixed.CITIZEN, fixed.TIMESTAMP], "column_name", "exact")
+    near = F.abs(F.col("estimate") - F.col("exact")) <= 3 * incremental.RELATIVE_ERROR * F.col("exact")
+    return merged.join(exact, ["event_type", "column_name"]).select("event_type", "column_name", "exact", near.alias("near"))
+
+
 # ------------------------------------------------------------------------ model and jobs
 
 _RUNS: dict[tuple, object] = {}
@@ -623,7 +739,8 @@ _QUERIES = [
     training_frame, random_split, stratified_split, stratified_orders, decimals_to_double, upsert_latest,
     pending_records, analytics_upsert, latest_per_citizen, route_feed, stream_ingest, stream_counts, etl_processed,
     etl_channels, etl_statistics, etl_table_properties, results_export, feature_vector, log_loss,
-    gbt_confusion, leafwise_confusion, leafwise_trees, split_gains, score_batch, model_round_trip, scheduled_scoring,
+    asof_readings, asof_orders, interval_readings, vitals_cube, orders_rollup, vitals_grouping_sets, state_difference,
+    state_common, state_missing, incremental_scaler, distinct_citizens, gbt_confusion, leafwise_confusion, leafwise_trees, split_gains, score_batch, model_round_trip, scheduled_scoring,
 ]
 
 

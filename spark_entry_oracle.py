@@ -79,6 +79,22 @@ def _with(select: str, extra: str = "") -> str:
     return f"WITH {_VIEWS.strip()}{extra}\n{select}"
 
 
+def _levels(groups: str, dimensions: str) -> str:
+    """Counts and sums of ``engineered`` per level."""
+    names = dimensions.split()
+    level = ", ".join(f"CASE WHEN grouping({c}) = 0 THEN '{c}' END" for c in names)
+    return f"""SELECT {", ".join(names)}, concat_ws(',', {level}) AS level, count(*) AS n, sum(label)::BIGINT AS unhealthy,
+ min(average_heart_beat_rate) AS least, max(average_heart_beat_rate) AS most, sum(calories_burned)::BIGINT AS calories
+FROM engineered GROUP BY {groups}"""
+
+
+_STATES = """,
+states AS (SELECT event_id, citizen_id, timestamp, average_heart_beat_rate, o2_content, sleep_time, calories_burned FROM vitals),
+old AS (SELECT * FROM states WHERE event_id % 7 <> 0),
+new AS (SELECT * REPLACE (CASE WHEN event_id % 13 = 0 THEN NULL ELSE o2_content END AS o2_content,
+  CASE WHEN event_id % 10 = 0 THEN calories_burned + 1 ELSE calories_burned END AS calories_burned) FROM states WHERE event_id % 11 <> 0)"""
+
+
 def _audit(table: str, cols: list[str]) -> str:
     return "\nUNION ALL\n".join(
         f"SELECT '{c}' AS column_name, count(*) - count({c}) AS n_null, count(*) AS n_total, "
@@ -348,6 +364,62 @@ FROM (SELECT label, CASE WHEN p < 1e-15 THEN 1e-15 WHEN p > 1e0 - 1e-15 THEN 1e0
         "gbt_confusion": _with(
             "SELECT label, CAST(n - t AS BIGINT) AS n, true AS accurate FROM per_label", ",\n" + _CHANNELS
         ),
+        "asof_readings": _with(
+            """SELECT event_id, citizen_id, timestamp, CASE WHEN near THEN r.reading_id END AS reading_id,
+ CASE WHEN near THEN r.average_heart_beat_rate END AS average_heart_beat_rate, CASE WHEN near THEN r.o2_content END AS o2_content
+FROM (SELECT l.event_id, l.citizen_id, l.timestamp, r, coalesce(l.timestamp - r.t <= 172800000, false) AS near
+ FROM vitals l LEFT JOIN LATERAL (
+  SELECT v.timestamp AS t, v.event_id AS reading_id, v.average_heart_beat_rate, v.o2_content FROM vitals v
+  WHERE v.event_type <> 'error' AND v.citizen_id = l.citizen_id AND v.timestamp <= l.timestamp
+  ORDER BY v.timestamp DESC, v.event_id DESC LIMIT 1) r ON true
+ WHERE l.event_type = 'error')"""
+        ),
+        "asof_orders": """SELECT l.o_orderkey, l.o_custkey, (l.o_orderdate::DATE - DATE '1970-01-01')::INT AS day,
+ r.o_orderkey AS previous, (l.o_orderdate::DATE - r.o_orderdate::DATE)::INT AS days
+FROM orders l LEFT JOIN LATERAL (SELECT v.o_orderkey, v.o_orderdate FROM orders v
+ WHERE v.o_custkey = l.o_custkey AND v.o_orderdate::DATE < l.o_orderdate::DATE ORDER BY v.o_orderdate DESC, v.o_orderkey DESC LIMIT 1) r ON true""",
+        "interval_readings": _with(
+            """SELECT v.event_id, v.citizen_id, v.timestamp, v.average_heart_beat_rate, a.event_id AS alarm_id
+FROM vitals v JOIN vitals a ON a.event_type = 'error' AND a.citizen_id = v.citizen_id AND v.timestamp >= a.timestamp
+ AND v.timestamp < a.timestamp + (1 + a.event_id * 37 % 168) * 3600000"""
+        ),
+        "vitals_cube": _with(_levels("CUBE (heart_rate_zone, o2_risk, sleep_quality, label)", "heart_rate_zone o2_risk sleep_quality label")),
+        "vitals_grouping_sets": _with(
+            _levels("GROUPING SETS ((heart_rate_zone, label), (sleep_quality), ())", "heart_rate_zone sleep_quality label")
+        ),
+        "orders_rollup": """SELECT year, month, priority, concat_ws(',', CASE WHEN grouping(year) = 0 THEN 'year' END,
+ CASE WHEN grouping(month) = 0 THEN 'month' END, CASE WHEN grouping(priority) = 0 THEN 'priority' END) AS level,
+ count(*) AS n, count(DISTINCT o_custkey) AS customers
+FROM (SELECT year(o_orderdate)::INT AS year, month(o_orderdate)::INT AS month, o_orderpriority AS priority, o_custkey FROM orders)
+GROUP BY ROLLUP (year, month, priority)""",
+        "state_difference": _with(
+            """SELECT event_id, CASE WHEN o.event_id IS NULL THEN 'added' WHEN n.event_id IS NULL THEN 'removed' ELSE 'changed' END AS change,
+ CASE WHEN o.event_id IS NULL OR n.event_id IS NULL THEN '' ELSE concat_ws(',',
+  CASE WHEN o.o2_content IS DISTINCT FROM n.o2_content THEN 'o2_content' END,
+  CASE WHEN o.calories_burned IS DISTINCT FROM n.calories_burned THEN 'calories_burned' END) END AS columns,
+ o.calories_burned AS old_calories, n.calories_burned AS new_calories
+FROM old o FULL JOIN new n USING (event_id)
+WHERE o.event_id IS NULL OR n.event_id IS NULL OR o.o2_content IS DISTINCT FROM n.o2_content OR o.calories_burned <> n.calories_burned""",
+            _STATES,
+        ),
+        "state_common": _with("SELECT * FROM old INTERSECT SELECT * FROM new", _STATES),
+        "state_missing": _with(
+            "SELECT citizen_id, average_heart_beat_rate, sleep_time FROM old EXCEPT ALL SELECT citizen_id, average_heart_beat_rate, sleep_time FROM new",
+            _STATES,
+        ),
+        "incremental_scaler": _with(
+            "\nUNION ALL\n".join(
+                f"SELECT '{c}' AS feature, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std, count({c}) AS n FROM complete"
+                for c in _FEATURES
+            ),
+            """,
+complete AS (SELECT *, CASE WHEN average_heart_beat_rate > 0 THEN calories_burned / average_heart_beat_rate ELSE 0 END AS calorie_efficiency,
+  average_heart_beat_rate * (10.0e0 - sleep_time) / 100.0e0 AS hr_sleep_interaction FROM scored WHERE o2_content IS NOT NULL)""",
+        ),
+        "distinct_citizens": _with(
+            """SELECT event_type, 'citizen_id' AS column_name, count(DISTINCT citizen_id) AS exact, true AS near FROM vitals GROUP BY event_type
+UNION ALL SELECT event_type, 'timestamp', count(DISTINCT timestamp), true FROM vitals GROUP BY event_type"""
+        ),
         "leafwise_confusion": _with(
             "SELECT label, CAST(n - t AS BIGINT) AS n, true AS accurate FROM per_label", ",\n" + _CHANNELS
         ),
