@@ -25,6 +25,7 @@ from pulseframe.plans.scoring import newest_classes, read_runs, run_scoring
 from pulseframe.session import scratch_path
 from pulseframe.sinks import files
 from pulseframe.sources import labelled_csv, payload, record_log, synthetic
+from pulseframe.streaming import events
 from pulseframe.streaming.ingest import read_feed, run_ingest
 from spark_entry_oracle import oracle_sql as own_oracle_sql
 
@@ -420,6 +421,44 @@ def stream_counts(spark, sf):
     return counts.groupBy("route").agg(F.sum("count").alias("n"))
 
 
+DAY_MS = 24 * 3_600_000
+STATE_PARTITIONS = 4
+
+
+def _replayed(spark, sf, results):
+    """What a streamed ``results(records)`` emits for the readings, delivered in five files in order of time and a last one
+    that closes all windows. The query is stopped after three files and started again."""
+    feed, out, checkpoint = (scratch_path(spark, n) for n in ("feed", "emitted", "stream"))
+    rows = _vitals(spark, sf).withColumn("seq", F.col("event_id"))
+    ends = rows.agg(F.min(fixed.TIMESTAMP).alias("a"), F.max(fixed.TIMESTAMP).alias("b")).first()
+    fifth = F.floor((F.col(fixed.TIMESTAMP) - ends["a"]) * 5 / (ends["b"] - ends["a"] + 1))
+    for k in range(5):
+        _messages(rows.where(fifth == k)).coalesce(1).write.mode("append").json(feed)
+        if k == 2:
+            started = lambda: results(payload.route(read_feed(spark, feed, maxFilesPerTrigger="1")).where(F.col("route") == payload.KEPT))
+            events.run(started(), out, checkpoint, STATE_PARTITIONS)
+    last = events.closing(spark, ends["b"] + 100 * DAY_MS).withColumn("seq", F.lit(-1).cast("long"))
+    _messages(last).write.mode("append").json(feed)
+    emitted = started()
+    events.run(emitted, out, checkpoint, STATE_PARTITIONS)
+    return events.read(emitted, out)
+
+
+def stream_windows(spark, sf):
+    """Readings per citizen and day, of windows that slide by half a day, from a stream."""
+    return _replayed(spark, sf, lambda rows: events.window_readings(rows, "1 day", "12 hours", delay="1 hour"))
+
+
+def stream_sessions(spark, sf):
+    """Readings per citizen and session, which ends after half a day without reading, from a stream."""
+    return _replayed(spark, sf, lambda rows: events.session_readings(rows, "12 hours", delay="1 hour"))
+
+
+def stream_alerts(spark, sf):
+    """Silence of more than two days and three unusual readings in a row, per citizen, from a stream with state."""
+    return _replayed(spark, sf, lambda rows: events.alerts(rows, 2 * DAY_MS, 3, (60.0, 100.0), delay="1 hour"))
+
+
 # ------------------------------------------------------ time, levels, differences, merged statistics
 
 HOUR_MS = 3_600_000
@@ -739,7 +778,7 @@ _QUERIES = [
     training_frame, random_split, stratified_split, stratified_orders, decimals_to_double, upsert_latest,
     pending_records, analytics_upsert, latest_per_citizen, route_feed, stream_ingest, stream_counts, etl_processed,
     etl_channels, etl_statistics, etl_table_properties, results_export, feature_vector, log_loss,
-    asof_readings, asof_orders, interval_readings, vitals_cube, orders_rollup, vitals_grouping_sets, state_difference,
+    stream_windows, stream_sessions, stream_alerts, asof_readings, asof_orders, interval_readings, vitals_cube, orders_rollup, vitals_grouping_sets, state_difference,
     state_common, state_missing, incremental_scaler, distinct_citizens, gbt_confusion, leafwise_confusion, leafwise_trees, split_gains, score_batch, model_round_trip, scheduled_scoring,
 ]
 

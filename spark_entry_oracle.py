@@ -79,6 +79,13 @@ def _with(select: str, extra: str = "") -> str:
     return f"WITH {_VIEWS.strip()}{extra}\n{select}"
 
 
+_KEPT = """,
+kept AS (SELECT citizen_id, timestamp, average_heart_beat_rate::DOUBLE AS average_heart_beat_rate, o2_content, calories_burned
+ FROM vitals WHERE average_heart_beat_rate BETWEEN 40 AND 200)"""
+_READINGS = """count(*) AS n, min(average_heart_beat_rate) AS least_rate, max(average_heart_beat_rate) AS most_rate,
+ count(*) FILTER (o2_content < 0.95) AS low_o2, sum(calories_burned)::BIGINT AS calories"""
+
+
 def _levels(groups: str, dimensions: str) -> str:
     """Counts and sums of ``engineered`` per level."""
     names = dimensions.split()
@@ -364,6 +371,29 @@ FROM (SELECT label, CASE WHEN p < 1e-15 THEN 1e-15 WHEN p > 1e0 - 1e-15 THEN 1e0
         "gbt_confusion": _with(
             "SELECT label, CAST(n - t AS BIGINT) AS n, true AS accurate FROM per_label", ",\n" + _CHANNELS
         ),
+        "stream_windows": _with(
+            f"""SELECT citizen_id, w * 43200000 AS start_ms, (w + 2) * 43200000 AS end_ms, {_READINGS}
+FROM kept, (VALUES (0), (1)) v(k), LATERAL (SELECT timestamp // 43200000 - k AS w) GROUP BY citizen_id, w""",
+            _KEPT,
+        ),
+        "stream_sessions": _with(
+            f"""SELECT citizen_id, min(timestamp) AS start_ms, max(timestamp) + 43200000 AS end_ms, {_READINGS}
+FROM (SELECT *, sum(new) OVER (PARTITION BY citizen_id ORDER BY timestamp ROWS UNBOUNDED PRECEDING) AS session
+ FROM (SELECT *, CASE WHEN timestamp - lag(timestamp) OVER (PARTITION BY citizen_id ORDER BY timestamp) < 43200000 THEN 0 ELSE 1 END AS new
+  FROM kept)) GROUP BY citizen_id, session""",
+            _KEPT,
+        ),
+        "stream_alerts": _with(
+            """SELECT citizen_id, kind, timestamp AS at_ms, seen FROM (
+ SELECT citizen_id, 'silent' AS kind, timestamp, seen FROM placed WHERE next IS NULL OR next - timestamp > 172800000
+ UNION ALL SELECT citizen_id, 'streak', timestamp, seen
+ FROM (SELECT *, row_number() OVER (PARTITION BY citizen_id, odd, seen - nth ORDER BY seen) AS place FROM placed) WHERE odd AND place = 3)""",
+            _KEPT
+            + """,
+placed AS (SELECT *, row_number() OVER (PARTITION BY citizen_id, odd ORDER BY timestamp, average_heart_beat_rate) AS nth
+ FROM (SELECT *, average_heart_beat_rate NOT BETWEEN 60 AND 100 AS odd, lead(timestamp) OVER w AS next, row_number() OVER w AS seen
+  FROM kept WINDOW w AS (PARTITION BY citizen_id ORDER BY timestamp, average_heart_beat_rate)))""",
+        ),
         "asof_readings": _with(
             """SELECT event_id, citizen_id, timestamp, CASE WHEN near THEN r.reading_id END AS reading_id,
  CASE WHEN near THEN r.average_heart_beat_rate END AS average_heart_beat_rate, CASE WHEN near THEN r.o2_content END AS o2_content
