@@ -10,6 +10,7 @@ from pulseframe import fixed
 from pulseframe.operators.clean import clean, coerce
 from pulseframe.operators.features import engineer
 from pulseframe.operators.profile import profile, split_counts, value_counts
+from pulseframe.operators.report import preview
 from pulseframe.operators.scaling import fit_scaler, scale, stats_values, training_frame
 from pulseframe.operators.split import TRAIN, random_split, stratified_split, train_validation, with_hash
 from pulseframe.session import materialize, remove_folder
@@ -25,6 +26,8 @@ from pulseframe.sources.labelled_csv import read_training_csv
 
 # after deduplication these columns identify a row: all others are computed from them
 ROW_KEY = fixed.VITALS + [fixed.LABEL]
+#: engineered rows shown in the report
+SAMPLE_ROWS = 5
 
 
 def run_etl(
@@ -57,6 +60,8 @@ def run_etl(
 
     engineered = with_hash(engineer(clean(landed)), ROW_KEY, seed)
     features = materialize(engineered, f"{dest}/_staging/features")
+    sample = preview(features, [*ROW_KEY, *fixed.CATEGORIES, *fixed.ENGINEERED], SAMPLE_ROWS, ROW_KEY)
+    sample.write.mode("overwrite").json(f"{dest}/reports/sample")
     divide = stratified_split if split == "stratified" else random_split
     placed = divide(features, share=share)
 

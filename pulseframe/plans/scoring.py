@@ -30,6 +30,9 @@ from pulseframe.sources.record_log import LOG_SCHEMA, ORDER, Marks, batch_path,
 #: version of a record, from the log; in the analytics table with a prefix
 VERSION = {c: f"source_{c}" for c in ORDER}
 
+#: log files that one trigger of the scheduled scoring takes
+FILES_PER_TRIGGER = 1000
+
 _TYPES = {
     "source_batch_id": T.LongType(),
     "source_seq": T.LongType(),
@@ -94,7 +97,7 @@ def run_scoring(
     rows = _scored(raw, model, stats, as_of)
     rows.write.mode("overwrite").parquet(f"{analytics}/run={run}")
     if results:
-        export_csv(analytics_of(spark, analytics, run).select(*fixed.ANALYTICS_COLUMNS), results, as_of)
+        export_csv(analytics_of(spark, analytics, run).select(*fixed.ANALYTICS_COLUMNS), results, as_of, run)
     return run
 
 
@@ -112,14 +115,18 @@ def start_scoring(
     checkpoint: str,
     interval: str | None = "15 minutes",
     clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc),
+    files_per_trigger: int = FILES_PER_TRIGGER,
 ) -> StreamingQuery:
     """Score new records on a schedule: each trigger reads only log files added since the
     last one. Without an interval it handles what is there and ends.
 
     The files tell which log batches are new; those are read whole and their rows replaced. So neither a
-    replayed batch nor a second checkpoint doubles rows, and a batch seen in parts loses none.
+    replayed batch nor a second checkpoint doubles rows, and a batch seen in parts loses none. A trigger takes
+    ``files_per_trigger`` files at most, so a first run over an old log works through it step by step, and the
+    driver never lists more folders than that.
     """
-    added = spark.readStream.schema(LOG_SCHEMA).option("basePath", raw_log).parquet(raw_log)
+    source = spark.readStream.schema(LOG_SCHEMA).option("maxFilesPerTrigger", files_per_trigger)
+    added = source.option("basePath", raw_log).parquet(raw_log)
     added = added.where(F.col("route") == KEPT)
 
     def score_batch(batch: DataFrame, number: int) -> None:

@@ -80,12 +80,13 @@ def register_table(spark: SparkSession, name: str, path: str, properties: dict[s
         return False
 
 
-def export_csv(df: DataFrame, directory: str, as_of: datetime) -> str | None:
-    """Scored rows as CSV with a header under ``results_<time>``; nothing for no rows.
+def export_csv(df: DataFrame, directory: str, as_of: datetime, run: str | None = None) -> str | None:
+    """Scored rows as CSV with a header under ``results_<time>``, followed by the run's name if there is one, so that two
+    runs of one second stay apart; a repeated run replaces its own rows. Nothing for no rows.
     Pass a written or cached frame: the emptiness test reads it once more."""
     if df.isEmpty():
         return None
-    path = f"{directory.rstrip('/')}/{fixed.RESULTS_PREFIX}{as_of.astimezone(timezone.utc):%Y%m%d%H%M%S}"
+    path = f"{directory.rstrip('/')}/{fixed.RESULTS_PREFIX}{as_of.astimezone(timezone.utc):%Y%m%d%H%M%S}" + (f"_{run}" if run else "")
     df.write.mode("overwrite").csv(path, header=True)
     return path
 

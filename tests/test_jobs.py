@@ -52,6 +52,10 @@ def test_etl_outputs(spark, prepared):
     assert both.exceptAll(want).isEmpty() and want.exceptAll(both).isEmpty()
     for label, n in Counter(x["label"] for x in processed.select("label").collect()).items():
         assert train.where(F.col("label") == label).count() == math.floor(n * 0.8)
+    shown = spark.read.json(f"{root}/out/reports/sample").collect()
+    order = lambda r: tuple(r[c] for c in etl.ROW_KEY)
+    assert sorted(map(order, shown)) == sorted(map(order, processed.collect()))[: etl.SAMPLE_ROWS]
+    assert {c for r in shown for c in r.asDict()} == {*etl.ROW_KEY, *fixed.CATEGORIES, *fixed.ENGINEERED}
     document = files.read_document(spark, f"{root}/out/config/normalization_stats.json")
     assert document["total_processed"] == r["after_clean"] and document["features"] == fixed.NUMERIC_FEATURES
     shown = {x["key"]: x["value"] for x in spark.sql("SHOW TBLPROPERTIES processed_vitals").collect()}
@@ -207,7 +211,7 @@ def test_scoring_runs(spark, fitted, tmp_path):
     third = scoring.run_scoring(spark, log, trees, stats, analytics, later + timedelta(minutes=15))
     assert keys(scoring.analytics_of(spark, analytics, third)) == [("a", 1), ("b", 1), ("c", 1)]
 
-    exported = spark.read.csv(f"{results}/results_20240201123045", header=True)
+    exported = spark.read.csv(f"{results}/results_20240201123045_{first}", header=True)
     assert exported.columns == fixed.ANALYTICS_COLUMNS and exported.count() == 2
     shown = scoring.dashboard(spark, analytics)
     assert shown["summary"].first() == (6, 4, 2)
@@ -253,6 +257,28 @@ def test_a_corrected_record_is_pending_again(spark, fitted, tmp_path):
     assert scoring.read_runs(spark, analytics).select("run").distinct().count() == 2
 
 
+def test_results_of_one_second_stay_apart(spark, fitted, tmp_path):
+    _, root = fitted
+    trees, stats = model.load_model(spark, f"{root}/models", 3)
+    log, analytics, results = (str(tmp_path / n) for n in ("log", "analytics", "results"))
+    append(spark, log, 0, [(1, "a", 1, 80)])
+    runs = [scoring.run_scoring(spark, log, trees, stats, analytics, AS_OF + timedelta(milliseconds=m), results=results) for m in (0, 200, 0)]
+    names = sorted(p.name for p in (tmp_path / "results").iterdir())
+    assert names == sorted(f"results_20240201123045_{r}" for r in set(runs)) and len(names) == 2
+
+
+def test_a_backlog_is_scored_in_steps(spark, fitted, tmp_path):
+    _, root = fitted
+    trees, stats = model.load_model(spark, f"{root}/models", 3)
+    log, analytics, state = (str(tmp_path / n) for n in ("log", "analytics", "state"))
+    for number in range(5):
+        append(spark, log, number, [(1, f"c{number}", 1, 80)])
+    query = scoring.start_scoring(spark, log, trees, stats, analytics, state, None, lambda: AS_OF, files_per_trigger=2)
+    query.awaitTermination()
+    assert sum(p.numInputRows > 0 for p in query.recentProgress) >= 3
+    assert keys(scoring.read_runs(spark, analytics)) == [(f"c{n}", 1) for n in range(5)]
+
+
 def test_csv_columns_by_name(spark, tmp_path):
     path = str(tmp_path / "csv")
     rows = spark.createDataFrame([("1", "80", "0.9", "7", "500", "a", "x")], ["label", *fixed.VITALS, "citizen_id", "note"])
