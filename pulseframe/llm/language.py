@@ -5,8 +5,13 @@ lower-cased word with its borders, hashed into BUCKETS). The scripts of the word
 down first. Viterbi over the words of a text, with a penalty for switching, labels spans; the language
 with the most letters in its spans is the text's.
 
-The model is fitted on a random sample of about SAMPLE labelled texts, however many there are; it is a
-of BUCKETS times languages and a few script shares.
+The model is fitted on about SAMPLE distinct labelled texts, however many there are: every language gets an equal
+part of them (what a rare one leaves goes to the others), chosen by a hash of the text. It is a table of
+BUCKETS times languages and a few script shares.
+
+Texts are worked on in slices that get smaller with the number of languages. Beyond a slice's text a task holds
+words x languages x 6 bytes for Viterbi, or up to PIECE_LANGUAGES languages words x languages^2 bytes, and
+256 MB at most for the scores of trigrams.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; in a script that no learned
 language uses all of them stay candidates; where nothing speaks for any, and in ties, the first language
@@ -34,6 +39,10 @@ BUCKETS = 1 << 15
 #: labelled documents that teach the model: the bound on the sample (its expected size)
 SAMPLE = 10_000
 SEED = 7
+#: up to so many languages long texts are labelled in pieces, all pieces together
+PIECE_LANGUAGES = 16
+#: trigrams x languages whose scores are held at a time
+_CELLS = 1 << 25
 #: log-odds that a change of language costs
 SWITCH = 12.0
 UNKNOWN = "und"
@@ -151,12 +160,32 @@ def _counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n)), pa.array(bucket), pa.array(n.astype(np.int64))], ["lang", "bucket", "n"])
 
 
+def shares(counts: dict[str, int], sample: int) -> dict[str, float]:
+    """The share of each language's texts to choose: as many of each, as far as they have them, ``sample`` in all."""
+    left, open_ = float(sample), sorted(counts, key=lambda x: counts[x])
+    found = {}
+    for i, lang in enumerate(open_):
+        part = min(float(counts[lang]), left / (len(open_) - i))
+        found[lang] = part / counts[lang] if counts[lang] else 1.0
+        left -= part
+    return found
+
+
+def choose(labelled: DataFrame, text: str, lang: str, sample: int) -> DataFrame:
+    """About ``sample`` distinct (text, lang) of the labelled texts; copies of a text are one text."""
+    rows = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL")
+    rows = rows.withColumn("_hash", F.xxhash64(F.lit(SEED), "text"))
+    counted = rows.groupBy("lang").agg(F.approx_count_distinct("_hash").alias("n")).collect()  # one row per language
+    place, chosen = F.pmod("_hash", F.lit(1 << 30)), F.lit(False)
+    for name, share in shares({r["lang"]: r["n"] for r in counted}, sample).items():
+        chosen = F.when(F.col("lang") == name, place < int(share * (1 << 30))).otherwise(chosen)
+    return rows.where(chosen).groupBy("lang", "_hash").agg(F.min("text").alias("text")).select("text", "lang")
+
+
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Model:
-    """A model of the languages of ``labelled`` from a random choice of about ``sample`` of its texts (all, if fewer)."""
+    """A model of the languages of ``labelled`` from about ``sample`` of its texts (all, if fewer)."""
     bound_batches(labelled.sparkSession)
-    rows = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL")
-    share = sample / max(1, rows.count())
-    chosen = rows.where(F.rand(SEED) < share) if share < 1 else rows
+    chosen = choose(labelled, text, lang, sample)
     counts = chosen.mapInArrow(_counting, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     table = counts.toArrow()  # languages x (BUCKETS + scripts) rows at most
     languages = sorted(set(table["lang"].to_pylist()))
@@ -182,10 +211,13 @@ def _word_scores(words: wordhash.Words, model: Model) -> tuple[np.ndarray, np.nd
     """Score per word and language, letters per word, and whether any of them is of a script that the model
     was fitted on. Words without such a letter say nothing."""
     bits, letters = _scripts(words)
-    bucket, _ = _grams(words)
-    size = words.stop - words.start
-    begin = np.cumsum(size) - size
-    scores = np.add.reduceat(model.scores[bucket], begin, axis=0) if len(words) else np.empty((0, len(model.languages)), np.float32)
+    bucket, owner = _grams(words)
+    scores = np.zeros((len(words), len(model.languages)), np.float32)
+    step = _CELLS // max(1, len(model.languages))
+    for low in range(0, len(bucket), step):
+        mine = owner[low : low + step]
+        first = np.flatnonzero(np.concatenate([[True], mine[1:] != mine[:-1]]))
+        scores[mine[first]] += np.add.reduceat(model.scores[bucket[low : low + step]], first, axis=0)
     speaks = bits & model.taught != 0
     scores[~speaks] = 0
     narrowed = bits[:, None] & model.scripts
@@ -200,9 +232,36 @@ _STEP = 64
 
 
 def viterbi(scores: np.ndarray, offset: np.ndarray, switch: float = SWITCH) -> np.ndarray:
-    """The best language of each word, where a change between neighbours costs ``switch``.
-
-    Texts are cut into pieces of _STEP words. All pieces of all texts take their first step together, then
+    """The best language of each word, where a change between neighbours costs ``switch``."""
+    return (_in_pieces if scores.shape[1] <= PIECE_LANGUAGES else _by_words)(scores, offset, switch)
+
+
+def _by_words(scores: np.ndarray, offset: np.ndarray, switch: float) -> np.ndarray:
+    """For many languages: the first words of all texts, then their second ones, and so on."""
+    sizes, n_langs = np.diff(offset), scores.shape[1]
+    order = np.argsort(-sizes, kind="stable")
+    begin, size = offset[:-1][order], sizes[order]
+    came = np.empty((len(scores), n_langs), np.int16)
+    own = np.arange(n_langs, dtype=np.int16)
+    best = np.zeros((len(order), n_langs), np.float32)
+    running = np.searchsorted(-size, -np.arange(1, size.max(initial=0) + 1), "right")  # texts with a word at each place
+    for t, n in enumerate(running.tolist()):
+        at, now = begin[:n] + t, best[:n]
+        top = now.argmax(axis=1)[:, None]
+        through = np.take_along_axis(now, top, 1) - np.float32(switch)
+        stay = now >= through
+        came[at] = np.where(stay, own, top)
+        best[:n] = np.where(stay, now, through) + scores[at]
+    state, path = best.argmax(axis=1), np.zeros(len(scores), np.int64)
+    for t in range(len(running) - 1, -1, -1):
+        at = begin[: running[t]] + t
+        path[at] = state[: running[t]]
+        state[: running[t]] = came[at, state[: running[t]]]
+    return path
+
+
+def _in_pieces(scores: np.ndarray, offset: np.ndarray, switch: float) -> np.ndarray:
+    """For few languages. Texts are cut into pieces of _STEP words. All pieces of all texts take their first step together, then
     their second, for every language that may come before the piece; then the pieces of each text are
     joined. So the number of steps does not grow with the longest text.
     """
@@ -258,10 +317,12 @@ _LABELLED = "lang_pred string, score double, spans array<struct<start:int,end:in
 
 
 def _labelling(model: Model, text: int, switch: float):
+    limit = wordhash.SLICE_BYTES * PIECE_LANGUAGES // max(PIECE_LANGUAGES, len(model.languages))
+
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = _lowered(wordhash.strings(batch.column(text)))
-            for low, high, words in wordhash.word_slices(texts):
+            for low, high, words in wordhash.word_slices(texts, limit=limit):
                 part = batch.slice(low, high - low)
                 columns = _label(words, model, switch, texts.slice(low, high - low))
                 yield pa.RecordBatch.from_arrays([*part.columns, *columns], [*part.schema.names, "lang_pred", "score", "spans"])

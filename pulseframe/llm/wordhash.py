@@ -133,10 +133,10 @@ def slices(ends: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, in
         low = high
 
 
-def word_slices(texts: pa.Array, fold: bool = False, lanes: int = 1) -> Iterator[tuple[int, int, Words]]:
-    """(first text, end text, Words) for each slice; ``fold`` lower-cases A to Z."""
+def word_slices(texts: pa.Array, fold: bool = False, lanes: int = 1, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, Words]]:
+    """(first text, end text, Words) for each slice of about ``limit`` bytes; ``fold`` lower-cases A to Z."""
     data, ends = text_bytes(texts)
-    for low, high in slices(ends):
+    for low, high in slices(ends, limit):
         part = data[ends[low] : ends[high]]
         yield low, high, Words(part, ends[low : high + 1] - ends[low], fold, lanes)
 

@@ -56,7 +56,7 @@ def test_scripts_narrow_the_candidates(model):
 
 def test_viterbi_is_optimal():
     rng = np.random.default_rng(1)
-    for n_langs in (1, 2, 4):
+    for n_langs in (1, 2, 4, 16, 17, 200):
         sizes = rng.integers(0, 200, 20)
         offset = np.concatenate([[0], np.cumsum(sizes)])
         scores = (3 * rng.normal(size=(offset[-1], n_langs))).astype(np.float32)
@@ -104,3 +104,40 @@ def test_only_letters_count(spark, model):
     rows = language.label(frame(spark, list(enumerate(texts))), model).collect()
     got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in rows}
     assert got[0] == ("en", 1.0) and got[1] == ("und", 0.0) and got[2] == ("de", 0.0) and got[3] == ("en", 1.0)
+
+
+def test_two_hundred_languages(spark):
+    """Every language has words of its own, and they are told apart in mixed texts too."""
+    rng = random.Random(12)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = [["".join(rng.choice(letters) for _ in range(6)) for _ in range(8)] for _ in range(200)]
+    say = lambda k, n: " ".join(rng.choice(words[k]) for _ in range(n))
+    docs = [(k * 3 + j, say(k, 30), f"l{k:03d}") for k in range(200) for j in range(3)]
+    model = language.fit(frame(spark, docs, "doc_id long, text string, lang string"))
+    assert len(model.languages) == 200
+    mixed = [(k, say(k, 20) + " " + say(k - 1, 10)) for k in range(1, 200)]
+    for r in language.label(frame(spark, mixed), model).collect():
+        k = r["doc_id"]
+        assert r["lang_pred"] == f"l{k:03d}" and [(s["start"], s["end"], s["lang"]) for s in r["spans"]] == [(0, 20, f"l{k:03d}"), (20, 30, f"l{k - 1:03d}")]
+
+
+def test_the_sample_has_rare_languages(spark):
+    """Of a large language a part is taken, of rare ones all; a text that many rows repeat is one text."""
+    rows = [(i, f"the thing {i}", "en") for i in range(20_000)] + [(i, "copied text", "en") for i in range(10_000)]
+    rows += [(i, f"при вет {i}", "ru") for i in range(5)] + [(1, "nothing", None), (2, None, "de")]
+    chosen = language.choose(frame(spark, rows, "doc_id long, text string, lang string"), "text", "lang", 1000).collect()
+    n = {lang: sum(r["lang"] == lang for r in chosen) for lang in ("en", "ru")}
+    assert n["ru"] == 5 and 800 < n["en"] < 1200 and len(chosen) == len(set(chosen)) == sum(n.values())
+    again = language.choose(frame(spark, rows[::-1], "doc_id long, text string, lang string").repartition(9), "text", "lang", 1000).collect()
+    assert set(again) == set(chosen)
+    assert language.shares({"a": 10, "b": 1000, "c": 1000}, 210) == {"a": 1.0, "b": 0.1, "c": 0.1}
+
+
+def test_scores_in_parts(spark, model, monkeypatch):
+    rows = [(i, t) for i, t, _ in corpus(40)] + [(99, "x" * 5000 + " the thing")]
+    whole = {r["doc_id"]: r for r in language.label(frame(spark, rows), model).collect()}
+    texts = [t for _, t in rows]
+    words = next(language.wordhash.word_slices(language.pa.array(texts)))[2]
+    scores = language._word_scores(words, model)[0]
+    monkeypatch.setattr(language, "_CELLS", 300)
+    assert np.allclose(language._word_scores(words, model)[0], scores, rtol=1e-4) and len(whole) == 41
