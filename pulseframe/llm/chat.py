@@ -11,7 +11,8 @@ fingerprints every JSON record on its own, so one column may mix layouts.
 Only DataFrame functions are used.
 
 Defined cases: a null role or text counts as empty; turns with equal numbers are ordered by role, then
-text, and repeated rows are repeated turns; rows without a conversation id form one conversation; an
+text, and repeated rows are repeated turns; rows without a conversation id are a conversation each; roles
+keep their names, but those of ROLES in layouts that other tools write (all but ``turns`` and ``numbered``); an
 unknown layout has null turns (``to_turns`` refuses it, as every row would be lost); a record without
 turns formats as the empty text; extra columns are ignored.
 """
@@ -84,14 +85,25 @@ def layouts_by_fingerprint() -> dict[str, str]:
     return {fingerprint(found): name for name, (found, _) in LAYOUTS.items()}
 
 
+#: the layouts of rows that were gathered here: their roles are kept as they are
+OWN_LAYOUTS = ("turns", "numbered")
+
+
+def _mapped(layout: str, record: str) -> Column:
+    """The canonical turns of a record of this layout; other names of the roles are replaced in foreign layouts."""
+    turns = F.expr(LAYOUTS[layout][1].replace("r.", f"{record}.")).cast(TURNS)
+    if layout in OWN_LAYOUTS:
+        return turns
+    return F.transform(turns, lambda t: F.struct(canonical_role(t["role"]).alias("role"), t["text"].alias("text")))
+
+
 def to_turns(records: DataFrame, record: str, into: str = "canonical") -> DataFrame:
     """``records`` with its struct column ``record`` replaced by canonical turns, by the type's fingerprint."""
     layout = layouts_by_fingerprint().get(fingerprint(paths(records.schema[record].dataType)))
     if layout is None:
         raise ValueError(f"no mapping for the fields {paths(records.schema[record].dataType)}")
-    expression = LAYOUTS[layout][1].replace("r.", f"`{record}`.")
     others = [F.col(c) for c in records.columns if c not in (record, into)]
-    return records.select(*others, F.expr(expression).cast(TURNS).alias(into))
+    return records.select(*others, _mapped(layout, f"`{record}`").alias(into))
 
 
 #: what the mappings read from JSON; absent fields are null
@@ -129,17 +141,20 @@ def json_to_turns(records: DataFrame, text: str, into: str = "canonical") -> Dat
     others = [F.col(c) for c in records.columns if c not in ("layout", into)]
     df = records.select(*others, _json_fingerprint(F.col(text)).alias("_print"), F.from_json(text, _JSON).alias("_r"))
     layout = turns = F.lit(None)
-    for name, (found, expression) in LAYOUTS.items():
+    for name, (found, _) in LAYOUTS.items():
         here = F.col("_print") == fingerprint(found)
         layout = F.when(here, name).otherwise(layout)
-        turns = F.when(here, F.expr(expression.replace("r.", "_r.")).cast(TURNS)).otherwise(turns)
+        turns = F.when(here, _mapped(name, "_r")).otherwise(turns)
     return df.select(*others, layout.cast("string").alias("layout"), turns.cast(TURNS).alias(into))
 
 
 def gather(rows: DataFrame, conversation: str = "conv_id") -> DataFrame:
-    """Rows of single turns (turn, role, text) as one record per conversation."""
+    """Rows of single turns (turn, role, text) as one record per conversation. Rows without an id are not brought
+    together: each is a conversation."""
     one = F.struct(F.col("turn"), F.col("role"), F.col("text"))
-    return rows.groupBy(conversation).agg(F.struct(F.collect_list(one).alias("turns")).alias("record"))
+    known = rows.where(F.col(conversation).isNotNull()).groupBy(conversation)
+    alone = rows.where(F.col(conversation).isNull()).select(conversation, F.struct(F.array(one).alias("turns")).alias("record"))
+    return known.agg(F.struct(F.collect_list(one).alias("turns")).alias("record")).unionByName(alone)
 
 
 def canonical_role(role: Column) -> Column:

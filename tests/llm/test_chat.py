@@ -90,3 +90,22 @@ def test_fingerprints_differ_and_ignore_order():
 def test_empty(spark, tmp_path):
     sf = table(spark, tmp_path, [], "conv_id long, turn int, role string, text string", "conversations")
     assert [r["conv_id"] for r in queries.op7_chat(spark, sf).collect()] == [-1]
+
+
+def test_foreign_roles_are_under_the_mask(spark):
+    said = [{"from": "human", "value": "q"}, {"from": "gpt", "value": "the answer"}, {"from": "GPT", "value": "more"}]
+    texts = spark.createDataFrame([(1, json.dumps({"conversations": said})), (2, json.dumps({"turns": [{"role": "gpt", "text": "kept"}]}))], "id int, j string")
+    rows = {r["id"]: r for r in chat.format_turns(chat.json_to_turns(texts, "j")).withColumn("loss", chat.loss_texts()).collect()}
+    assert rows[1]["loss"] == ["the answer", "more"] and "<|im_start|>user\nq<|im_end|>" in rows[1]["formatted"]
+    assert rows[2]["loss"] == [] and "<|im_start|>gpt\n" in rows[2]["formatted"]  # own layouts keep their names
+    records = spark.createDataFrame([([("human", "q"), ("gpt", "a")],)], "conversations array<struct<`from`:string,value:string>>")
+    turns = chat.to_turns(records.select(F.struct("conversations").alias("r")), "r").first()["canonical"]
+    assert [tuple(t) for t in turns] == [("user", "q"), ("assistant", "a")]
+
+
+def test_rows_without_id_are_a_conversation_each(spark):
+    rows = spark.createDataFrame([(None, 0, "user", f"t{i}") for i in range(50)] + [(1, 1, "assistant", "b"), (1, 0, "user", "a")], "conv_id long, turn long, role string, text string")
+    got = chat.to_turns(chat.gather(rows), "record").collect()
+    alone = [r["canonical"] for r in got if r["conv_id"] is None]
+    assert len(alone) == 50 and {len(t) for t in alone} == {1} and {t[0]["text"] for t in alone} == {f"t{i}" for i in range(50)}
+    assert [[t["text"] for t in r["canonical"]] for r in got if r["conv_id"] == 1] == [["a", "b"]]
