@@ -5,7 +5,8 @@ documents hold are cut into shards of bounded size; each shard gets a minimal pe
 bit arrays, a key owning the bit that no other key of its level shares) whose slots index three compact
 arrays: 64-bit fingerprint, first document and count. Documents then probe the arrays. A probe carries
 one key of a batch of documents with the ids that hold it, so a line that a third of all documents
-share travels once per batch, not once per document.
+share travels once per batch, not once per document. Probes with many ids are dealt over as many parts of
+their shard as the most frequent key needs, and the keys that such probes can have are indexed in every part.
 
 Defined cases: a null or empty text is one empty line; keys under ``min_chars`` code points are never
 dropped; documents without id are left as they are and are no source; rows with one doc_id are one
@@ -35,6 +36,10 @@ SPACES = b" \t\n\x0b\x0c\r"
 SHARD_PROBES = 200_000
 LEAST_SHARDS = 96
 
+#: a probe with this many ids is dealt over parts; a part holds about PART_IDS of the most frequent key's ids
+MANY_IDS = 16
+PART_IDS = 4_000_000
+
 _OFTEN = np.dtype("<i8")
 
 
@@ -72,11 +77,11 @@ def slots(keys: np.ndarray, sizes: list[int], bits: np.ndarray) -> np.ndarray:
     return found
 
 
-_INDEX = "shard int, sizes array<int>, bits binary, fingerprints binary, firsts binary, counts binary"
+_INDEX = "shard int, part int, sizes array<int>, bits binary, fingerprints binary, firsts binary, counts binary"
 
 
 def build_shard(key: tuple, table: pa.Table) -> pa.Table:
-    """The index row of one shard: rows of (h1, h2, first, n)."""
+    """The index row of one part of a shard: rows of (h1, h2, first, n)."""
     h1 = table["h1"].to_numpy().view(np.uint64)
     sizes, bits = build_mph(h1)
     slot = slots(h1, sizes, bits)
@@ -88,6 +93,7 @@ def build_shard(key: tuple, table: pa.Table) -> pa.Table:
     return pa.table(
         {
             "shard": pa.array([key[0].as_py()], pa.int32()),
+            "part": pa.array([key[1].as_py()], pa.int32()),
             "sizes": pa.array([sizes], pa.list_(pa.int32())),
             "bits": pa.array([np.packbits(bits).tobytes()], pa.binary()),
             "fingerprints": pa.array([arrays[0]], pa.binary()),
@@ -208,6 +214,22 @@ def _dropping(text: int, dropped: int, min_chars: int):
     return of_batches
 
 
+def _shard(shards: int):
+    return F.pmod(F.col("h1"), F.lit(shards)).cast("int").alias("shard")
+
+
+def dealt(probes: DataFrame, shards: int, parts: int) -> DataFrame:
+    """``probes`` with shard and part; those with many ids are dealt over all parts, others stay in part 0."""
+    part = F.when(F.col("n") >= MANY_IDS, F.pmod(F.xxhash64("h2", "first", "last"), F.lit(parts))).otherwise(0)
+    return probes.select(_shard(shards), part.cast("int").alias("part"), *probes.columns)
+
+
+def indexed(repeated: DataFrame, shards: int, parts: int) -> DataFrame:
+    """(shard, part, h1, h2, first, n) of the keys to index: all in part 0, in the others those a probe there can have."""
+    where = F.when(F.col("n") >= MANY_IDS, F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))
+    return repeated.select(_shard(shards), F.explode(where).alias("part"), "h1", "h2", "first", "n")
+
+
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the lines that a document with a smaller id holds; with ``n_lines`` and ``n_dropped``."""
     spark = docs.sparkSession
@@ -219,13 +241,13 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, doc_id: str = "doc_
     merged = probes.groupBy("h1", "h2").agg(
         F.min("first").alias("first"), F.max("last").alias("last"), F.sum("n").alias("n")
     )
+    repeated = materialize(merged.where("first < last"), scratch_path(spark, "repeated_lines"))
     shards = max(LEAST_SHARDS, math.ceil(probes.count() / SHARD_PROBES))
-    shard = F.pmod(F.col("h1"), F.lit(shards)).cast("int").alias("shard")
-    repeated = merged.where("first < last").select(shard, "h1", "h2", "first", "n")
-    index = repeated.groupBy("shard").applyInArrow(build_shard, _INDEX)
-    keys = probes.select(shard, "h1", "h2", "docs")
+    parts = math.ceil((repeated.agg(F.max("n").alias("n")).first()["n"] or 1) / PART_IDS)
+    index = indexed(repeated, shards, parts).groupBy("shard", "part").applyInArrow(build_shard, _INDEX)
+    keys = dealt(probes, shards, parts).select("shard", "part", "h1", "h2", "docs")
     drops = (
-        keys.groupBy("shard").cogroup(index.groupBy("shard")).applyInArrow(
+        keys.groupBy("shard", "part").cogroup(index.groupBy("shard", "part")).applyInArrow(
             lambda left, right: probe_shard(left, right), "_doc long, h1 long"
         )
     )

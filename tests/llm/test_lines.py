@@ -38,6 +38,22 @@ def test_query(spark, tmp_path):
     assert sorted((tuple(r) for r in got), key=str) == plain(rows)
 
 
+def test_a_frequent_line_is_dealt_over_parts(spark, tmp_path, monkeypatch):
+    """One line is in every document: no part of its shard gets many of its ids, and the result is the same."""
+    monkeypatch.setattr(lines, "PART_IDS", 300)
+    monkeypatch.setattr(lines, "MANY_IDS", 5)
+    rows = [(i, f"this line is in all documents\nand this in pairs {i // 2}\nonly here {i}") for i in range(3000)]
+    got = queries.op8_line_dedup(spark, table(spark, tmp_path, rows)).collect()
+    assert sorted((tuple(r) for r in got), key=str) == plain(rows)
+
+    schema = "h1 long, h2 long, first long, last long, n long, docs binary"
+    probes = spark.createDataFrame([(7, 8, 100 * k, 100 * k + 99, 100, b"") for k in range(60)] + [(7 + 96, k, k, k, 1, b"") for k in range(50)], schema)
+    held = {(r["shard"], r["part"]): r["n"] for r in lines.dealt(probes, 96, 20).groupBy("shard", "part").sum("n").withColumnRenamed("sum(n)", "n").collect()}
+    assert len(held) > 10 and max(held.values()) <= 1100  # of 6000 ids
+    index = lines.indexed(spark.createDataFrame([(7, 8, 0, 6000), (103, 1, 1, 2)], "h1 long, h2 long, first long, n long"), 96, 20).collect()
+    assert sorted(r["part"] for r in index if r["h1"] == 7) == list(range(20)) and [r["part"] for r in index if r["h1"] == 103] == [0]
+
+
 def test_columns_pass_through(spark):
     docs = frame(spark, [(1, "a line of ten and more", 5, "s"), (2, "A LINE OF TEN AND MORE\nz", 6, None), (3, None, 7, "t")], "doc_id long, text string, n_lines int, source string")
     got = lines.dedup_lines(docs)
