@@ -8,7 +8,8 @@ above the next bound. The blocks of one group are scanned one after the other, s
 found prunes the next.
 
 Queries are blocked as well, and a pair of a query block and a group of vector blocks is one task. A task
-returns k rows per query; the groups' results are merged per query.
+returns k rows per query; the groups' results are merged per query. The index is sent once per query block:
+query blocks grow with the queries, so there are about QUERY_BLOCKS of them until they have MOST_QUERIES each.
 
 Components are turned into integers first, floor(scale * x), so scores are exact.
 
@@ -34,8 +35,12 @@ TOP = 20
 SCALE = 64
 #: slices per dimension
 CELLS = 32
-#: vectors in a block, blocks in a group, queries in a block, about
-BLOCK, GROUP, QUERIES = 4096, 64, 256
+#: vectors in a block, blocks in a group, about
+BLOCK, GROUP = 4096, 64
+#: queries in a block: so many at least, and at most; between, as many as make so many blocks
+QUERIES, MOST_QUERIES, QUERY_BLOCKS = 256, 16_384, 32
+#: queries whose bounds against one block are held at a time
+_BOUNDS = 256
 #: exact vectors that are read at a time
 _READ = 64
 _EXACT = float(2**53)
@@ -102,14 +107,15 @@ def _search(k: int):
         for row in index.sort_by("block").to_pylist():
             block, at = _Block(row, dim), 0
             for some in asked:
-                wanted = some.exact.astype(np.float64)
-                middle = wanted @ block.centre.T
-                # rounding of large sums must not tighten a bound
-                slack = np.abs(wanted) @ block.half + np.abs(wanted) @ np.abs(block.centre).max(axis=0) * 1e-13
-                for i in range(len(wanted)):
-                    own = block.rows == some.rows[i]
-                    best[at] = _visit(block, wanted[i], middle[i], slack[i], own, best[at], k)
-                    at += 1
+                for low in range(0, len(some.ids), _BOUNDS):
+                    wanted = some.exact[low : low + _BOUNDS].astype(np.float64)
+                    middle = wanted @ block.centre.T
+                    # rounding of large sums must not tighten a bound
+                    slack = np.abs(wanted) @ block.half + np.abs(wanted) @ np.abs(block.centre).max(axis=0) * 1e-13
+                    for i in range(len(wanted)):
+                        own = block.rows == some.rows[low + i]
+                        best[at] = _visit(block, wanted[i], middle[i], slack[i], own, best[at], k)
+                        at += 1
         out = [[], [], [], []]
         at = 0
         for some in asked:
@@ -145,6 +151,12 @@ def _visit(block: _Block, query: np.ndarray, middle: np.ndarray, slack: float, o
     return scores, ids
 
 
+def query_blocks(n_queries: int) -> int:
+    """How many blocks the queries are dealt to: the index is copied once for each."""
+    size = min(max(QUERIES, math.ceil(n_queries / QUERY_BLOCKS)), MOST_QUERIES)
+    return max(1, math.ceil(n_queries / size))
+
+
 def top_k(
     vectors: DataFrame, queries: Column, k: int = TOP, vec_id: str = "vec_id", embedding: str = "embedding"
 ) -> DataFrame:
@@ -160,7 +172,7 @@ def top_k(
 
     asked = own.where(queries)
     n_blocks = max(1, math.ceil(own.count() / BLOCK))
-    n_asked = max(1, math.ceil(asked.count() / QUERIES))
+    n_asked = query_blocks(asked.count())
     n_groups = math.ceil(n_blocks / GROUP)
 
     def blocks(rows: DataFrame, n: int) -> DataFrame:

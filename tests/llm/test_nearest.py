@@ -75,3 +75,22 @@ def test_pruning_reads_few_vectors():
 
 def test_empty(spark):
     assert nearest.top_k(spark.createDataFrame([], SCHEMA), F.col("vec_id") >= 0).count() == 0
+
+
+def test_copies_of_the_index():
+    """One per query block; their number stays the same over a wide range of tables."""
+    assert [nearest.query_blocks(n) for n in (0, 1, 256, 257, 8192)] == [1, 1, 1, 2, 32]
+    assert all(31 <= nearest.query_blocks(n) <= 32 for n in (10_000, 100_000, 500_000))
+    assert nearest.query_blocks(5_000_000) <= 306
+
+
+def test_bounds_in_parts(spark, tmp_path, monkeypatch):
+    rows = vectors(200)
+    wanted = plain(rows, 20)
+    got = queries.op6_top_k(spark, table(spark, tmp_path, rows, SCHEMA, "embeddings")).collect()
+    assert sorted(tuple(r) for r in got) == wanted
+    index = nearest.build_block((nearest.pa.scalar(8), nearest.pa.scalar(0)), nearest.pa.table({"vec_id": list(range(50)), "row": list(range(50)), "vector": nearest.pa.array([[float(i + j) / 7 for j in range(8)] for i in range(50)])}))
+    search = nearest._search(5)
+    whole = search((nearest.pa.scalar(8),), index, index)
+    monkeypatch.setattr(nearest, "_BOUNDS", 7)
+    assert search((nearest.pa.scalar(8),), index, index).equals(whole)
