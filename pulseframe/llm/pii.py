@@ -73,6 +73,16 @@ _MATCHES = "array<struct<start:int,end:int,v:string,before:string,after:string>>
 _SPAN = "array<struct<start:int,rank:int,kind:string,end:int,score:double>>"
 
 
+#: matches that are listed at a time; a match has a character at least, so CONTEXT of them hold the context
+_CHUNK = 128
+assert _CHUNK >= CONTEXT
+
+
+def _chunks(items: str) -> str:
+    """SQL for an array cut into arrays of _CHUNK."""
+    return f"transform(sequence(0, greatest((size({items}) - 1) div {_CHUNK}, 0)), i -> slice({items}, cast(i * {_CHUNK} + 1 AS INT), {_CHUNK}))"
+
+
 def _found(kind: str) -> str:
     """SQL for the valid spans of one kind in `_text`. Positions are running sums over the pieces between
     matches, the characters before a match are carried along, those after it are looked ahead to. The pattern
@@ -80,19 +90,28 @@ def _found(kind: str) -> str:
     must, pattern, check, score, context, more = KINDS[kind]
     some = f"_text RLIKE r'{pattern}'" + (f" AND instr(_text, '{must}') > 0" if must else "")
     after = rf"(?:{pattern})(?=([\s\S]{{0,{CONTEXT + (_IBAN_REST if kind == "iban" else 0)}}}))"
+    # an array that grows by one element at a time is copied for each: matches are listed in chunks, whose
+    # starts and the characters before them come first
+    size = "char_length(x.p) + char_length(x.v)"
     found = f"""
-    aggregate(
-      filter(zip_with(
+    transform(array(filter(zip_with(
         zip_with(regexp_extract_all(_text, r'{pattern}', 0), regexp_extract_all(_text, r'{after}', 1),
           (v, n) -> named_struct('v', v, 'after', n)),
         split(_text, r'{pattern}', -1),
-        (m, p) -> named_struct('v', m.v, 'after', m.after, 'p', p)), x -> x.v IS NOT NULL),
-      named_struct('pos', 0, 'near', '', 'out', cast(array() AS {_MATCHES})),
-      (a, x) -> named_struct('pos', a.pos + char_length(x.p) + char_length(x.v),
-        'near', right(concat(a.near, x.p, x.v), {CONTEXT}), 'out', concat(a.out, array(named_struct(
-          'start', a.pos + char_length(x.p), 'end', a.pos + char_length(x.p) + char_length(x.v), 'v', x.v,
-          'before', right(concat(a.near, x.p), {CONTEXT}), 'after', x.after)))),
-      a -> a.out)"""
+        (m, p) -> named_struct('v', m.v, 'after', m.after, 'p', p)), x -> x.v IS NOT NULL)), items ->
+    transform(array({_chunks('items')}), chunks ->
+    flatten(transform(
+      aggregate(chunks, named_struct('pos', 0, 'out', cast(array() AS array<int>)),
+        (a, c) -> named_struct('pos', a.pos + aggregate(c, 0, (n, x) -> n + {size}), 'out', concat(a.out, array(a.pos))), a -> a.out),
+      (first, i) -> aggregate(chunks[i],
+        named_struct('pos', first, 'near', CASE WHEN i = 0 THEN '' ELSE right(array_join(
+          transform(slice(chunks[i - 1], {_CHUNK - CONTEXT + 1}, {CONTEXT}), x -> concat(x.p, x.v)), ''), {CONTEXT}) END,
+          'out', cast(array() AS {_MATCHES})),
+        (a, x) -> named_struct('pos', a.pos + {size},
+          'near', right(concat(a.near, x.p, x.v), {CONTEXT}), 'out', concat(a.out, array(named_struct(
+            'start', a.pos + char_length(x.p), 'end', a.pos + {size}, 'v', x.v,
+            'before', right(concat(a.near, x.p), {CONTEXT}), 'after', x.after)))),
+        a -> a.out))))[0])[0]"""
     valid = _whole_ibans(found) if kind == "iban" else f"filter({found},\n    s -> exists(array(s.v), v -> {check}))"
     return f"""
 CASE WHEN {some} THEN
@@ -140,12 +159,20 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with every span replaced by its kind in angle brackets; overlapping spans become one. Null stays null."""
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), F.col(text).alias("_body"))
     found = find_spans(whole, "_body")
+    # a chunk of spans cuts its own part of the text, which begins where the spans before it end
     cut = F.expr(f"""
-aggregate(pii, named_struct('out', cast(array() AS array<string>), 'pos', 0),
-  (a, s) -> CASE
-    WHEN s.start >= a.pos THEN named_struct(
-      'out', concat(a.out, array(substring(_body, a.pos + 1, s.start - a.pos), concat('<', upper(s.kind), '>'))), 'pos', s.end)
-    ELSE named_struct('out', a.out, 'pos', greatest(a.pos, s.end)) END,
-  a -> concat(array_join(a.out, ''), substring(_body, a.pos + 1)))""")
+transform(array({_chunks('pii')}), chunks ->
+  array_join(transform(
+    aggregate(chunks, named_struct('pos', 0, 'out', array(0)),
+      (a, c) -> named_struct('pos', greatest(a.pos, array_max(c.end)), 'out', concat(a.out, array(greatest(a.pos, array_max(c.end))))),
+      a -> slice(a.out, 1, size(chunks))),
+    (first, i) -> transform(array(CASE WHEN i + 1 < size(chunks)
+        THEN substring(_body, first + 1, greatest(array_max(chunks[i].end) - first, 0)) ELSE substring(_body, first + 1) END), body ->
+      aggregate(chunks[i], named_struct('out', cast(array() AS array<string>), 'pos', first),
+        (a, s) -> CASE
+          WHEN s.start >= a.pos THEN named_struct(
+            'out', concat(a.out, array(substring(body, a.pos - first + 1, s.start - a.pos), concat('<', upper(s.kind), '>'))), 'pos', s.end)
+          ELSE named_struct('out', a.out, 'pos', greatest(a.pos, s.end)) END,
+        a -> concat(array_join(a.out, ''), substring(body, a.pos - first + 1))))[0]), ''))[0]""")
     clean = F.when(F.size("pii") > 0, cut).otherwise(F.col("_body"))
     return found.select(*[clean.alias(c) if c == text else F.col(f"_doc.`{c}`").alias(c) for c in docs.columns])

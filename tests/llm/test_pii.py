@@ -121,3 +121,30 @@ def test_iban_of_every_length(spark):
     rows = pii.find_spans(frame(spark, list(enumerate(texts)))).collect()
     for r in rows:
         assert [(s["start"], s["end"]) for s in r["pii"] if s["kind"] == "iban"] == [(0, len(texts[r["doc_id"]]) - 7)]
+
+
+def cut(text, found):
+    """The text with spans (start, end, kind), by start, replaced."""
+    out, at = "", 0
+    for start, end, kind in found:
+        if start >= at:
+            out += text[at:start] + f"<{kind.upper()}>"
+        at = max(at, end)
+    return out + text[at:]
+
+
+def test_many_matches(spark):
+    """More matches than are listed at a time, some overlapping; found and replaced as by hand."""
+    rng = random.Random(14)
+    kinds = ["é a@b.c", "1.2.3.4", "+1 (23) 456 7890.1.2.3", "4111 1111 1111 1111", "x 😀 words", "ssn 123-45-6789", "me@1.2.3.4", "256.1.1.1", "DE89370400440532013000"]
+    texts = [" ".join(rng.choice(kinds) for _ in range(n)) for n in (1, 127, 128, 129, 256, 257, 700, 3000)]
+    docs = frame(spark, list(enumerate(texts)))
+    found = {r["doc_id"]: [(s["start"], s["end"], s["kind"]) for s in r["pii"]] for r in pii.find_spans(docs).collect()}
+    for k, text in enumerate(texts):
+        own = [f"{kind}:{start}:{end}" for start, end, kind in found[k] if kind in pii.BASE]
+        assert own == plain(text)
+        assert sum(kind == "ssn" for _, _, kind in found[k]) == text.count("ssn ")
+        assert sum(kind == "iban" for _, _, kind in found[k]) == text.count("DE89")
+    assert len(found[7]) > 2000
+    for r in pii.redact(docs).collect():
+        assert r["text"] == cut(texts[r["doc_id"]], found[r["doc_id"]])
