@@ -729,6 +729,28 @@ def split_gains(spark, sf):
     return boosting.root_gains(rows, GAIN_EDGES, fixed.LABEL).withColumn("gain", F.round("gain", 6))
 
 
+#: statistics and two trees, given as data, so that SQL can follow a record to its class
+GIVEN_STATS = {
+    c: {"mean": m, "std": d}
+    for c, (m, d) in zip(fixed.NUMERIC_FEATURES, [(75.0, 15.0), (0.97, 0.02), (7.0, 1.5), (500.0, 150.0), (3.0, 2.0), (0.25, 0.125), (2.25, 1.5)])
+}
+GIVEN_TREES = [
+    {"feature": 0, "bin": 0, "below": 1.0, "gain": 1.0, "n": 3, "right": {"value": 1.2, "n": 1},
+     "left": {"feature": 1, "bin": 0, "below": -1.0, "gain": 1.0, "n": 2, "left": {"value": 0.8, "n": 1}, "right": {"value": -0.9, "n": 1}}},
+    {"feature": 2, "bin": 0, "below": -1.3, "gain": 1.0, "n": 3, "left": {"value": 1.0, "n": 1},
+     "right": {"feature": 4, "bin": 0, "below": 1.5, "gain": 1.0, "n": 2, "left": {"value": -0.3, "n": 1}, "right": {"value": 0.2, "n": 1}}},
+]
+
+
+def score_classes(spark, sf):
+    """The class of every record by two given trees: clipping, engineering, scaling, trees and threshold."""
+    given = boosting.Fit(fixed.SCALED_FEATURES, [], 0.1, 0.5, GIVEN_TREES)
+    trees = PipelineModel([model.assembler(fixed.SCALED_FEATURES), boosting.to_mllib(given)])
+    records = _vitals(spark, sf).select("event_id", *fixed.RAW_COLUMNS)
+    rows = model.score_all(records, trees, GIVEN_STATS, AS_OF, carry=["event_id"])
+    return rows.select("event_id", fixed.CITIZEN, fixed.CLASSIFICATION, "outcome", "reason")
+
+
 def score_batch(spark, sf):
     """All records with their outcome; of the class, whether there is one."""
     trees, stats = _trained(spark, sf)
@@ -779,7 +801,7 @@ _QUERIES = [
     pending_records, analytics_upsert, latest_per_citizen, route_feed, stream_ingest, stream_counts, etl_processed,
     etl_channels, etl_statistics, etl_table_properties, results_export, feature_vector, log_loss,
     stream_windows, stream_sessions, stream_alerts, asof_readings, asof_orders, interval_readings, vitals_cube, orders_rollup, vitals_grouping_sets, state_difference,
-    state_common, state_missing, incremental_scaler, distinct_citizens, gbt_confusion, leafwise_confusion, leafwise_trees, split_gains, score_batch, model_round_trip, scheduled_scoring,
+    state_common, state_missing, incremental_scaler, distinct_citizens, gbt_confusion, leafwise_confusion, leafwise_trees, split_gains, score_classes, score_batch, model_round_trip, scheduled_scoring,
 ]
 
 

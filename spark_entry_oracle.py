@@ -472,6 +472,17 @@ edges AS (
  SELECT 'average_heart_beat_rate' AS feature, unnest(range(45, 200, 5))::DOUBLE AS below
  UNION ALL SELECT 'o2_content', unnest(range(171, 200)) / 200e0 UNION ALL SELECT 'sleep_time', unnest(range(9, 56)) / 4e0
  UNION ALL SELECT 'calories_burned', unnest(range(200, 900, 25))::DOUBLE)""",
+        ),
+        "score_classes": _with(
+            """SELECT event_id, citizen_id,
+ CASE WHEN o2_content IS NULL THEN NULL WHEN 0.1e0 + 0.5e0 * (t1 + t2) < 0 THEN 'healthy' ELSE 'unhealthy' END AS classification,
+ CASE WHEN o2_content IS NULL THEN 'failed' ELSE 'scored' END AS outcome,
+ CASE WHEN o2_content IS NULL THEN 'missing reading' END AS reason
+FROM (SELECT *,
+  CASE WHEN (average_heart_beat_rate - 75e0) / 15e0 >= 1e0 THEN 1.2e0 WHEN (o2 - 0.97e0) / 0.02e0 < -1e0 THEN 0.8e0 ELSE -0.9e0 END AS t1,
+  CASE WHEN (sleep - 7e0) / 1.5e0 < -1.3e0 THEN 1e0
+       WHEN (calories_burned / average_heart_beat_rate - 3e0) / 2e0 < 1.5e0 THEN -0.3e0 ELSE 0.2e0 END AS t2
+ FROM (SELECT *, least(greatest(o2_content, 0.85e0), 1e0) AS o2, least(greatest(sleep_time, 2e0), 14e0) AS sleep FROM vitals))"""
         ),
         "score_batch": _with(
             f"SELECT {_RAW}, '2024-02-01T12:30:45.678Z' AS inference_timestamp, {_OUTCOME} FROM vitals"
