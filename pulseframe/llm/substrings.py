@@ -1,24 +1,28 @@
-"""Substring deduplication by seed-cut blocks and window hashes, in place of greedy Relative Lempel-Ziv factors.
+"""Substring deduplication by Relative Lempel-Ziv parsing.
 
 The reference is the whole collection, cut into blocks: within a document every window of ``window``
 words belongs to the block of its smallest seed (a hashed run of SEED words), and consecutive windows
 with one seed form a block. Equal passages choose equal seeds, so they are cut into equal blocks except
 at their ends, whatever stands around them.
 
-1. Index. Every distinct block is indexed under (seed, hash of its words) with the first document that
-   holds it.
-2. Parse. Blocks that an earlier document holds are copied whole. No reference position is kept and no
-   match is extended; copied ranges that adjoin form one factor, also if they come from different documents.
-3. Factor boundaries. Where a block is new but its seed is known from other blocks, a factor may end
-   inside it. These blocks, once each, are looked up window by window.
-
-Factors of at least ``window`` words are the duplicate spans. All hashes that decide have 128 bits.
-Blocks and windows are grouped within each batch before they are shuffled: a passage that a third of
-the documents share travels once per batch.
+1. Index. Every distinct block is indexed under (seed, hash of its words) with the place (document, word)
+   of its first occurrence.
+2. Parse. A block that an earlier document holds is a match with that place. Matches on one diagonal of one
+   reference document are extended into each other. Then each document is parsed from left to right: of the
+   matches that hold the next word the one that reaches furthest becomes a factor (start, end, reference
+   document and word), words that none holds are literals.
+3. Factor boundaries. Where a block is new but its seed is known from other blocks, a match may end
+   inside it. These blocks, once each, are looked up window by window, and the matching windows extend
+   the factors up to the last common word.
+
+Every match has at least ``window`` words, so factors together are the duplicate spans; a factor may be shorter where the
+one before it holds a part of its match. Blocks and windows are matched by 128-bit hashes, so no reference text has
+to be at hand where a document is parsed. They are grouped within each batch before they are shuffled: a passage that a
+third of the documents share travels once per batch.
 
 Defined cases: null or empty texts have no words and no spans; texts shorter than the window lose
 nothing; documents without id are left as they are and are no source; rows with one doc_id are never
-sources of each other; an empty table gives an empty result; other columns are not looked at.
+sources of each other, and a factor's reference is one of the rows with its id; an empty table gives an empty result; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -81,8 +85,9 @@ def _blocks(words: wordhash.Words, window: int):
 
 
 def _grouped(a: np.ndarray, b: np.ndarray, spots: np.ndarray) -> pa.RecordBatch:
-    """One row per distinct (a, b) with its occurrences, packed, and their smallest and largest document."""
-    order = np.lexsort((spots["doc"], b, a))
+    """One row per distinct (a, b) with its occurrences, packed, their smallest document with the place in it, and
+    their largest document."""
+    order = np.lexsort((spots["start"], spots["doc"], b, a))
     a, b, spots = a[order], b[order], spots[order]
     new = np.ones(len(a), bool)
     new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
@@ -90,9 +95,9 @@ def _grouped(a: np.ndarray, b: np.ndarray, spots: np.ndarray) -> pa.RecordBatch:
     ends = np.append(begin, len(a))
     columns = [
         signed(a[begin]), signed(b[begin]), pa.array(spots["doc"][begin].astype(np.int64)),
-        pa.array(spots["doc"][ends[1:] - 1].astype(np.int64)), packed(spots, ends),
+        pa.array(spots["start"][begin].astype(np.int64)), pa.array(spots["doc"][ends[1:] - 1].astype(np.int64)), packed(spots, ends),
     ]
-    return pa.RecordBatch.from_arrays(columns, ["a", "b", "first", "last", "spots"])
+    return pa.RecordBatch.from_arrays(columns, ["a", "b", "first", "at", "last", "spots"])
 
 
 def _joined(found: list) -> pa.RecordBatch:
@@ -101,7 +106,7 @@ def _joined(found: list) -> pa.RecordBatch:
 
 #: blocks or windows that are grouped before they leave a task, about
 GROUP = 300_000
-_GROUPED = "a long, b long, first long, last long, spots binary"
+_GROUPED = "a long, b long, first long, at long, last long, spots binary"
 
 
 def _crcs(texts: pa.Array) -> np.ndarray:
@@ -133,34 +138,34 @@ def _index_blocks(window: int):
     return of_batches
 
 
-_RANGES = "_doc long, _crc long, start long, n long, copied boolean"
+_RANGES = "_doc long, _crc long, start long, n long, ref long, ref_start long, copied boolean"
 
 
 def _factors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Occurrences as ranges of windows: copied from an earlier document, or (its first occurrence) to be looked into."""
     for batch in batches:
         spots, at = unpacked(batch.column("spots"), _SPOT)
-        origin = batch.column("origin").to_numpy()[at]
+        origin, origin_at = (batch.column(c).to_numpy()[at] for c in ("origin", "origin_at"))
         fork = batch.column("fork").to_numpy(zero_copy_only=False).astype(bool)[at]
         copied = spots["doc"] > origin
         keep = copied | fork
-        spots, copied = spots[keep], copied[keep]
+        spots, copied, origin, origin_at = (x[keep] for x in (spots, copied, origin, origin_at))
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(spots["doc"].astype(np.int64)), pa.array(spots["crc"].astype(np.int64)),
-                pa.array(spots["start"].astype(np.int64)), pa.array(spots["n"].astype(np.int64)), pa.array(copied),
+                pa.array(spots["start"].astype(np.int64)), pa.array(spots["n"].astype(np.int64)),
+                pa.array(origin), pa.array(origin_at), pa.array(copied),
             ],
-            ["_doc", "_crc", "start", "n", "copied"],
+            ["_doc", "_crc", "start", "n", "ref", "ref_start", "copied"],
         )
 
 
-def _own_ranges(column: pa.Array, row: int, crc: int) -> tuple[np.ndarray, np.ndarray]:
-    """(starts, numbers of windows) that a joined row lists for the text with this checksum."""
+def _own_ranges(column: pa.Array, row: int, crc: int, fields: tuple[str, ...] = ("start", "n")) -> list[np.ndarray]:
+    """These fields of the ranges that a joined row lists for the text with this checksum."""
     low, high = column.offsets[row].as_py(), column.offsets[row + 1].as_py()
     flat = column.values
-    crcs = flat.field("_crc").to_numpy()[low:high]
-    mine = crcs == crc
-    return flat.field("start").to_numpy()[low:high][mine], flat.field("n").to_numpy()[low:high][mine]
+    mine = flat.field("_crc").to_numpy()[low:high] == crc
+    return [flat.field(f).to_numpy()[low:high][mine] for f in fields]
 
 
 def _look_into(window: int):
@@ -191,87 +196,131 @@ def _look_into(window: int):
     return of_batches
 
 
-def _merged(start: np.ndarray, n: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ranges of windows as disjoint spans of words (begin, end), adjoining ones joined into one factor."""
-    order = np.argsort(start, kind="stable")
-    begin, end = start[order], (start + n)[order] + window - 1
-    reach = np.maximum.accumulate(end)
-    new = np.ones(len(begin), bool)
-    new[1:] = begin[1:] > reach[:-1]
+def _matches(start: np.ndarray, n: np.ndarray, ref: np.ndarray, ref_start: np.ndarray, window: int) -> np.ndarray:
+    """Ranges of windows as matches of words: rows (begin, end, reference document, diagonal) in order of begin. Ranges
+    that touch on one diagonal are one match."""
+    begin, end, diagonal = start, start + n + window - 1, ref_start - start
+    order = np.lexsort((begin, diagonal, ref))
+    begin, end, ref, diagonal = begin[order], end[order], ref[order], diagonal[order]
+    line = np.ones(len(begin), bool)  # another diagonal begins
+    line[1:] = (ref[1:] != ref[:-1]) | (diagonal[1:] != diagonal[:-1])
+    # running ends within a diagonal: each diagonal is lifted above the ones before
+    lift = np.cumsum(line) * (int(end.max(initial=0)) + 1)
+    reach = np.maximum.accumulate(end + lift) - lift
+    new = line.copy()
+    new[1:] |= begin[1:] > reach[:-1]
     first = np.flatnonzero(new)
-    return begin[first], reach[np.append(first[1:], len(begin)) - 1]
-
-
-_RESULT = "doc_id long, n_words long, n_removed long, kept_text string, spans array<struct<start:int,end:int>>"
+    last = np.append(first[1:], len(begin)) - 1
+    found = np.column_stack([begin[first], reach[last], ref[first], diagonal[first]])
+    return found[np.lexsort((found[:, 2], found[:, 0]))]
+
+
+def _parsed(matches: np.ndarray) -> list[tuple[int, int, int, int]]:
+    """The greedy factors (start, end, reference document, reference word) of a text with these matches."""
+    factors, at, best = [], -1, None
+    rows = matches.tolist()
+    for begin, end, ref, diagonal in [*rows, (None, None, None, None)]:
+        # all matches that hold the next word are known: take the one that reaches furthest, as long as it is so
+        while best is not None and (begin is None or begin > at):
+            if best[0] <= at:
+                best = None
+                break
+            factors.append((at, best[0], best[1], at + best[2]))
+            at = best[0]
+        if begin is None:
+            break
+        if best is None:
+            at = max(at, begin)
+        if best is None or end > best[0]:
+            best = (end, ref, diagonal)
+    return factors
+
+
+_FACTOR = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("ref_doc", pa.int64()), ("ref_start", pa.int32())])
+_SPAN = pa.struct([("start", pa.int32()), ("end", pa.int32())])
+_RESULT = (
+    "doc_id long, n_words long, n_removed long, kept_text string, spans array<struct<start:int,end:int>>, "
+    "factors array<struct<start:int,end:int,ref_doc:bigint,ref_start:int>>"
+)
 
 
 def _cut(window: int):
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, column = batch.column("text"), batch.column("_ranges")
-            n_words, n_removed, kept, spans = [], [], [], []
+            n_words, n_removed, kept, spans, factors = [], [], [], [], []
             for row, text in enumerate(texts):
                 body = text.as_buffer().to_pybytes() if text.is_valid else b""
                 words = body.split()
                 n_words.append(len(words))
-                found: list[dict] = []
+                parsed, joined = [], []
                 if column.is_valid()[row].as_py() if column.null_count else True:
-                    start, n = _own_ranges(column, row, zlib.crc32(body))
-                    if len(start):
+                    found = _own_ranges(column, row, zlib.crc32(body), ("start", "n", "ref", "ref_start"))
+                    if len(found[0]):
+                        parsed = _parsed(_matches(*found, window))
+                        for start, end, _, _ in parsed:
+                            if joined and joined[-1][1] == start:
+                                joined[-1][1] = end
+                            else:
+                                joined.append([start, end])
                         stay, past = [], 0
-                        for begin, end in zip(*[x.tolist() for x in _merged(start, n, window)]):
+                        for begin, end in joined:
                             stay += words[past:begin]
                             past = end
-                            found.append({"start": begin, "end": end})
                         words = stay + words[past:]
                 n_removed.append(n_words[-1] - len(words))
                 kept.append(b" ".join(words).decode("utf-8", "replace"))
-                spans.append(found)
+                spans.append([{"start": a, "end": b} for a, b in joined])
+                factors.append([{"start": a, "end": b, "ref_doc": r, "ref_start": q} for a, b, r, q in parsed])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string()),
-                    pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
+                    pa.array(spans, pa.list_(_SPAN)), pa.array(factors, pa.list_(_FACTOR)),
                 ],
-                ["doc_id", "n_words", "n_removed", "kept_text", "spans"],
+                ["doc_id", "n_words", "n_removed", "kept_text", "spans", "factors"],
             )
 
     return of_batches
 
 
 def _origins(grouped: DataFrame) -> DataFrame:
-    return grouped.groupBy("a", "b").agg(F.min("first").alias("origin"), F.max("last").alias("last"))
+    return grouped.groupBy("a", "b").agg(
+        F.min("first").alias("origin"), F.min_by("at", "first").alias("origin_at"), F.max("last").alias("last")
+    )
 
 
 def duplicate_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Ranges of windows (_doc, _crc, start, n) of ``docs`` (_doc, text) that start in an earlier document."""
+    """Ranges of windows (_doc, _crc, start, n) of ``docs`` (_doc, text) that an earlier document holds, with the place of
+    the first one that does (ref, ref_start)."""
     spark = docs.sparkSession
     blocks = materialize(docs.mapInArrow(_index_blocks(window), _GROUPED), scratch_path(spark, "blocks"))
 
     index = _origins(blocks)
     forks = index.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("a", F.lit(True).alias("fork"))
     index = index.join(forks, "a", "left").where("fork OR origin < last")
-    known = index.select("a", "b", "origin", F.coalesce("fork", F.lit(False)).alias("fork"))
+    known = index.select("a", "b", "origin", "origin_at", F.coalesce("fork", F.lit(False)).alias("fork"))
     factors = blocks.select("a", "b", "spots").join(known, ["a", "b"])
-    factors = factors.select("origin", "fork", "spots").mapInArrow(_factors, _RANGES)
+    factors = factors.select("origin", "origin_at", "fork", "spots").mapInArrow(_factors, _RANGES)
     factors = materialize(factors, scratch_path(spark, "factors"))
 
     inside = factors.where(~F.col("copied")).groupBy("_doc").agg(_listed())
     windows = docs.join(inside, "_doc").mapInArrow(_look_into(window), _GROUPED)
     windows = materialize(windows, scratch_path(spark, "windows"))
-    known = _origins(windows).where("origin < last").select("a", "b", "origin", F.lit(False).alias("fork"))
+    known = _origins(windows).where("origin < last").select("a", "b", "origin", "origin_at", F.lit(False).alias("fork"))
     ends = windows.select("a", "b", "spots").join(known, ["a", "b"])
-    ends = ends.select("origin", "fork", "spots").mapInArrow(_factors, _RANGES)
-    return factors.where("copied").unionByName(ends).select("_doc", "_crc", "start", "n")
+    ends = ends.select("origin", "origin_at", "fork", "spots").mapInArrow(_factors, _RANGES)
+    return factors.where("copied").unionByName(ends).select("_doc", "_crc", "start", "n", "ref", "ref_start")
 
 
-def _listed():
-    return F.collect_list(F.struct("_crc", "start", "n")).alias("_ranges")
+def _listed(*more: str):
+    return F.collect_list(F.struct("_crc", "start", "n", *more)).alias("_ranges")
 
 
 def dedup_substrings(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document: its id, ``n_words``, ``n_removed``, ``kept_text`` and the removed ``spans`` of words (end exclusive)."""
+    """Per document: its id, ``n_words``, ``n_removed``, ``kept_text``, the removed ``spans`` of words (end exclusive), and the
+    ``factors`` they consist of, each with the earlier document and the word there that it copies from."""
     bound_batches(docs.sparkSession)
     own = docs.select(F.col(doc_id).cast("long").alias("_doc"), F.col(text).alias("text"))
     spans = duplicate_spans(own.where("_doc IS NOT NULL"), window)
-    joined = own.join(spans.groupBy("_doc").agg(_listed()), "_doc", "left")
+    joined = own.join(spans.groupBy("_doc").agg(_listed("ref", "ref_start")), "_doc", "left")
     return joined.select(F.col("_doc").alias("doc_id"), "text", "_ranges").mapInArrow(_cut(window), _RESULT)
