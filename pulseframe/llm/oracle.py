@@ -120,4 +120,32 @@ r AS (
   FROM m, s GROUP BY ALL)
 SELECT * EXCLUDE (letter), (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley FROM r"""
 
-ORACLE = {"op13_filter_audit": OP13, "op1_substring_dedup": OP1, "op5_near_dedup": OP5, "op6_top_k": OP6, "op4_quality_rules": OP4, "op7_chat": OP7, "op8_line_dedup": OP8}
+# crc32 of the decimal id, byte by byte and bit by bit
+_CRC = """4294967295 - list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+  lambda crc, b: list_reduce(list_prepend(xor(crc, b), range(8)), lambda x, k: xor(x >> 1, 3988292384 * (x & 1))))"""
+
+# A run holds two neighbouring multiples of its period with equal words after them, eight at least: such (text, distance) are
+# compared word by word.
+OP11 = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS words, CASE WHEN doc_id IS NULL THEN 1 ELSE {_CRC} END AS h FROM documents),
+a AS (SELECT r, doc_id, words, len(words) AS n, h // 10 AS g, CASE WHEN h % 10 = 0 AND len(words) > 0 THEN (h // 10) % len(words) END AS a FROM d),
+t AS (SELECT r, doc_id, n, CASE WHEN a IS NULL THEN words ELSE list_transform(range(n),
+    lambda i: words[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END]) END AS w FROM a),
+e AS MATERIALIZED (SELECT r, i, n, w[i + 1] AS word, hash(w[i + 1 : i + 8]) AS gram FROM (SELECT r, w, n, unnest(range(n)) AS i FROM t)),
+m AS (SELECT r, q, unnest(range(0, n - q, q)) AS i FROM (SELECT r, n, unnest(range(1, n // 3 + 1)) AS q FROM t WHERE n >= 24)),
+c AS (SELECT DISTINCT m.r, q FROM m JOIN e x ON x.r = m.r AND x.i = m.i JOIN e y ON y.r = m.r AND y.i = m.i + q WHERE x.gram = y.gram),
+s AS (SELECT c.r, q, x.i, x.i - row_number() OVER (PARTITION BY c.r, q ORDER BY x.i) AS island
+  FROM c JOIN e x ON x.r = c.r JOIN e y ON y.r = c.r AND y.i = x.i + q WHERE x.word = y.word),
+u AS (SELECT r, start, stop, min(q) AS period FROM (
+    SELECT r, q, min(i) AS start, max(i) + 1 + q AS stop FROM s GROUP BY r, q, island HAVING max(i) + 1 + q - min(i) >= greatest(24, 3 * q))
+  GROUP BY r, start, stop),
+runs AS (SELECT r, start, stop - start AS length, period FROM u),
+best AS (SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY r ORDER BY length::DOUBLE / period DESC, start, period) = 1),
+listed AS (SELECT r, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS text FROM runs GROUP BY r),
+gone AS (SELECT DISTINCT r, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (SELECT e.r, string_agg(word, ' ' ORDER BY e.i) AS text FROM e ANTI JOIN gone ON gone.r = e.r AND gone.i = e.i GROUP BY e.r)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+  sha256(coalesce(listed.text, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+FROM t LEFT JOIN best USING (r) LEFT JOIN listed USING (r) LEFT JOIN kept USING (r)"""
+
+ORACLE = {"op11_periodic_runs": OP11, "op13_filter_audit": OP13, "op1_substring_dedup": OP1, "op5_near_dedup": OP5, "op6_top_k": OP6, "op4_quality_rules": OP4, "op7_chat": OP7, "op8_line_dedup": OP8}
