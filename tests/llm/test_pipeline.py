@@ -76,6 +76,6 @@ class TestContract:
     def test_pipeline_runs(self, spark):
         assert corpus_pipeline.run(spark, SF).count() > 0
 
-    def test_all_ten_are_registered(self):
+    def test_all_thirteen_are_registered(self):
         names = side_by_side.contract.queries()
-        assert all(any(q.startswith(f"op{n}_") for q in names) for n in range(1, 11)) and "pipeline" in names
+        assert all(any(q.startswith(f"op{n}_") for q in names) for n in range(1, 14)) and "pipeline" in names
