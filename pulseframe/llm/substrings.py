@@ -138,7 +138,8 @@ def _index_blocks(window: int):
     return of_batches
 
 
-_RANGES = "_doc long, _crc long, start long, n long, ref long, ref_start long, copied boolean"
+#: a range of windows: start and number in one long, the text's checksum and the place in the reference in another
+_RANGES = "_doc long, place long, source long, ref long, copied boolean"
 
 
 def _factors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,22 +151,20 @@ def _factors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         copied = spots["doc"] > origin
         keep = copied | fork
         spots, copied, origin, origin_at = (x[keep] for x in (spots, copied, origin, origin_at))
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(spots["doc"].astype(np.int64)), pa.array(spots["crc"].astype(np.int64)),
-                pa.array(spots["start"].astype(np.int64)), pa.array(spots["n"].astype(np.int64)),
-                pa.array(origin), pa.array(origin_at), pa.array(copied),
-            ],
-            ["_doc", "_crc", "start", "n", "ref", "ref_start", "copied"],
-        )
-
-
-def _own_ranges(column: pa.Array, row: int, crc: int, fields: tuple[str, ...] = ("start", "n")) -> list[np.ndarray]:
-    """These fields of the ranges that a joined row lists for the text with this checksum."""
+        place = spots["start"].astype(np.int64) << 8 | spots["n"]
+        source = spots["crc"].astype(np.uint64) << np.uint64(32) | origin_at.astype(np.uint64)
+        columns = [pa.array(spots["doc"].astype(np.int64)), pa.array(place), signed(source), pa.array(origin), pa.array(copied)]
+        yield pa.RecordBatch.from_arrays(columns, ["_doc", "place", "source", "ref", "copied"])
+
+
+def _own_ranges(column: pa.Array, row: int, crc: int) -> tuple[np.ndarray, ...]:
+    """(starts, numbers of windows, reference documents, places there) that a joined row lists for the text with this
+    checksum."""
     low, high = column.offsets[row].as_py(), column.offsets[row + 1].as_py()
-    flat = column.values
-    mine = flat.field("_crc").to_numpy()[low:high] == crc
-    return [flat.field(f).to_numpy()[low:high][mine] for f in fields]
+    place, source, ref = (column.values.field(f).to_numpy()[low:high] for f in ("place", "source", "ref"))
+    mine = source.view(np.uint64) >> np.uint64(32) == crc
+    place, source = place[mine], source[mine]
+    return place >> 8, place & 255, ref[mine], source & 0xFFFFFFFF
 
 
 def _look_into(window: int):
@@ -179,7 +178,7 @@ def _look_into(window: int):
             for low, high, words in word_slices(texts, lanes=2):
                 hashes = [run_hashes(lane, window, i) for i, lane in enumerate(words.lanes)]
                 for text in range(low, high):
-                    start, n = _own_ranges(column, text, crcs[text])
+                    start, n, _, _ = _own_ranges(column, text, crcs[text])
                     if not len(start):
                         continue
                     inside = np.unique(ranges(start, n))
@@ -255,7 +254,7 @@ def _cut(window: int):
                 n_words.append(len(words))
                 parsed, joined = [], []
                 if column.is_valid()[row].as_py() if column.null_count else True:
-                    found = _own_ranges(column, row, zlib.crc32(body), ("start", "n", "ref", "ref_start"))
+                    found = _own_ranges(column, row, zlib.crc32(body))
                     if len(found[0]):
                         parsed = _parsed(_matches(*found, window))
                         for start, end, _, _ in parsed:
@@ -290,8 +289,8 @@ def _origins(grouped: DataFrame) -> DataFrame:
 
 
 def duplicate_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Ranges of windows (_doc, _crc, start, n) of ``docs`` (_doc, text) that an earlier document holds, with the place of
-    the first one that does (ref, ref_start)."""
+    """Ranges of windows (_doc, place, source, ref) of ``docs`` (_doc, text) that an earlier document holds, with the place of
+    the first one that does."""
     spark = docs.sparkSession
     blocks = materialize(docs.mapInArrow(_index_blocks(window), _GROUPED), scratch_path(spark, "blocks"))
 
@@ -309,11 +308,11 @@ def duplicate_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     known = _origins(windows).where("origin < last").select("a", "b", "origin", "origin_at", F.lit(False).alias("fork"))
     ends = windows.select("a", "b", "spots").join(known, ["a", "b"])
     ends = ends.select("origin", "origin_at", "fork", "spots").mapInArrow(_factors, _RANGES)
-    return factors.where("copied").unionByName(ends).select("_doc", "_crc", "start", "n", "ref", "ref_start")
+    return factors.where("copied").unionByName(ends).select("_doc", "place", "source", "ref")
 
 
-def _listed(*more: str):
-    return F.collect_list(F.struct("_crc", "start", "n", *more)).alias("_ranges")
+def _listed():
+    return F.collect_list(F.struct("place", "source", "ref")).alias("_ranges")
 
 
 def dedup_substrings(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -322,5 +321,5 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_i
     bound_batches(docs.sparkSession)
     own = docs.select(F.col(doc_id).cast("long").alias("_doc"), F.col(text).alias("text"))
     spans = duplicate_spans(own.where("_doc IS NOT NULL"), window)
-    joined = own.join(spans.groupBy("_doc").agg(_listed("ref", "ref_start")), "_doc", "left")
+    joined = own.join(spans.groupBy("_doc").agg(_listed()), "_doc", "left")
     return joined.select(F.col("_doc").alias("doc_id"), "text", "_ranges").mapInArrow(_cut(window), _RESULT)
