@@ -1,6 +1,7 @@
 """Boosted trees grown leaf by leaf, for a label of 0 and 1.
 
-Rows are binned once and kept with their margin (the log-odds so far). One aggregation gives the histograms
+Rows are binned once and kept, in blocks of bytes, with their margin (the log-odds so far), gradient and curvature; a task
+reads a block's arrays as they are, and of these only what a job needs. One aggregation gives the histograms
 (rows, gradient and curvature per feature and bin) of many open leaves at a time; the driver holds histograms only,
 whose size is leaves x features x bins whatever the table. The leaf with the largest gain is split next, until a tree
 has its leaves. When the children of a leaf are needed, those of all leaves that may still be split are counted in the
@@ -17,6 +18,7 @@ The result becomes an MLlib model, so that it is saved, loaded and applied like
 
 from __future__ import annotations
 
+import functools
 import heapq
 import math
 import random
@@ -40,6 +42,8 @@ _LEAST_CURVATURE = 1e-3
 KEEP_EVERY = 10
 #: a small table is kept in one partition per so many rows; jobs over it are many and short
 _ROWS = 200_000
+#: rows of a block at most, but for what is left of a batch
+_BLOCK = 1 << 16
 
 Histogram = np.ndarray  # features x bins x (rows, gradient, curvature)
 
@@ -109,7 +113,7 @@ def n_bins(edges: list[list[float]]) -> list[int]:
 
 _SUMS = "node int, cell int, n long, g long, h long"
 #: tasks whose sums the driver adds up itself
-_FEW = 8
+_FEW = 16
 _LOSS = -1  # the node whose sums are the validation rows and their loss
 
 
@@ -117,40 +121,97 @@ def _whole(x: np.ndarray) -> np.ndarray:
     return np.rint(x * _SCALE).astype(np.int64)
 
 
-def _routed(route: list, n_rows: int, bins: Callable[[int], np.ndarray]) -> np.ndarray:
-    """The node that each row reaches. ``route`` has (node, feature, bin, left, right) for every inner node, parents
-    first."""
-    at = np.zeros(n_rows, np.int32)
+def _reached(route: list, bins: Callable[[int], np.ndarray], places: np.ndarray) -> dict[int, np.ndarray]:
+    """The places that reach each end of a route. ``route`` has (node, feature, bin, left, right) for every inner node,
+    parents first."""
+    at = {0: places}
     for node, feature, bin_, left, right in route:
-        here = np.flatnonzero(at == node)
-        at[here] = np.where(bins(feature)[here] <= bin_, left, right)
+        here = at.pop(node)
+        low = bins(feature)[here] <= bin_
+        at[left], at[right] = here[low], here[~low]
     return at
 
 
-def _summing(route: list, open_: list[int], features: list[int], width: int, bag: tuple, loss: bool):
+def _towards(route: list, open_: list[int]) -> list:
+    """The part of a route that leads to the open nodes."""
+    wanted, kept = set(open_), []
+    for step in reversed(route):
+        if step[3] in wanted or step[4] in wanted:
+            wanted.add(step[0])
+            kept.append(step)
+    return kept[::-1]
+
+
+_BLOCKS = "bins binary, y binary, held_out binary, key binary, margin binary, g binary, h binary, used binary, n_held long, lost long"
+
+
+def _bin_type(width: int) -> type:
+    return np.uint8 if width <= 1 << 8 else np.uint16
+
+
+def _block(bins: np.ndarray, y: np.ndarray, held: np.ndarray, key: np.ndarray, margin: np.ndarray, bag: tuple) -> pa.RecordBatch:
+    """Some rows as one: their gradients and curvatures, whether the next tree is grown on them, and the loss of those that
+    are held out."""
+    p = 1.0 / (1.0 + np.exp(-margin))
+    right = np.clip(np.where(y[held] == 1, p[held], 1.0 - p[held]), 1e-15, 1.0)
+    g, h = _whole(p - y).astype(np.int32), _whole(p * (1.0 - p)).astype(np.int32)
+    arrays = [bins, y, held, key, margin, g, h, ~held & _in_bag(key, bag)]
+    columns = [pa.array([x.tobytes()], pa.binary()) for x in arrays]
+    columns += [pa.array([int(x)], pa.int64()) for x in (held.sum(), _whole(-np.log(right)).sum())]
+    return pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _BLOCKS.split(", ")])
+
+
+def _column(batch: pa.RecordBatch, name: str, place: int, kind: type) -> np.ndarray:
+    return np.frombuffer(batch.column(name)[place].as_buffer(), kind)
+
+
+def _packed(rows: DataFrame, n_features: int, width: int, bag: tuple) -> DataFrame:
+    """Rows (b0, b1, ..., y, held_out, key, margin) as blocks."""
+
+    def block(waiting: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(waiting)
+        column = lambda name: table[name].to_numpy()
+        bins = np.stack([column(f"b{i}") for i in range(n_features)]).astype(_bin_type(width))
+        return _block(bins, *(column(name) for name in ("y", "held_out", "key", "margin")), bag)
+
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, n = [], 0
+        for batch in batches:
+            for begin in range(0, batch.num_rows, _BLOCK):
+                part = batch.slice(begin, _BLOCK)
+                if waiting and n + part.num_rows > _BLOCK:
+                    yield block(waiting)
+                    waiting, n = [], 0
+                waiting.append(part)
+                n += part.num_rows
+        if waiting:
+            yield block(waiting)
+
+    return rows.mapInArrow(of_batches, _BLOCKS)
+
+
+def _summing(route: list, open_: list[int], features: list[int], width: int, loss: bool):
     """Sums per open node and cell of the rows of a task that are in the bag; on demand the loss of its validation rows."""
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place = np.full(1 + max([*open_, *(c for r in route for c in r[3:])]), -1)
-        place[open_] = np.arange(len(open_))
-        size = len(open_) * len(features) * width
-        total, against = np.zeros((3, size), np.int64), np.zeros(2, np.int64)
+        total, against = np.zeros((3, len(open_), len(features), width), np.int64), np.zeros(2, np.int64)
         for batch in batches:
-            column = lambda name: batch.column(name).to_numpy(zero_copy_only=False)
-            y, held, margin = column("y"), column("held_out"), column("margin")
-            p = 1.0 / (1.0 + np.exp(-margin))
-            if loss:
-                right = np.clip(np.where(y[held] == 1, p[held], 1.0 - p[held]), 1e-15, 1.0)
-                against += (held.sum(), _whole(-np.log(right)).sum())
-            own = place[_routed(route, len(y), lambda f: column(f"b{f}"))]
-            use = np.flatnonzero((own >= 0) & ~held & _in_bag(column("key"), bag))
-            g, h = _whole(p[use] - y[use]), _whole(p[use] * (1.0 - p[use]))
-            for k, f in enumerate(features):
-                cell = (own[use] * len(features) + k) * width + column(f"b{f}")[use]
-                # sums of integers below 2^53 are exact in doubles, and a batch has no more
-                total[0] += np.bincount(cell, minlength=size)
-                total[1] += np.bincount(cell, g, size).astype(np.int64)
-                total[2] += np.bincount(cell, h, size).astype(np.int64)
+            for i in range(batch.num_rows):
+                if loss:
+                    against += (batch.column("n_held")[i].as_py(), batch.column("lost")[i].as_py())
+                g, h = _column(batch, "g", i, np.int32), _column(batch, "h", i, np.int32)
+                bins = _column(batch, "bins", i, _bin_type(width)).reshape(-1, len(g))
+                at = _reached(route, lambda f: bins[f], np.flatnonzero(_column(batch, "used", i, bool)))
+                for k, node in enumerate(open_):
+                    here = at[node]
+                    weights = g[here].astype(np.float64), h[here].astype(np.float64)
+                    for j, f in enumerate(features):
+                        cell = bins[f][here].astype(np.intp)
+                        # sums of integers below 2^53 are exact in doubles, and a block has no more
+                        total[0, k, j] += np.bincount(cell, minlength=width)
+                        for of_weight, weight in zip(total[1:, k, j], weights):
+                            of_weight += np.bincount(cell, weight, width).astype(np.int64)
+        total = total.reshape(3, -1)
         some = np.flatnonzero(total[0])
         node = np.array(open_, np.int32)[some // (len(features) * width)]
         sums = [total[0][some], total[1][some], total[2][some]]
@@ -163,10 +224,11 @@ def _summing(route: list, open_: list[int], features: list[int], width: int, bag
     return of_batches
 
 
-def cell_sums(rows: DataFrame, route: list, open_: list[int], features: list[int], width: int, bag: tuple, loss: bool, shuffled: bool) -> DataFrame:
+def cell_sums(blocks: DataFrame, route: list, open_: list[int], features: list[int], width: int, loss: bool, shuffled: bool) -> DataFrame:
     """(node, cell, n, g, h): rows, gradients and curvatures (in 2^-20) per open node and bin of a feature. Tasks sum up before
     anything is shuffled; a task sends nodes x features x bins rows at most. The sums of a few tasks need no shuffle."""
-    sums = rows.mapInArrow(_summing(route, open_, features, width, bag, loss), _SUMS)
+    needed = blocks.select("bins", "g", "h", "used", *(["n_held", "lost"] if loss else []))
+    sums = needed.mapInArrow(_summing(_towards(route, open_), open_, features, width, loss), _SUMS)
     if not shuffled:
         return sums
     return sums.groupBy("node", "cell").agg(F.sum("n").alias("n"), F.sum("g").alias("g"), F.sum("h").alias("h"))
@@ -241,11 +303,10 @@ def _route(node: Node, accepted: bool) -> list:
 
 
 def grow(
-    rows: DataFrame, features: list[int], width: int, leaves: int, least_rows: int, bag: tuple = (1.0, 0, 0),
-    loss: bool = False, shuffled: bool = True,
+    blocks: DataFrame, features: list[int], width: int, leaves: int, least_rows: int, loss: bool = False, shuffled: bool = True
 ) -> tuple[Node | None, float | None]:
-    """The tree of the rows (b0, b1, ..., y, held_out, key, margin) that are not held out, None if nothing splits them;
-    and the loss of those that are held out, before this tree."""
+    """The tree of the rows that are in the blocks' bag, None if nothing splits them; and the loss of those that are held
+    out, before this tree."""
     numbers = iter(range(1 << 30))
 
     def judge(node: Node) -> None:
@@ -269,7 +330,7 @@ def grow(
                 node.histogram = None
         if not smaller:
             return
-        sums = cell_sums(rows, _route(root, False), list(smaller), features, width, bag, False, shuffled)
+        sums = cell_sums(blocks, _route(root, False), list(smaller), features, width, False, shuffled)
         found, _ = _histograms(sums, len(features), width)
         for few, many, node in smaller.values():
             few.histogram = found[few.number]
@@ -278,7 +339,7 @@ def grow(
             for child in (few, many):
                 judge(child)
 
-    found, before = _histograms(cell_sums(rows, [], [0], features, width, bag, loss, shuffled), len(features), width)
+    found, before = _histograms(cell_sums(blocks, [], [0], features, width, loss, shuffled), len(features), width)
     if 0 not in found:
         return None, before
     root = Node(next(numbers), found[0][0].sum(axis=0), histogram=found[0])
@@ -352,20 +413,42 @@ def _flat(tree: dict) -> tuple[list, np.ndarray]:
     return route, np.array(values)
 
 
+def _raised(margin: np.ndarray, flat: list, rate: float, bins: Callable[[int], np.ndarray]) -> np.ndarray:
+    """The margins after trees."""
+    margin = margin.copy()
+    for route, values in flat:
+        for node, here in _reached(route, bins, np.arange(len(margin))).items():
+            margin[here] += rate * values[node]
+    return margin
+
+
 def _advanced(rows: DataFrame, model: Fit, trees: list[dict]) -> DataFrame:
     """``rows`` with the margins after these trees."""
     flat, rate, at = [_flat(t) for t in trees], model.learning_rate, rows.columns.index("margin")
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            margin = batch.column(at).to_numpy().copy()
-            for route, values in flat:
-                margin += rate * values[_routed(route, len(margin), lambda f: batch.column(f"b{f}").to_numpy())]
+            margin = _raised(batch.column(at).to_numpy(), flat, rate, lambda f: batch.column(f"b{f}").to_numpy())
             yield batch.set_column(at, "margin", pa.array(margin))
 
     return rows.mapInArrow(of_batches, rows.schema)
 
 
+def _next(blocks: DataFrame, model: Fit, width: int, bag: tuple) -> DataFrame:
+    """The blocks after the last tree, for a tree that is grown on ``bag``."""
+    flat, rate = [_flat(model.trees[-1])], model.learning_rate
+
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                kinds = {"y": np.float64, "held_out": bool, "key": np.int64, "margin": np.float64}
+                *kept, margin = (_column(batch, name, i, kind) for name, kind in kinds.items())
+                bins = _column(batch, "bins", i, _bin_type(width)).reshape(-1, len(margin))
+                yield _block(bins, *kept, _raised(margin, flat, rate, lambda f: bins[f]), bag)
+
+    return blocks.select("bins", "y", "held_out", "key", "margin").mapInArrow(of_batches, _BLOCKS)
+
+
 def fit(
     train_df: DataFrame,
     validation_df: DataFrame | None = None,
@@ -383,19 +466,20 @@ def fit(
     spark = train_df.sparkSession
     ship_package(spark)
     folder = (state or scratch_path(spark, "boosting")).rstrip("/")
-    model, current = _started(spark, train_df, validation_df, features, label, params, folder)
+    model, rows = _started(spark, train_df, validation_df, features, label, params, folder)
     width = max(n_bins(model.edges))
-    for begin in range(0, len(model.trees), KEEP_EVERY):  # a resumed fit: the margins of the trees so far
-        current = materialize(_advanced(current, model, model.trees[begin : begin + KEEP_EVERY]), scratch_path(spark, "margins"))
-    shuffled = current.rdd.getNumPartitions() > _FEW
-    patience, held = params["early_stopping_rounds"], []
+    bag = lambda tree: (params["bagging_fraction"], params["seed"], tree // params["bagging_every"])
+    if model.trees:  # a resumed fit: the margins of the trees so far
+        rows = _advanced(rows, model, model.trees)
+    shuffled = rows.rdd.getNumPartitions() > _FEW
+    current = _packed(rows, len(features), width, bag(len(model.trees))).persist()
+    patience, held = params["early_stopping_rounds"], [current]
     while not model.finished:
         done = len(model.trees)
         drawn = _drawn(len(features), params["feature_fraction"], params["seed"], done)
-        bag = (params["bagging_fraction"], params["seed"], done // params["bagging_every"])
         last = done >= params["rounds"]  # only the loss of the last tree is wanted
         leaves = 1 if last else params["leaves"]
-        tree, loss = grow(current, drawn, width, leaves, params["min_data_in_leaf"], bag, True, shuffled)
+        tree, loss = grow(current, drawn, width, leaves, params["min_data_in_leaf"], True, shuffled)
         if loss is not None and 0 < done > len(model.losses):
             model.losses.append(loss)
         if state and done and done % KEEP_EVERY == 0:
@@ -404,7 +488,7 @@ def fit(
             break
         model.trees.append(_as_dict(tree, model.edges))
         model.used.append(drawn)
-        advanced = _advanced(current, model, model.trees[-1:])
+        advanced = _next(current, model, width, bag(done + 1))
         if (done + 1) % KEEP_EVERY == 0:  # cut the lineage
             advanced = materialize(advanced, scratch_path(spark, "margins"))
         current = advanced.persist()
@@ -481,22 +565,26 @@ def to_mllib(model: Fit, rounds: int | None = None) -> GBTClassificationModel:
     """
     trees = model.trees[: model.best if rounds is None else rounds] or [{"value": 0.0, "n": 0}]
     gateway = SparkSession.active().sparkContext._gateway
-    ml = gateway.jvm.org.apache.spark.ml
+    ml, double = gateway.jvm.org.apache.spark.ml, gateway.jvm.double
     rate = model.learning_rate
+    # each name is a call to the JVM: they are looked up once and not per node
+    calculator = gateway.jvm.org.apache.spark.mllib.tree.impurity.VarianceCalculator
+    leaf_node, inner_node, continuous = ml.tree.LeafNode, ml.tree.InternalNode, ml.tree.ContinuousSplit
 
+    @functools.cache
     def impurity(n: int):
-        stats = gateway.new_array(gateway.jvm.double, 3)
+        stats = gateway.new_array(double, 3)
         stats[0], stats[1], stats[2] = float(n), 0.0, 0.0
-        return gateway.jvm.org.apache.spark.mllib.tree.impurity.VarianceCalculator(stats, n)
+        return calculator(stats, n)
 
     def node(tree: dict, extra: float):
         if "value" in tree:
-            return ml.tree.LeafNode(tree["value"] / 2 + extra, 0.0, impurity(tree["n"]))
+            return leaf_node(tree["value"] / 2 + extra, 0.0, impurity(tree["n"]))
         # MLlib goes left up to and including the threshold
         threshold = math.nextafter(tree["below"], -math.inf)
-        split = ml.tree.ContinuousSplit(tree["feature"], threshold)
+        split = continuous(tree["feature"], threshold)
         left, right = node(tree["left"], extra), node(tree["right"], extra)
-        return ml.tree.InternalNode(0.0, 0.0, tree["gain"], left, right, split, impurity(tree["n"]))
+        return inner_node(0.0, 0.0, tree["gain"], left, right, split, impurity(tree["n"]))
 
     kind = ml.regression.DecisionTreeRegressionModel
     fitted, weights = gateway.new_array(kind, len(trees)), gateway.new_array(gateway.jvm.double, len(trees))

@@ -190,6 +190,26 @@ def test_one_class_and_no_rows(spark):
         model.train(frame(spark, rows(10)), features=FEATURES, growth="wide")
 
 
+def test_rows_travel_as_blocks(spark, fitted, monkeypatch):
+    """A job over the rows hands Python a few blocks and not every value; blocks of any size give the same trees."""
+    fit, folder, values = fitted
+    width, table = max(boosting.n_bins(fit.edges)), spark.read.parquet(f"{folder}/rows").withColumn("margin", F.lit(fit.base))
+    blocks = boosting._packed(table.coalesce(1), 3, width, (0.8, 42, 0))
+    assert blocks.count() == 1
+    (block,) = blocks.collect()
+    keys = [r["key"] for r in table.coalesce(1).collect()]
+    assert np.frombuffer(block["key"], np.int64).tolist() == keys and len(block["bins"]) == 3 * len(keys)
+    assert (np.frombuffer(block["used"], bool) == boosting._in_bag(np.array(keys), (0.8, 42, 0))).all()
+    sums = boosting.cell_sums(blocks, [], [0], [0, 1, 2], width, True, False)
+    assert "MapInArrow" in sums._jdf.queryExecution().executedPlan().toString()
+    assert sums.agg(F.sum("n")).first()[0] == 3 * np.frombuffer(block["used"], bool).sum()
+    monkeypatch.setattr(boosting, "_BLOCK", 7)
+    small = boosting._packed(table.coalesce(1), 3, width, (0.8, 42, 0))
+    assert small.count() == math.ceil(len(keys) / 7)
+    other = lambda b: sorted(map(tuple, boosting.cell_sums(b, [], [0], [0, 1, 2], width, True, False).collect()))
+    assert other(small) == other(blocks)
+
+
 def test_root_gains(spark):
     values = rows(300, 9)
     edges = {"a": [-1.0, 0.0, 1.0], "c": [1.0, 2.0, 9.0]}
