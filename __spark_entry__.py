@@ -426,21 +426,17 @@ STATE_PARTITIONS = 4
 
 
 def _replayed(spark, sf, results):
-    """What a streamed ``results(records)`` emits for the readings, delivered in five files in order of time and a last one
-    that closes all windows. The query is stopped after three files and started again."""
+    """What a streamed ``results(records)`` emits for the readings, delivered in five parts in order of time and a last one
+    that closes all windows. Each delivery is a micro-batch of all its files; the query is stopped after it and started again."""
     feed, out, checkpoint = (scratch_path(spark, n) for n in ("feed", "emitted", "stream"))
     rows = _vitals(spark, sf).withColumn("seq", F.col("event_id"))
     ends = rows.agg(F.min(fixed.TIMESTAMP).alias("a"), F.max(fixed.TIMESTAMP).alias("b")).first()
     fifth = F.floor((F.col(fixed.TIMESTAMP) - ends["a"]) * 5 / (ends["b"] - ends["a"] + 1))
-    for k in range(5):
-        _messages(rows.where(fifth == k)).coalesce(1).write.mode("append").json(feed)
-        if k == 2:
-            started = lambda: results(payload.route(read_feed(spark, feed, maxFilesPerTrigger="1")).where(F.col("route") == payload.KEPT))
-            events.run(started(), out, checkpoint, STATE_PARTITIONS)
     last = events.closing(spark, ends["b"] + 100 * DAY_MS).withColumn("seq", F.lit(-1).cast("long"))
-    _messages(last).write.mode("append").json(feed)
-    emitted = started()
-    events.run(emitted, out, checkpoint, STATE_PARTITIONS)
+    for part in [*(rows.where(fifth == k) for k in range(5)), last]:
+        _messages(part).write.mode("append").json(feed)
+        emitted = results(payload.route(read_feed(spark, feed)).where(F.col("route") == payload.KEPT))
+        events.run(emitted, out, checkpoint, STATE_PARTITIONS)
     return events.read(emitted, out)
 
 

@@ -77,40 +77,51 @@ ALERTS = T.StructType(
         T.StructField("seen", T.LongType()),
     ]
 )
-#: last record's time, records so far, unusual ones in a row, whether the silence after the last was told
-_STATE = "last long, seen long, streak long, told boolean"
+#: citizens are dealt over so many groups: a call of Python per group, not per citizen
+GROUPS = 1024
+#: per citizen of a group: last record's time, records so far, unusual ones in a row, whether the silence after the last was told
+_STATE = "citizens array<string>, last array<long>, seen array<long>, streak array<long>, told array<boolean>"
 
 
 def _monitor(silence: int, streak: int, usual: tuple[float, float]):
+    def follow(citizen: str | None, known: tuple, times: list, odd: list, alerts: list) -> tuple:
+        last, seen, run, told = known
+        for t, strange in zip(times, odd):
+            if last is not None and t < last:
+                continue  # its place in the order has passed
+            if last is not None and t - last > silence and not told:
+                alerts.append((citizen, SILENT, last, seen))
+            last, seen, run, told = t, seen + 1, run + 1 if strange else 0, False
+            if run == streak:
+                alerts.append((citizen, STREAK, t, seen))
+        return last, seen, run, told
+
     def step(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last, seen, run, told = state.get if state.exists else (None, 0, 0, False)
+        known = {c: values for c, *values in zip(*state.get)} if state.exists else {}
         alerts: list[tuple] = []
-        if state.hasTimedOut:
-            if not told:
-                alerts.append((SILENT, last, seen))
-            state.update((last, seen, run, True))
-        else:
-            # a citizen's records of one micro-batch, as two numbers each
-            parts = [(c[fixed.TIMESTAMP].to_numpy(np.int64), c[fixed.HEART_RATE].to_numpy(np.float64)) for c in chunks]
-            time, rate = (np.concatenate(x) for x in zip(*parts))
-            order = np.lexsort((rate, time))
+        if not state.hasTimedOut:
+            # the group's records of one micro-batch, as three columns
+            parts = [(c[fixed.CITIZEN].to_numpy(object), c[fixed.TIMESTAMP].to_numpy(np.int64), c[fixed.HEART_RATE].to_numpy(np.float64)) for c in chunks]
+            citizen, time, rate = (np.concatenate(x) for x in zip(*parts))
+            code, names = pd.factorize(citizen, use_na_sentinel=False)
+            order = np.lexsort((rate, time, code))
             odd = ~((rate >= usual[0]) & (rate <= usual[1]))
-            for t, strange in zip(time[order].tolist(), odd[order].tolist()):
-                if last is not None and t < last:
-                    continue  # its place in the order has passed
-                if last is not None and t - last > silence and not told:
-                    alerts.append((SILENT, last, seen))
-                last, seen, run, told = t, seen + 1, run + 1 if strange else 0, False
-                if run == streak:
-                    alerts.append((STREAK, t, seen))
-            if last + silence < state.getCurrentWatermarkMs():
-                if not told:
-                    alerts.append((SILENT, last, seen))
-                told = True
-            state.update((last, seen, run, told))
-            if not told:
-                state.setTimeoutTimestamp(last + silence + 1)
-        yield pd.DataFrame([(key[0], *a) for a in alerts], columns=ALERTS.fieldNames())
+            ends = np.cumsum(np.bincount(code, minlength=len(names))).tolist()
+            times, strange = time[order].tolist(), odd[order].tolist()
+            for name, begin, end in zip(names, [0, *ends], ends):
+                name = None if pd.isna(name) else name
+                known[name] = follow(name, known.get(name, (None, 0, 0, False)), times[begin:end], strange[begin:end], alerts)
+        passed = state.getCurrentWatermarkMs()
+        for name, (last, seen, run, told) in known.items():
+            if not told and last + silence < passed:
+                alerts.append((name, SILENT, last, seen))
+                known[name] = last, seen, run, True
+        state.update(([*known], *([*column] for column in zip(*known.values()))))
+        waiting = [last for last, _, _, told in known.values() if not told]
+        if waiting:
+            state.setTimeoutTimestamp(min(waiting) + silence + 1)
+        if alerts:
+            yield pd.DataFrame(alerts, columns=ALERTS.fieldNames())
 
     return step
 
@@ -121,12 +132,14 @@ def alerts(
     """A stream of alerts per citizen: ``silent`` (at the last record before ``silence_ms`` without one) and ``streak`` (at the
     record with which ``streak`` in a row have an unusual heart rate). ``seen`` counts the citizen's records up to then.
 
-    State is four numbers per citizen. Silence is told by a timer where no record follows, so it does not wait
+    State is four numbers per citizen, kept by groups of citizens: a micro-batch writes those of all citizens of the groups it
+    touches. Silence is told by a timer where no record follows, so it does not wait
     for the next one. Records must arrive in order within ``delay`` between micro-batches; inside one they are sorted.
     """
     ship_package(rows.sparkSession)
-    inputs = timed(rows, delay).select(fixed.CITIZEN, fixed.TIMESTAMP, fixed.HEART_RATE, EVENT_TIME)
-    return inputs.groupBy(fixed.CITIZEN).applyInPandasWithState(
+    group = F.pmod(F.xxhash64(fixed.CITIZEN), F.lit(GROUPS)).alias("group")
+    inputs = timed(rows, delay).select(group, fixed.CITIZEN, fixed.TIMESTAMP, fixed.HEART_RATE, EVENT_TIME)
+    return inputs.groupBy("group").applyInPandasWithState(
         _monitor(silence_ms, streak, usual), ALERTS, _STATE, "append", GroupStateTimeout.EventTimeTimeout
     )
 

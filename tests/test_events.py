@@ -103,6 +103,25 @@ def test_monitor_keeps_its_state_over_restarts(spark, tmp_path):
     assert rows_of(events.read(emitted, out)) == want and {k for _, k, _, _ in want} == {events.SILENT, events.STREAK}
 
 
+def test_citizens_are_followed_by_groups(spark, tmp_path, monkeypatch):
+    """One call of Python serves many citizens, and tells them apart: also where some are silent while others of their group go on."""
+    monkeypatch.setattr(events, "GROUPS", 2)
+    feed, out, checkpoint = (str(tmp_path / n) for n in ("feed", "out", "checkpoint"))
+    rng = random.Random(5)
+    rows = [(f"c{rng.randrange(40)}", t, rng.choice([50, 70, 90, 130])) for t in sorted(rng.sample(range(2000), 600))]
+    rows += [(c, t, rate) for c, t, rate in rows if t % 9 == 0]  # equal records
+    started = lambda: events.alerts(stream(spark, feed), 100 * MINUTE, 2)
+    for k in range(4):
+        write(spark, feed, [r for r in rows if k * 500 <= r[1] < (k + 1) * 500])
+        events.run(started(), out, checkpoint, 2)
+    states = spark.read.format("statestore").load(checkpoint)
+    assert states.count() == 2
+    close(spark, feed, 10_000)
+    emitted = started()
+    events.run(emitted, out, checkpoint, 2)
+    assert rows_of(events.read(emitted, out)) == plain_alerts(rows, 100, 2, 60, 100)
+
+
 def test_silence_is_told_without_a_further_record_of_the_citizen(spark, tmp_path):
     feed, out, checkpoint = (str(tmp_path / n) for n in ("feed", "out", "checkpoint"))
     write(spark, feed, [("a", 10, 80), ("b", 10, 80)])
