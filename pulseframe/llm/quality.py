@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 SPACES = " \t\n\x0b\x0c\r"
 GAP = r"[\x20\x09-\x0D]+"
 NOT_BLANK = r"[^\x20\x09-\x0D]"
-SYMBOLS = r"[#*$%&|<>]"
+NOT_SYMBOL, NOT_LETTER, NOT_CAPITAL = r"[^#*$%&|<>]+", r"[^A-Za-z]+", r"[^A-Z]+"
 
 #: rule name -> SQL condition for failing it; the position is the bit. Append only: ledgers on disk keep their meaning.
 RULES = {
@@ -70,8 +70,10 @@ def words(text: Column) -> Column:
     return F.when(stripped != "", F.split(stripped, GAP)).otherwise(F.array().cast("array<string>"))
 
 
-def count_matches(text: Column, pattern: str) -> Column:
-    return F.regexp_count(text, F.lit(pattern)).cast("long")
+def count_others(text: Column, pattern: str) -> Column:
+    """Characters that are left without the matches of ``pattern``. Counting matches by ``regexp_count`` would
+    list each of them, here almost every character of a text, as an object."""
+    return F.char_length(F.regexp_replace(text, pattern, "")).cast("long")
 
 
 def settled(df: DataFrame) -> DataFrame:
@@ -96,12 +98,12 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
         *kept,
         F.size("_words").cast("long").alias("n_words"),
         F.char_length(F.array_join("_words", "")).cast("long").alias("word_chars"),
-        count_matches(F.col("_body"), SYMBOLS).alias("n_symbols"),
+        count_others(F.col("_body"), NOT_SYMBOL).alias("n_symbols"),
         F.size("_lines").cast("long").alias("n_lines"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         F.expr(_COVERED).alias("n_repeat_words"),
-        count_matches(F.col("_body"), "[A-Za-z]").alias("n_letters"),
-        count_matches(F.col("_body"), "[A-Z]").alias("n_capitals"),
+        count_others(F.col("_body"), NOT_LETTER).alias("n_letters"),
+        count_others(F.col("_body"), NOT_CAPITAL).alias("n_capitals"),
     ))
 
 

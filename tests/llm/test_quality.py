@@ -69,6 +69,16 @@ def test_filter_does_not_repeat_the_measurements(spark):
     assert plan.count("split(") <= 3 and "PythonUDF" not in plan
 
 
+def test_characters_are_counted_without_a_list_of_them(spark):
+    texts = ["Ab# é😀 $Z\n<|>", "", "ÀÉ", "😀", "&" * 5 + "q" * 70_000 + "Q"]
+    df = quality.measure(frame(spark, list(enumerate(texts))))
+    got = {r["doc_id"]: (r["n_symbols"], r["n_letters"], r["n_capitals"]) for r in df.collect()}
+    letters = lambda t: sum(c.isascii() and c.isalpha() for c in t)
+    assert got == {i: (sum(c in "#*$%&|<>" for c in t), letters(t), sum("A" <= c <= "Z" for c in t)) for i, t in enumerate(texts)}
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" not in plan and "regexp_count" not in plan
+
+
 @pytest.mark.parametrize("policy", sorted(quality.POLICIES))
 def test_masks_name_their_rules(policy):
     assert quality.mask(policy) == sum(1 << i for i, rule in enumerate(quality.RULES) if rule in quality.POLICIES[policy])
