@@ -564,9 +564,21 @@ def to_mllib(model: Fit, rounds: int | None = None) -> GBTClassificationModel:
     the first tree contains the base.
     """
     trees = model.trees[: model.best if rounds is None else rounds] or [{"value": 0.0, "n": 0}]
+    rate = model.learning_rate
+
+    def halved(tree: dict, extra: float) -> dict:
+        if "value" in tree:
+            return {**tree, "value": tree["value"] / 2 + extra}
+        return {**tree, "value": 0.0, "left": halved(tree["left"], extra), "right": halved(tree["right"], extra)}
+
+    own = [halved(tree, model.base / (2 * rate) if i == 0 else 0.0) for i, tree in enumerate(trees)]
+    return mllib_model("leafwise", own, [rate] * len(own), len(model.features))
+
+
+def mllib_model(uid: str, trees: list[dict], weights: list[float], n_features: int) -> GBTClassificationModel:
+    """Trees as a model: nested dicts {value, n}, inner nodes with feature, below, gain, left and right."""
     gateway = SparkSession.active().sparkContext._gateway
     ml, double = gateway.jvm.org.apache.spark.ml, gateway.jvm.double
-    rate = model.learning_rate
     # each name is a call to the JVM: they are looked up once and not per node
     calculator = gateway.jvm.org.apache.spark.mllib.tree.impurity.VarianceCalculator
     leaf_node, inner_node, continuous = ml.tree.LeafNode, ml.tree.InternalNode, ml.tree.ContinuousSplit
@@ -577,18 +589,16 @@ def to_mllib(model: Fit, rounds: int | None = None) -> GBTClassificationModel:
         stats[0], stats[1], stats[2] = float(n), 0.0, 0.0
         return calculator(stats, n)
 
-    def node(tree: dict, extra: float):
-        if "value" in tree:
-            return leaf_node(tree["value"] / 2 + extra, 0.0, impurity(tree["n"]))
+    def node(tree: dict):
+        if "left" not in tree:
+            return leaf_node(tree["value"], 0.0, impurity(tree["n"]))
         # MLlib goes left up to and including the threshold
         threshold = math.nextafter(tree["below"], -math.inf)
         split = continuous(tree["feature"], threshold)
-        left, right = node(tree["left"], extra), node(tree["right"], extra)
-        return inner_node(0.0, 0.0, tree["gain"], left, right, split, impurity(tree["n"]))
+        return inner_node(tree["value"], 0.0, tree["gain"], node(tree["left"]), node(tree["right"]), split, impurity(tree["n"]))
 
     kind = ml.regression.DecisionTreeRegressionModel
-    fitted, weights = gateway.new_array(kind, len(trees)), gateway.new_array(gateway.jvm.double, len(trees))
-    for i, tree in enumerate(trees):
-        root = node(tree, model.base / (2 * rate) if i == 0 else 0.0)
-        fitted[i], weights[i] = kind(f"tree{i}", root, len(model.features)), rate
-    return GBTClassificationModel(ml.classification.GBTClassificationModel("leafwise", fitted, weights, len(model.features)))
+    fitted, factors = gateway.new_array(kind, len(trees)), gateway.new_array(double, len(trees))
+    for i, (tree, weight) in enumerate(zip(trees, weights)):
+        fitted[i], factors[i] = kind(f"tree{i}", node(tree), n_features), weight
+    return GBTClassificationModel(ml.classification.GBTClassificationModel(uid, fitted, factors, n_features))

@@ -15,6 +15,7 @@ from pulseframe import fixed
 from pulseframe.functions import clip, log_loss
 from pulseframe.operators import boosting
 from pulseframe.operators.features import engineer
+from pulseframe.operators.levelwise import LevelwiseClassifier
 from pulseframe.operators.report import add_classification, stamp, with_defaults
 from pulseframe.operators.scaling import Stats, scale
 from pulseframe.session import shared_dir
@@ -69,8 +70,8 @@ def train(
 
     ``growth="leaf"`` splits the leaf of the largest gain next and ends the fit when the validation loss stops
     improving; ``state`` is a folder from which an interrupted fit goes on (see ``boosting``).
-    ``growth="level"`` is MLlib's own fit, always of all rounds: the leaf limit becomes the depth whose full
-    tree has as many leaves, features are drawn per node, and rows in every round.
+    ``growth="level"`` is MLlib's fit over blocks of rows (see ``levelwise``), always of all rounds: the leaf limit
+    becomes the depth whose full tree has as many leaves, features are drawn per node, and rows in every round.
 
     On a cluster the rounds' lineage is cut in the folder named by ``spark.checkpoint.dir``.
     """
@@ -83,7 +84,7 @@ def train(
     inputs = assembler(features)
     if growth == "leaf":
         return PipelineModel([inputs, boosting.to_mllib(boosting.fit(train_df, validation_df, features, label, p, state))])
-    learner = GBTClassifier(
+    learner = LevelwiseClassifier(
         featuresCol="features",
         labelCol=label,
         lossType="logistic",

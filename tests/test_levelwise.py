@@ -1,0 +1,83 @@
+import random
+
+import numpy as np
+import pytest
+from pyspark.ml.classification import GBTClassifier
+from pyspark.sql import functions as F
+
+from pulseframe.operators import levelwise, model
+
+FEATURES = ["a", "b", "c"]
+WHOLE = {"feature_fraction": 1.0, "bagging_fraction": 1.0, "min_data_in_leaf": 5, "leaves": 16, "learning_rate": 0.3}
+
+
+def rows(n, seed, few=True):
+    rng = random.Random(seed)
+    out = []
+    for _ in range(n):
+        a, b, c = (rng.randrange(25), rng.randrange(20), rng.randrange(4)) if few else (rng.random() * 25, rng.random() * 20, 0.5)
+        out.append((int((a - 12) ** 2 + 5 * b + rng.gauss(0, 20) > 100), float(a), float(b), float(c)))
+    return out
+
+
+def frame(spark, values, parts=3):
+    return spark.createDataFrame(values, "label int, a double, b double, c double").repartition(parts)
+
+
+def by_mllib(df, rounds):
+    learner = GBTClassifier(
+        featuresCol="features", labelCol="label", lossType="logistic", maxIter=rounds, maxDepth=4, stepSize=0.3,
+        featureSubsetStrategy="all", subsamplingRate=1.0, minInstancesPerNode=5, seed=42,
+    )
+    inputs = model.assembler(FEATURES)
+    return model.PipelineModel([inputs, learner.fit(inputs.transform(df))])
+
+
+def test_trees_are_those_of_mllib(spark):
+    """With nothing drawn, and values few enough for a bin each, the fit gives MLlib's trees, in blocks of any size and place."""
+    df = frame(spark, rows(2500, 1)).persist()
+    ours, theirs = model.train(df, None, FEATURES, growth="level", rounds=6, **WHOLE), by_mllib(df, 6)
+    both = model.predict(model.predict(df, ours, "p"), theirs, "q")
+    assert both.agg(F.max(F.abs(F.col("p") - F.col("q")))).first()[0] < 1e-7
+    mine, other = ours.stages[-1], theirs.stages[-1]
+    assert mine.treeWeights == other.treeWeights and mine.numFeatures == 3
+    assert [t.numNodes for t in mine.trees] == [t.numNodes for t in other.trees]
+    assert np.allclose(mine.featureImportances.toArray(), other.featureImportances.toArray(), atol=1e-6)
+    assert type(mine) is type(other) and isinstance(mine, model.GBTClassificationModel)
+    assert model.train(frame(spark, rows(2500, 1), 7), None, FEATURES, growth="level", rounds=6, **WHOLE).stages[-1].toDebugString.split("\n")[1:] == mine.toDebugString.split("\n")[1:]
+
+
+def test_many_values_and_one(spark, monkeypatch):
+    """Continuous features are binned at quantiles of all rows, a constant one is never split; rows and features are drawn."""
+    df, held_out = frame(spark, rows(4000, 2, False)), frame(spark, rows(1500, 3, False))
+    monkeypatch.setattr(levelwise, "_BLOCK", 300)
+    ours, theirs = model.train(df, None, FEATURES, growth="level", rounds=10, **{**WHOLE, "bagging_fraction": 0.8, "feature_fraction": 0.6}), by_mllib(df, 10)
+    losses = [model.evaluate(model.predict(held_out, m)).first()["log_loss"] for m in (ours, theirs)]
+    assert losses[0] < losses[1] + 0.03
+    assert ours.stages[-1].featureImportances[2] == 0 and "feature 2" not in ours.stages[-1].toDebugString
+
+
+def test_rows_are_drawn_one_by_one():
+    """Rows of the same content are drawn apart, and anew for every round."""
+    drawn = [np.concatenate([levelwise._drawn(b, 50_000, (0.8, 42, r)) for b in (0, 1, 1 << 24)]) for r in range(3)]
+    assert all(abs(d.mean() - 0.8) < 0.005 for d in drawn)
+    assert abs((drawn[0] & drawn[1]).mean() - 0.64) < 0.005 and abs((drawn[1] & drawn[2]).mean() - 0.64) < 0.005
+    assert (levelwise._drawn(5, 1000, (1.0, 42, 0))).all()
+
+
+def test_few_values_are_all_kept(spark):
+    """A value of one row among many has a bin of its own, whatever the quantiles."""
+    values = [(0, 0.0, float(i), 0.0) for i in range(1000)] + [(1, 1.0, 5.0, 0.0)]
+    rows_ = frame(spark, values).select(F.array(*FEATURES).alias("x"))
+    edges = levelwise._edges(rows_, ["x0", "x1", "x2"], 32)
+    assert edges[0] == [0.5] and len(edges[1]) == 31 and edges[2] == []
+
+
+def test_what_cannot_be_learnt(spark):
+    for wrong in ((2, 1.0, 2.0, 3.0), (None, 1.0, 2.0, 3.0), (1, float("nan"), 2.0, 3.0), (1, None, 2.0, 3.0)):
+        with pytest.raises(ValueError):
+            model.train(frame(spark, [*rows(20, 4), wrong]), None, FEATURES, growth="level", rounds=2)
+    with pytest.raises(ValueError):
+        model.train(frame(spark, rows(20, 4)).limit(0), None, FEATURES, growth="level", rounds=2)
+    one = model.train(frame(spark, [(1, 1.0, 2.0, 3.0)] * 50), None, FEATURES, growth="level", rounds=3)
+    assert model.boosted_rounds(one) == 3 and model.predict(frame(spark, [(1, 1.0, 2.0, 3.0)]), one, "p").first()["p"] > 0.85
